@@ -9,7 +9,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.functions import clean_text, clean_upper, differs, differs_or_missing, is_not
+from rosterlake.functions import (
+    clean_key,
+    differs,
+    differs_or_missing,
+    has_text,
+    is_not,
+    strip_tidy,
+)
 from rosterlake.layout import (
     CHANGE_MEASURES,
     COMPARED_PROVIDER_COLUMNS,
@@ -25,20 +32,20 @@ def compared_providers(frame: DataFrame, label: str = "The provider snapshot") -
     """P6, V5."""
     require_columns(frame.columns, COMPARED_PROVIDER_COLUMNS, label)
     return frame.select(
-        clean_text(F.col("npi")).alias("npi"),
-        F.lower(clean_text(F.col("status"))).alias("status"),
-        clean_text(F.col("deactivation_date")).alias("deactivation_date"),
-        clean_text(F.col("practice_zip")).alias("practice_zip"),
+        clean_key(F.col("npi")).alias("npi"),
+        F.lower(clean_key(F.col("status"))).alias("status"),
+        clean_key(F.col("deactivation_date")).alias("deactivation_date"),
+        clean_key(F.col("practice_zip")).alias("practice_zip"),
     )
 
 
 def compared_codes(frame: DataFrame, label: str = "The taxonomy snapshot") -> DataFrame:
     """Usable (provider, code) pairs."""
     require_columns(frame.columns, COMPARED_TAXONOMY_COLUMNS, label)
-    return frame.select(
-        clean_text(F.col("npi")).alias("npi"),
-        clean_upper(F.col("taxonomy_code")).alias("taxonomy_code"),
-    ).where(F.col("npi").isNotNull() & F.col("taxonomy_code").isNotNull())
+    return frame.where(has_text(F.col("npi")) & has_text(F.col("taxonomy_code"))).select(
+        strip_tidy(F.col("npi")).alias("npi"),
+        F.upper(strip_tidy(F.col("taxonomy_code"))).alias("taxonomy_code"),
+    )
 
 
 def known_codes(taxonomies: DataFrame, providers: DataFrame) -> DataFrame:
@@ -135,35 +142,27 @@ def compare_snapshots(
 ) -> DataFrame:
     """A10, V6, V7: the eight measures and the key problems of both sides, as one row.
 
-    Old rows, new rows and the keys with changed code sets are grouped by provider once.
-    Presence, attribute changes, missing and repeated keys all fall out of that grouping, so
-    the comparison and its checks share one shuffle.
+    Each side is reduced to one row per key, which counts the rows it stands for, so repeated
+    and missing keys show in the same pass. The outer join and the join with changed code sets
+    then use the partitioning and order that the grouping left: one shuffle per input.
     """
-    sides = []
-    for label, frame, is_old in (
-        ("The older snapshot", old_providers, True),
-        ("The newer snapshot", new_providers, False),
-    ):
-        sides.append(compared_providers(frame, label).withColumn("is_old", F.lit(is_old)))
-    codes = changed_code_sets(old_taxonomies, new_taxonomies).withColumn("codes_changed", F.lit(True))
-    rows = sides[0].unionByName(sides[1]).unionByName(codes, allowMissingColumns=True)
-
-    def of(side: Column, name: str) -> Column:
-        return F.max(F.when(side, F.col(name)))
-
-    is_old, is_new = F.col("is_old"), ~F.col("is_old")
-    per_key = rows.groupBy("npi").agg(
-        F.count_if(is_old).alias("old_rows"),
-        F.count_if(is_new).alias("new_rows"),
-        of(is_old, "status").alias("old_status"),
-        of(is_new, "status").alias("new_status"),
-        of(is_new, "deactivation_date").alias("new_deactivation_date"),
-        of(is_old, "practice_zip").alias("old_practice_zip"),
-        of(is_new, "practice_zip").alias("new_practice_zip"),
-        F.bool_or(F.coalesce("codes_changed", F.lit(False))).alias("codes_changed"),
+
+    def side(frame: DataFrame, label: str, prefix: str) -> DataFrame:
+        fields = compared_providers(frame, label)
+        values = COMPARED_PROVIDER_COLUMNS[1:]
+        return fields.groupBy("npi").agg(
+            F.count(F.lit(1)).alias(f"{prefix}_rows"),
+            *[F.max(name).alias(f"{prefix}_{name}") for name in values],
+        )
+
+    old = side(old_providers, "The older snapshot", "old")
+    new = side(new_providers, "The newer snapshot", "new")
+    codes = changed_code_sets(old_taxonomies, new_taxonomies)
+    per_key = old.join(new, "npi", "full_outer").join(
+        codes.withColumn("codes_changed", F.lit(True)), "npi", "left"
     )
     keyed = F.col("npi").isNotNull()
-    in_old, in_new = F.col("old_rows") > 0, F.col("new_rows") > 0
+    in_old, in_new = F.col("old_rows").isNotNull(), F.col("new_rows").isNotNull()
     shared = keyed & in_old & in_new
     repeated = (F.col("old_rows") > 1) | (F.col("new_rows") > 1)
     measures = {

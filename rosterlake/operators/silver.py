@@ -7,13 +7,25 @@ raw rows, and no collected groups.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.functions import clean_date, clean_npi, clean_text, clean_upper, clean_zip, is_not
+from rosterlake.functions import (
+    clean_key,
+    clean_npi,
+    clean_text,
+    clean_upper,
+    day_of,
+    has_text,
+    is_not,
+    npi_of,
+    strip_tidy,
+    zip_of,
+)
 from rosterlake.layout import (
     ACTIVE,
     DATE_FIELDS,
@@ -44,16 +56,27 @@ def position() -> Column:
 
 
 def conformed_field(
-    name: str, raw: Column, profile: DirectoryProfile = DirectoryProfile()
+    name: str, text: Column, profile: DirectoryProfile = DirectoryProfile()
 ) -> Column:
-    """One Silver provider field from its source text."""
+    """One Silver provider field from its cleaned text."""
     if name in DATE_FIELDS:
-        return clean_date(raw, profile)
+        return day_of(text, profile).cast("string")
     if name == "practice_zip":
-        return clean_zip(raw)
+        return zip_of(text)
     if name == "practice_state":
-        return clean_upper(raw)
-    return clean_text(raw)
+        return F.upper(text)
+    return text
+
+
+def conformed(texts: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
+    """Silver fields and status over columns of cleaned text.
+
+    Cleaning stays a projection of its own below this one: fields whose text is looked at
+    several times are then cleaned once.
+    """
+    return texts.withColumns(
+        {n: conformed_field(n, F.col(n), profile) for n in PROVIDER_FIELDS}
+    ).withColumn("status", status_of(F.col("deactivation_date")))
 
 
 def status_of(deactivation_date: Column) -> Column:
@@ -63,16 +86,12 @@ def status_of(deactivation_date: Column) -> Column:
 
 def conform(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
     """Every row's Silver fields, before any filter or deduplication."""
-    fields = {
-        name: conformed_field(name, quoted(source), profile)
-        for name, source in PROVIDER_FIELDS.items()
-    }
-    return bronze.select(
+    texts = bronze.select(
         *POSITION,
         clean_npi(quoted(NPI)).alias("npi"),
-        *[field.alias(name) for name, field in fields.items()],
-        status_of(fields["deactivation_date"]).alias("status"),
+        *[clean_text(quoted(source)).alias(name) for name, source in PROVIDER_FIELDS.items()],
     )
+    return conformed(texts, profile)
 
 
 def valid_individuals(
@@ -81,9 +100,9 @@ def valid_individuals(
     """In-state individuals with a usable key, raw columns plus `npi`."""
     return (
         bronze.where(in_state(profile))
-        .where(clean_text(quoted(ENTITY_TYPE)) == profile.individual_code)
-        .withColumn("npi", clean_npi(quoted(NPI)))
-        .where(F.col("npi").isNotNull())
+        .where(clean_key(quoted(ENTITY_TYPE)) == profile.individual_code)
+        .where(npi_of(strip_tidy(quoted(NPI))).isNotNull())
+        .withColumn("npi", strip_tidy(quoted(NPI)))
     )
 
 
@@ -97,14 +116,14 @@ def slot_rows(records: DataFrame) -> DataFrame:
     ]
     return (
         records.select("npi", *POSITION, F.stack(F.lit(len(slots)), *pairs))
+        .where(has_text(F.col("col1")))
         .select(
             "npi",
-            clean_upper(F.col("col1")).alias("taxonomy_code"),
+            F.upper(strip_tidy(F.col("col1"))).alias("taxonomy_code"),
             clean_upper(F.col("col2")).alias("primary_taxonomy_flag"),
             F.col("col0").alias("taxonomy_slot"),
             *POSITION,
         )
-        .where(F.col("taxonomy_code").isNotNull())
     )
 
 
@@ -122,25 +141,28 @@ def first_per_code(rows: DataFrame) -> DataFrame:
     )
 
 
-def any_slot(records: DataFrame, test) -> Column:
-    """True when at least one slot's cleaned code passes the test."""
-    tests = [test(clean_upper(quoted(s.code))) for s in taxonomy_slots(records.columns)]
-    return F.coalesce(reduce(or_, tests), F.lit(False))
+def slot_codes(records: DataFrame) -> list[Column]:
+    """Each slot's cleaned code as a column `code_n`."""
+    return [
+        clean_upper(quoted(slot.code)).alias(f"code_{slot.number}")
+        for slot in taxonomy_slots(records.columns)
+    ]
 
 
-def has_cohort_code(records: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> Column:
-    """the row itself reports an approved code, primary or not."""
-    return any_slot(records, lambda code: code.isin(*profile.cohort_codes))
+def any_code(codes: list[Column], test: Callable[[Column], Column]) -> Column:
+    """True when at least one code passes the test."""
+    return F.coalesce(reduce(or_, [test(code) for code in codes]), F.lit(False))
 
 
-def has_any_code(records: DataFrame) -> Column:
-    return any_slot(records, lambda code: code.isNotNull())
+def in_cohort(profile: DirectoryProfile = DirectoryProfile()) -> Callable[[Column], Column]:
+    """an approved code, in whatever slot and primary or not."""
+    return lambda code: code.isin(*profile.cohort_codes)
 
 
 def cohort_keys(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
     """J2's key set: providers with an approved code on any of their rows, each once."""
     valid = valid_individuals(bronze, profile)
-    return valid.where(has_cohort_code(valid, profile)).select("npi").distinct()
+    return valid.where(any_code(slot_codes(valid), in_cohort(profile))).select("npi").distinct()
 
 
 def cohort_records(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
@@ -168,18 +190,15 @@ def silver_providers(bronze: DataFrame, profile: DirectoryProfile = DirectoryPro
         valid.groupBy("npi")
         .agg(
             F.min_by(record, position()).alias("raw"),
-            F.bool_or(has_cohort_code(valid, profile)).alias("in_cohort"),
+            F.bool_or(any_code(slot_codes(valid), in_cohort(profile))).alias("in_cohort"),
         )
         .where("in_cohort")
     )
-    fields = [
-        known[name] if name in known else conformed_field(name, F.col(f"raw.{name}"), profile)
-        for name in PROVIDER_FIELDS
-    ]
-    conformed = firsts.select(
-        "npi", *[field.alias(name) for field, name in zip(fields, PROVIDER_FIELDS)]
+    texts = firsts.select(
+        "npi",
+        *[known.get(n, clean_text(F.col(f"raw.{n}"))).alias(n) for n in PROVIDER_FIELDS],
     )
-    return conformed.withColumn("status", status_of(F.col("deactivation_date")))
+    return conformed(texts, profile)
 
 
 def silver_taxonomies(
@@ -207,10 +226,12 @@ def records_without_taxonomy(
 ) -> DataFrame:
     """J4 and the cohort size, from fixed-width partial aggregates per provider."""
     valid = valid_individuals(bronze, profile)
-    per_key = valid.groupBy("npi").agg(
+    coded = valid.select("npi", *slot_codes(valid))
+    codes = [F.col(name) for name in coded.columns[1:]]
+    per_key = coded.groupBy("npi").agg(
         F.count(F.lit(1)).alias("records"),
-        F.bool_or(has_any_code(valid)).alias("has_code"),
-        F.bool_or(has_cohort_code(valid, profile)).alias("in_cohort"),
+        F.bool_or(any_code(codes, Column.isNotNull)).alias("has_code"),
+        F.bool_or(any_code(codes, in_cohort(profile))).alias("in_cohort"),
     )
     return per_key.agg(
         F.coalesce(F.sum(F.when(~F.col("has_code"), F.col("records"))), F.lit(0)).alias(
@@ -221,23 +242,32 @@ def records_without_taxonomy(
 
 
 def row_quality(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
-    """A9, row part: counts over all Bronze rows, without a shuffle of rows."""
-    npi, entity = clean_text(quoted(NPI)), clean_text(quoted(ENTITY_TYPE))
-
-    def unreadable(name: str) -> Column:
-        raw = quoted(PROVIDER_FIELDS[name])
-        return clean_text(raw).isNotNull() & clean_date(raw, profile).isNull()
+    """A9, row part: counts over all Bronze rows, without a shuffle of rows.
 
-    return bronze.agg(
+    The text is cleaned in a projection of its own, so each field is cleaned once however many
+    counts look at it.
+    """
+    sources = {"npi": NPI, "entity": ENTITY_TYPE, "state": STATE, "zip": ZIP}
+    sources |= {name: PROVIDER_FIELDS[name] for name in DATE_FIELDS}
+    texts = bronze.select(*[clean_key(quoted(src)).alias(name) for name, src in sources.items()])
+    npi = F.col("npi")
+    return texts.agg(
         F.count(F.lit(1)).alias("input_row_count"),
-        F.count_if(entity == profile.organization_code).alias("organization_records_excluded"),
-        F.count_if(is_not(clean_upper(quoted(STATE)), profile.state)).alias(
+        F.count_if(F.col("entity") == profile.organization_code).alias(
+            "organization_records_excluded"
+        ),
+        F.count_if(is_not(F.upper("state"), profile.state)).alias(
             "non_massachusetts_records_excluded"
         ),
         F.count_if(npi.isNull()).alias("missing_npi_count"),
-        F.count_if(npi.isNotNull() & clean_npi(quoted(NPI)).isNull()).alias("invalid_npi_count"),
-        *[F.count_if(unreadable(name)).alias(f"invalid_{name}_count") for name in DATE_FIELDS],
-        F.count_if(clean_zip(quoted(ZIP)).isNull()).alias("missing_zip_count"),
+        F.count_if(npi.isNotNull() & npi_of(npi).isNull()).alias("invalid_npi_count"),
+        *[
+            F.count_if(
+                F.col(name).isNotNull() & day_of(F.col(name), profile).isNull()
+            ).alias(f"invalid_{name}_count")
+            for name in DATE_FIELDS
+        ],
+        F.count_if(zip_of(F.col("zip")).isNull()).alias("missing_zip_count"),
     )
 
 

@@ -8,10 +8,13 @@ needs CSV quoting) and leave out no row.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake import layout as L
+from rosterlake.session import scratch_folder
 
 _ID = "cast(1000000000 + o_custkey AS string)"
 _MONTH = "lpad(cast(month(o_orderdate) AS string), 2, '0')"
@@ -81,8 +84,8 @@ RELEASE_EXPRESSION = (
 )
 
 
-def directory_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records with position and `release`."""
+def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records with position and `release`, as expressions over the given tables."""
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
@@ -94,5 +97,28 @@ def directory_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def write_records(spark: SparkSession, sf_dir: str) -> str:
+    """The records as a Parquet table with one partition per release. Returns its path."""
+    path = scratch_folder(spark, "records")
+    derived_records(spark, sf_dir).write.partitionBy("release").parquet(path)
+    return path
+
+
+_written: dict[tuple, str] = {}
+
+
+def once(write: Callable[[SparkSession, str], str], spark: SparkSession, sf_dir: str) -> str:
+    """What `write` returns; it runs once per application and data folder."""
+    key = (write.__name__, spark.sparkContext.applicationId, sf_dir)
+    if key not in _written:
+        _written[key] = write(spark, sf_dir)
+    return _written[key]
+
+
+def directory_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records, read from their table as a pipeline reads Bronze."""
+    return spark.read.parquet(once(write_records, spark, sf_dir))
+
+
 def release(records: DataFrame, name: str) -> DataFrame:
     return records.where(F.col("release") == name)

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,14 +12,12 @@ from rosterlake import layout as L
 from rosterlake.functions import clean_date, clean_npi, clean_zip
 from rosterlake.operators import bronze, changes, contracts, gold, silver
 from rosterlake.plans import build_bronze, build_silver, publish_gold, run_snapshot
-from rosterlake.plans.bronze import archive_stem
 from rosterlake.session import scratch_folder
 from rosterlake.sinks.catalog import gold_query
 from rosterlake.sinks.files import write_table
 from rosterlake.sources.archives import archive_members, file_digests, is_main_member
-from rosterlake.sources.tables import read_bronze
 from workload.archives import write_archives, write_documents
-from workload.records import directory_records, release
+from workload.records import directory_records, once, release
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -171,19 +168,8 @@ def change_measures_long(spark, sf_dir):
 
 # --- Archives, catalog and lineage --------------------------------------------------------
 
-_written: dict[tuple, str] = {}
-
-
-def _once(write, spark, sf_dir) -> str:
-    """A derived input, written once per session and data folder."""
-    key = (write.__name__, spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        _written[key] = write(spark, sf_dir)
-    return _written[key]
-
-
 def archive_main_members(spark, sf_dir):
-    members = archive_members(spark, _once(write_archives, spark, sf_dir))
+    members = archive_members(spark, once(write_archives, spark, sf_dir))
     return members.select(
         F.substring_index("archive", "/", -1).alias("archive"),
         "member",
@@ -194,13 +180,13 @@ def archive_main_members(spark, sf_dir):
 def bronze_from_archive(spark, sf_dir):
     """Both archives in one run; each record's text must survive the trip."""
     folder = scratch_folder(spark, "ingest")
-    build_bronze(spark, f"{_once(write_archives, spark, sf_dir)}/*.zip", folder)
+    build_bronze(spark, f"{once(write_archives, spark, sf_dir)}/*.zip", folder)
     stored = spark.read.parquet(f"{folder}/{L.BRONZE_NAME.format(stem='*')}")
     return plainly_named(stored)
 
 
 def file_hashes(spark, sf_dir):
-    digests = file_digests(spark, _once(write_documents, spark, sf_dir))
+    digests = file_digests(spark, once(write_documents, spark, sf_dir))
     name = F.substring_index("path", "/", -1)
     return digests.select(
         F.substring_index(name, ".", 1).cast("long").alias("doc_id"), "sha256"
@@ -210,8 +196,8 @@ def file_hashes(spark, sf_dir):
 def _published(spark, sf_dir) -> str:
     """Bronze table -> Silver tables -> catalog; returns the database."""
     folder = scratch_folder(spark, "gold")
-    write_table(bronze.bronze_records(directory_records(spark, sf_dir)).orderBy("_source_row")
-                .drop(*L.POSITION), f"{folder}/bronze")
+    kept = bronze.bronze_records(directory_records(spark, sf_dir))
+    write_table(kept.orderBy("_source_row").drop(*L.POSITION), f"{folder}/bronze")
     build_silver(spark, f"{folder}/bronze", f"{folder}/silver")
     database = "gold_" + folder[-12:]
     publish_gold(spark, f"{folder}/silver", database, f"{folder}/warehouse", buckets=8)
@@ -219,7 +205,7 @@ def _published(spark, sf_dir) -> str:
 
 
 def table_reconciliation(spark, sf_dir):
-    database = _once(_published, spark, sf_dir)
+    database = once(_published, spark, sf_dir)
     return spark.sql(
         f"""SELECT 'providers' AS table_name, count(*) AS loaded_rows FROM {database}.providers
         UNION ALL SELECT 'provider_taxonomies', count(*) FROM {database}.provider_taxonomies"""
@@ -227,12 +213,12 @@ def table_reconciliation(spark, sf_dir):
 
 
 def _catalog(name: str) -> Query:
-    return lambda spark, sf_dir: gold_query(spark, name, _once(_published, spark, sf_dir))
+    return lambda spark, sf_dir: gold_query(spark, name, once(_published, spark, sf_dir))
 
 
 def run_manifest(spark, sf_dir):
     """Archive to manifest for both snapshots; times, paths and digests are left out."""
-    zips, folder = _once(write_archives, spark, sf_dir), scratch_folder(spark, "run")
+    zips, folder = once(write_archives, spark, sf_dir), scratch_folder(spark, "run")
     for label in ("older", "newer"):
         database = f"run_{label}_{folder[-12:]}"
         run_snapshot(
