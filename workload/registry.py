@@ -103,9 +103,24 @@ def key_violations(spark, sf_dir):
 # --- Gold ---------------------------------------------------------------------------------
 
 
-def _silver(spark, sf_dir):
+def write_silver(spark, sf_dir) -> str:
+    """Silver tables of all records and of each release, as the pipeline stores them."""
+    folder = scratch_folder(spark, "silver")
     records = directory_records(spark, sf_dir)
-    return silver.silver_providers(records), silver.silver_taxonomies(records)
+    for name in ("all", "older", "newer"):
+        rows = records if name == "all" else release(records, name)
+        write_table(silver.silver_providers(rows), f"{folder}/{name}/providers")
+        cohort = spark.read.parquet(f"{folder}/{name}/providers")
+        write_table(silver.silver_taxonomies(rows, cohort=cohort), f"{folder}/{name}/taxonomies")
+    return folder
+
+
+def _silver(spark, sf_dir, name="all"):
+    folder = once(write_silver, spark, sf_dir)
+    return (
+        spark.read.parquet(f"{folder}/{name}/providers"),
+        spark.read.parquet(f"{folder}/{name}/taxonomies"),
+    )
 
 
 def _gold(name: str) -> Query:
@@ -117,12 +132,8 @@ def _gold(name: str) -> Query:
 
 def _snapshots(spark, sf_dir):
     """(old providers, new providers, old taxonomies, new taxonomies)."""
-    records = directory_records(spark, sf_dir)
-    sides = [release(records, name) for name in ("older", "newer")]
-    return (
-        *[silver.silver_providers(side) for side in sides],
-        *[silver.silver_taxonomies(side) for side in sides],
-    )
+    older, newer = (_silver(spark, sf_dir, name) for name in ("older", "newer"))
+    return older[0], newer[0], older[1], newer[1]
 
 
 def newly_observed(spark, sf_dir):
