@@ -27,6 +27,7 @@ from rosterlake.layout import HEADER_FILE_SUFFIX, MAIN_FILE_PREFIX, MAIN_FILE_SU
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 1 << 20
+SMALLEST_PART = 4 << 20
 LANDED = "archive string, part string, bytes long, header string"
 
 
@@ -181,21 +182,20 @@ def land_archives(
 ) -> DataFrame:
     """Copy each archive's main member to CSV parts below `folder`/parts.
 
-    Returns the written list of parts, one row each. `part_bytes` defaults to Spark's split
-    size.
+    Returns the written list of parts, one row each. Unless `part_bytes` is given, a member is
+    cut into about one part per core, of at most Spark's split size.
     """
-    if part_bytes is None:
-        part_bytes = int(
-            spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b")
-        )
-    if part_bytes < 1:
+    if part_bytes is not None and part_bytes < 1:
         raise ValueError("part_bytes must be a positive whole number")
+    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b"))
+    cores = spark.sparkContext.defaultParallelism
     parts = f"{folder}/parts"
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for uri, member in zip(batch["archive"], batch["member"]):
-                for landed in _land_member(uri, member, parts, part_bytes):
+            for uri, member, size in zip(batch["archive"], batch["member"], batch["bytes"]):
+                target = part_bytes or min(split, max(SMALLEST_PART, size // cores))
+                for landed in _land_member(uri, member, parts, target):
                     yield pd.DataFrame([landed], columns=["archive", "part", "bytes", "header"])
 
     listing = f"{folder}/landed"

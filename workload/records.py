@@ -100,7 +100,11 @@ def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_records(spark: SparkSession, sf_dir: str) -> str:
     """The records as a Parquet table with one partition per release. Returns its path."""
     path = scratch_folder(spark, "records")
-    derived_records(spark, sf_dir).write.partitionBy("release").parquet(path)
+    records = derived_records(spark, sf_dir)
+    tasks = spark.sparkContext.defaultParallelism
+    if len(records.inputFiles()) < tasks:  # a few small files would leave most cores idle
+        records = records.repartition(tasks)
+    records.write.partitionBy("release").parquet(path)
     return path
 
 
