@@ -1,5 +1,11 @@
 """Typed errors: each names the contract that a snapshot or report breaks."""
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+
+# What a failing Spark job raises; only some JVM errors have a PySpark class.
+JOB_ERRORS = (PySparkException, Py4JJavaError)
+
 
 class RosterError(Exception):
     """Base of all expected input problems."""

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import PySparkException
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.errors import MalformedSourceError
+from rosterlake.errors import JOB_ERRORS, MalformedSourceError
 from rosterlake.layout import BRONZE_NAME, BRONZE_REPORT_NAME, POSITION, DirectoryProfile
 from rosterlake.operators.bronze import bronze_records, retained_columns
 from rosterlake.session import scratch_folder
@@ -43,7 +42,7 @@ def build_bronze(
     counted = source.observe(seen, F.count(F.lit(1)).alias("input_row_count"))
     try:
         write_table(bronze_records(counted, profile), f"{scratch}/kept")
-    except PySparkException as error:
+    except JOB_ERRORS as error:
         if MALFORMED in str(error):
             raise MalformedSourceError(
                 f"{archive}: a record has more fields than the header"

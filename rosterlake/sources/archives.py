@@ -45,7 +45,7 @@ def _open(uri: str):
 
 
 def archive_files(spark: SparkSession, archives: str) -> DataFrame:
-    """Path and length of each archive; contents are not read."""
+    """Path and length of each file that is not empty; contents are not read."""
     return (
         spark.read.format("binaryFile")
         .load(archives)
@@ -59,7 +59,7 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             try:
                 with _open(uri) as stream, zipfile.ZipFile(stream) as opened:
                     found = [(uri, m.filename, m.file_size, None) for m in opened.infolist()]
-            except zipfile.BadZipFile as error:
+            except (zipfile.BadZipFile, ValueError) as error:  # ValueError: too short to seek
                 found = [(uri, None, None, str(error))]
             yield pd.DataFrame(found, columns=["archive", "member", "bytes", "problem"])
 
@@ -108,6 +108,8 @@ def main_members(spark: SparkSession, archives: str) -> DataFrame:
             f"{wrong.archive} holds {wrong.found} possible main files, "
             f"such as {wrong.one} and {wrong.other}"
         )
+    if members.isEmpty():
+        raise ArchiveError(f"{archives} names no archive with content")
     return members.where(is_main_member()).select("archive", "member", "bytes")
 
 

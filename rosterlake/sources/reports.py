@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterable
 
-from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.errors import ReportError
+from rosterlake.errors import JOB_ERRORS, ReportError
 from rosterlake.operators.contracts import unusable_counts
 
 
@@ -21,23 +21,26 @@ def read_report(
     refused, as are an array, several objects, a missing or a negative count.
     """
     counts, texts = list(counts), list(texts)
-    schema = ", ".join([*[f"{c} long" for c in counts], *[f"{t} string" for t in texts]])
-    text = spark.read.text(path, wholetext=True)
-    parsed = text.select(
-        F.btrim("value").startswith("{").alias("is_object"),
-        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("report"),
-    )
+    stored = spark.read.text(path, wholetext=True)
+    found = [row.value for row in stored.limit(2).collect()]
     try:
-        rows = parsed.limit(2).collect()
-    except PySparkException as error:
-        raise ReportError(f"The {label} at {path} cannot be read: {error}") from error
-    if len(rows) != 1 or not rows[0].is_object or rows[0].report is None:
+        is_object = len(found) == 1 and isinstance(json.loads(found[0]), dict)
+    except ValueError as error:
+        raise ReportError(f"The {label} at {path} is not JSON: {error}") from error
+    if not is_object:
         raise ReportError(f"The {label} at {path} must hold one JSON object")
-    report = parsed.select("report.*")
+    schema = ", ".join([*[f"{c} long" for c in counts], *[f"{t} string" for t in texts]])
+    report = stored.select(
+        F.from_json("value", schema, {"mode": "FAILFAST"}).alias("report")
+    ).select("report.*")
+    try:
+        row = report.first()
+    except JOB_ERRORS as error:
+        raise ReportError(f"The {label} at {path} has a value of the wrong type") from error
     unusable = unusable_counts(report, counts).first().unusable
     if unusable:
         raise ReportError(f"The {label} at {path} has invalid counts: {', '.join(unusable)}")
-    blank = [name for name in texts if not rows[0].report[name]]
+    blank = [name for name in texts if not row[name]]
     if blank:
         raise ReportError(f"The {label} at {path} has no {', '.join(blank)}")
     return report
