@@ -70,16 +70,26 @@ def only_in(here: DataFrame, there: DataFrame) -> DataFrame:
     return keys[0].join(keys[1], "npi", "left_anti")
 
 
-def shared_providers(old_providers: DataFrame, new_providers: DataFrame) -> DataFrame:
-    """Providers in both snapshots with old and new attributes side by side."""
+def keyed_side(frame: DataFrame, prefix: str, label: str = "The snapshot") -> DataFrame:
+    """One row per key with the number of rows it stands for, attributes prefixed.
 
-    def side(frame: DataFrame, prefix: str) -> DataFrame:
-        fields = compared_providers(frame)
-        return fields.select(
-            "npi", *[F.col(n).alias(f"{prefix}_{n}") for n in COMPARED_PROVIDER_COLUMNS[1:]]
+    Keys of a usable snapshot are unique, and then this changes no value. It keeps a repeated
+    key from multiplying in a join before the key check refuses the snapshot.
+    """
+    return (
+        compared_providers(frame, label)
+        .groupBy("npi")
+        .agg(
+            F.count(F.lit(1)).alias(f"{prefix}_rows"),
+            *[F.max(n).alias(f"{prefix}_{n}") for n in COMPARED_PROVIDER_COLUMNS[1:]],
         )
+    )
+
 
-    return side(old_providers, "old").join(side(new_providers, "new"), "npi")
+def shared_providers(old_providers: DataFrame, new_providers: DataFrame) -> DataFrame:
+    """Providers in both snapshots with old and new attributes side by side."""
+    old, new = keyed_side(old_providers, "old"), keyed_side(new_providers, "new")
+    return old.join(new, "npi").drop("old_rows", "new_rows")
 
 
 def status_changed(missing_equal: bool = False) -> Column:
@@ -143,24 +153,15 @@ def compare_snapshots(
     """A10, V6, V7: the eight measures and the key problems of both sides, as one row.
 
     Each side is reduced to one row per key, which counts the rows it stands for, so repeated
-    and missing keys show in the same pass. The outer join and the join with changed code sets
-    then use the partitioning and order that the grouping left: one shuffle per input.
+    and missing keys show in the same pass. The joins then use the partitioning and order that
+    the grouping left: one shuffle per input. Changed code sets join the older side, since only
+    shared providers count; behind the outer join they would need another shuffle.
     """
-
-    def side(frame: DataFrame, label: str, prefix: str) -> DataFrame:
-        fields = compared_providers(frame, label)
-        values = COMPARED_PROVIDER_COLUMNS[1:]
-        return fields.groupBy("npi").agg(
-            F.count(F.lit(1)).alias(f"{prefix}_rows"),
-            *[F.max(name).alias(f"{prefix}_{name}") for name in values],
-        )
-
-    old = side(old_providers, "The older snapshot", "old")
-    new = side(new_providers, "The newer snapshot", "new")
+    old = keyed_side(old_providers, "old", "The older snapshot")
+    new = keyed_side(new_providers, "new", "The newer snapshot")
     codes = changed_code_sets(old_taxonomies, new_taxonomies)
-    per_key = old.join(new, "npi", "full_outer").join(
-        codes.withColumn("codes_changed", F.lit(True)), "npi", "left"
-    )
+    marked = old.join(codes.withColumn("codes_changed", F.lit(True)), "npi", "left")
+    per_key = marked.join(new, "npi", "full_outer")
     keyed = F.col("npi").isNotNull()
     in_old, in_new = F.col("old_rows").isNotNull(), F.col("new_rows").isNotNull()
     shared = keyed & in_old & in_new

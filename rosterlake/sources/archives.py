@@ -84,18 +84,20 @@ def is_main_member() -> Column:
 def main_members(spark: SparkSession, archives: str) -> DataFrame:
     """The main member of each archive; every archive must hold exactly one."""
     members = archive_members(spark, archives)
-    wrong = (
-        members.groupBy("archive")
-        .agg(
-            F.count_if(is_main_member()).alias("found"),
-            F.min(F.when(is_main_member(), F.col("member"))).alias("one"),
-            F.max(F.when(is_main_member(), F.col("member"))).alias("other"),
-            F.max("problem").alias("problem"),
-        )
-        .where(F.col("problem").isNotNull() | (F.col("found") != 1))
-        .orderBy("archive")
-        .first()
+    per_archive = members.groupBy("archive").agg(
+        F.count_if(is_main_member()).alias("found"),
+        F.min(F.when(is_main_member(), F.col("member"))).alias("one"),
+        F.max(F.when(is_main_member(), F.col("member"))).alias("other"),
+        F.max("problem").alias("problem"),
     )
+    is_wrong = F.col("problem").isNotNull() | (F.col("found") != 1)
+    first_wrong = F.min(F.when(is_wrong, F.struct("archive", "found", "one", "other", "problem")))
+    checked = per_archive.agg(
+        F.count(F.lit(1)).alias("archives"), first_wrong.alias("wrong")
+    ).first()
+    if checked.archives == 0:
+        raise ArchiveError(f"{archives} names no archive with content")
+    wrong = checked.wrong
     if wrong is not None:
         if wrong.problem is not None:
             raise ArchiveError(f"{wrong.archive} is not a readable ZIP file: {wrong.problem}")
@@ -108,8 +110,6 @@ def main_members(spark: SparkSession, archives: str) -> DataFrame:
             f"{wrong.archive} holds {wrong.found} possible main files, "
             f"such as {wrong.one} and {wrong.other}"
         )
-    if members.isEmpty():
-        raise ArchiveError(f"{archives} names no archive with content")
     return members.where(is_main_member()).select("archive", "member", "bytes")
 
 

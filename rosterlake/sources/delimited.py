@@ -24,11 +24,12 @@ def read_parts(spark: SparkSession, folder: str, landed: DataFrame) -> DataFrame
     parallel. A record shorter than the header reads its missing fields as NULL; a longer one
     fails the job. That needs the parser to see all fields, hence no column pruning in it.
     """
-    headers = landed.select("header").distinct().limit(2).collect()
-    if len(headers) != 1:
+    seen = landed.agg(
+        F.min("header").alias("one"), F.max("header").alias("other"), F.min("part").alias("part")
+    ).first()
+    if seen.one != seen.other:
         raise ContractError("The archives' main files do not share one header")
-    first = landed.agg(F.min("part").alias("part")).first().part
-    names = header_columns(spark, f"{folder}/parts/{first}")
+    names = header_columns(spark, f"{folder}/parts/{seen.part}")
     schema = T.StructType([T.StructField(n, T.StringType()) for n in [*names, _RAW]])
     rows = (
         spark.read.schema(schema)
