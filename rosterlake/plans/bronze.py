@@ -10,7 +10,7 @@ from rosterlake.layout import BRONZE_NAME, BRONZE_REPORT_NAME, POSITION, Directo
 from rosterlake.operators.bronze import bronze_records, retained_columns
 from rosterlake.session import scratch_folder
 from rosterlake.sinks.files import run_time_utc, write_report, write_table
-from rosterlake.sources.archives import land_archives
+from rosterlake.sources.archives import discard_landing, land_archives
 from rosterlake.sources.delimited import MALFORMED, read_parts
 from rosterlake.sources.tables import row_count
 
@@ -70,4 +70,5 @@ def build_bronze(
         F.array(*[F.lit(name) for name in columns]).alias("retained_columns"),
     )
     write_report(report, f"{folder}/{BRONZE_REPORT_NAME.format(stem=stem)}")
+    discard_landing(scratch)
     return metadata

@@ -24,6 +24,14 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, so that tasks outside Spark's readers find the same one."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS")
+    return f"{default.rstrip('/')}{path}"
+
+
 def scratch_folder(spark: SparkSession, purpose: str) -> str:
     """A new folder below the shared one that `spark.checkpoint.dir` names.
 
@@ -34,4 +42,4 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
-    return f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+    return qualified(spark, f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")

@@ -31,16 +31,19 @@ SMALLEST_PART = 4 << 20
 LANDED = "archive string, part string, bytes long, header string"
 
 
-def _filesystem(uri: str):
+def open_filesystem(uri: str):
+    """(file system, path) of a URI as Spark writes it."""
     from pyarrow import fs
 
     if uri.startswith("file:/") and not uri.startswith("file://"):
         uri = "file://" + uri[len("file:") :]
+    if uri.startswith("s3a://"):
+        uri = "s3://" + uri[len("s3a://") :]
     return fs.FileSystem.from_uri(uri)
 
 
 def _open(uri: str):
-    filesystem, path = _filesystem(uri)
+    filesystem, path = open_filesystem(uri)
     return filesystem.open_input_file(path)
 
 
@@ -143,7 +146,7 @@ def _land_member(uri: str, member: str, folder: str, part_bytes: int) -> Iterato
     """Copy one member to part files that each start with the header line."""
     name = uri.rstrip("/").rsplit("/", 1)[-1]
     target = f"{name}~{hashlib.sha256(uri.encode()).hexdigest()[:8]}"
-    filesystem, base = _filesystem(f"{folder}/{target}")
+    filesystem, base = open_filesystem(f"{folder}/{target}")
     filesystem.create_dir(base, recursive=True)
 
     def publish(number: int, sink, draft: str, size: int) -> tuple:
@@ -205,6 +208,12 @@ def land_archives(
     return spark.read.parquet(listing)
 
 
+def discard_landing(folder: str) -> None:
+    """Remove a landing folder: unpacked text takes many times the space of its archive."""
+    filesystem, path = open_filesystem(folder)
+    filesystem.delete_dir(path)
+
+
 def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []

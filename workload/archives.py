@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.session import scratch_folder
+from rosterlake.sources.archives import open_filesystem
 from workload.records import RECORD_EXPRESSIONS, directory_records
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -41,9 +42,7 @@ def write_archives(spark: SparkSession, sf_dir: str) -> str:
     def zip_release(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
-        filesystem, base = fs.FileSystem.from_uri(
-            folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-        )
+        filesystem, base = open_filesystem(folder)
         for batch in batches:
             for name in batch["release"]:
                 listed = filesystem.get_file_info(fs.FileSelector(f"{base}/csv/release={name}"))
@@ -79,11 +78,7 @@ def write_documents(spark: SparkSession, sf_dir: str) -> str:
     folder = scratch_folder(spark, "documents")
 
     def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
-        filesystem, base = fs.FileSystem.from_uri(
-            folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
-        )
+        filesystem, base = open_filesystem(folder)
         filesystem.create_dir(f"{base}/files", recursive=True)
         for batch in batches:
             for doc_id, text in zip(batch["doc_id"], batch["text"]):
