@@ -15,15 +15,14 @@ def manifest(
     run_time: Column,
     revision: str | None = None,
 ) -> DataFrame:
-    """K9: one row per snapshot label, keys in sorted order.
+    """K9: one row per archive of each snapshot label, keys in sorted order.
 
     Each input has a `snapshot_label`; any number of snapshots joins in one job. Columns of the
-    inputs beside the counts: `output_paths` (struct) and `source_zip_filename` in the Bronze
-    reports, `sha256` in the digests.
+    inputs beside the counts: `output_paths` (struct) in the Bronze reports, `sha256` and
+    `source_zip_filename` in the digests.
     """
     bronze = bronze_reports.select(
         "snapshot_label",
-        "source_zip_filename",
         "output_paths",
         F.struct(*sorted(BRONZE_COUNTS)).alias("bronze_counts"),
     )
@@ -33,7 +32,11 @@ def manifest(
     return (
         bronze.join(quality, "snapshot_label")
         .join(
-            digests.select("snapshot_label", F.col("sha256").alias("source_zip_sha256")),
+            digests.select(
+                "snapshot_label",
+                "source_zip_filename",
+                F.col("sha256").alias("source_zip_sha256"),
+            ),
             "snapshot_label",
         )
         .select(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +18,9 @@ from rosterlake.sources.tables import row_count
 
 
 def archive_stem(archive: str) -> str:
+    """The name that outputs carry: the archive's without extension, with wildcards as `all`."""
     name = archive.rstrip("/").rsplit("/", 1)[-1]
-    return name.rsplit(".", 1)[0]
+    return re.sub(r"[*?{}\[\],]+", "all", name.rsplit(".", 1)[0])
 
 
 def build_bronze(

@@ -31,7 +31,10 @@ def write_manifest(
     manifest_folder: str,
     revision: str | None = None,
 ) -> str:
-    """S8, S9, V9-V11, K9. `revision` is the code version that the caller ran."""
+    """S8, S9, V9-V11, K9. `revision` is the code version that the caller ran.
+
+    A run over several archives has one line per archive, each with the run's totals.
+    """
     check_snapshot_label(label)
     bronze_report = f"{bronze_folder}/{BRONZE_REPORT_NAME.format(stem=archive_stem(archive))}"
     quality_report = f"{silver_folder}/{QUALITY_REPORT_NAME}"
@@ -51,18 +54,18 @@ def write_manifest(
     ).withColumns(
         labelled
         | {
-            "source_zip_filename": F.lit(archive.rstrip("/").rsplit("/", 1)[-1]),
             "output_paths": F.struct(*[path.alias(name) for name, path in paths.items()]),
         }
     )
     quality = read_report(spark, quality_report, "quality report", QUALITY_COUNTS)
     digests = file_digests(spark, archive)
+    zip_name = F.substring_index("path", "/", -1)
     target = f"{manifest_folder}/{label}.json"
     write_report(
         manifest(
             bronze,
             quality.withColumns(labelled),
-            digests.withColumns(labelled),
+            digests.withColumns(labelled | {"source_zip_filename": zip_name}),
             run_time_utc(),
             revision,
         ),

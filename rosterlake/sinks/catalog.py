@@ -2,48 +2,51 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import SparkSession
 
 from rosterlake.errors import ReconciliationError
-from rosterlake.operators.gold import QUERIES, VIEWS, code_list
 from rosterlake.layout import DirectoryProfile
+from rosterlake.operators.gold import QUERIES, VIEWS, code_list
 from rosterlake.sources.tables import row_count
 
 TABLES = ("providers", "provider_taxonomies")
 
 
-def _staging(database: str, table: str) -> str:
-    return f"{database}.{table}__staging"
-
-
 def replace_tables(
     spark: SparkSession, sources: dict[str, str], database: str, buckets: int | None = None
 ) -> dict[str, tuple[int, int]]:
-    """Load all tables beside the current ones, compare counts, then swap.
+    """Load new versions of all tables, compare counts, then switch the names.
 
-    A failed check leaves the current tables as they were. With `buckets`, both tables are
-    clustered by provider, so joins between them need no shuffle.
+    A table's name is a view of its current version, and replacing a view is one step: a reader
+    always finds a whole table, and a failed check leaves the earlier version in place. With
+    `buckets`, all versions are clustered by provider, so joins between them need no shuffle.
     """
+    version = uuid.uuid4().hex
     counts = {}
     for table, path in sources.items():
+        loaded = f"{database}.{table}__{version}"
         frame = spark.read.parquet(path)
-        spark.sql(f"DROP TABLE IF EXISTS {_staging(database, table)}")
         if buckets:
             writer = frame.repartition(buckets, "npi").write.bucketBy(buckets, "npi").sortBy("npi")
         else:
             writer = frame.write
-        writer.format("parquet").mode("overwrite").saveAsTable(_staging(database, table))
-        counts[table] = (
-            row_count(spark, path),
-            spark.table(_staging(database, table)).count(),
-        )
-        if counts[table][0] != counts[table][1]:
-            raise ReconciliationError(
-                f"{table}: {counts[table][0]} source rows, {counts[table][1]} loaded rows"
+        writer.format("parquet").saveAsTable(loaded)
+        counts[table] = (row_count(spark, path), spark.table(loaded).count())
+    wrong = [f"{t}: {a} source rows, {b} loaded rows" for t, (a, b) in counts.items() if a != b]
+    if not wrong:
+        for table in sources:
+            spark.sql(
+                f"CREATE OR REPLACE VIEW {database}.{table}"
+                f" AS SELECT * FROM {database}.{table}__{version}"
             )
     for table in sources:
-        spark.sql(f"DROP TABLE IF EXISTS {database}.{table}")
-        spark.sql(f"ALTER TABLE {_staging(database, table)} RENAME TO {database}.{table}")
+        for found in spark.sql(f"SHOW TABLES IN {database} LIKE '{table}__*'").collect():
+            if found.tableName.endswith(version) == bool(wrong):
+                spark.sql(f"DROP TABLE {database}.{found.tableName}")
+    if wrong:
+        raise ReconciliationError("; ".join(wrong))
     return counts
 
 

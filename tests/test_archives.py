@@ -200,7 +200,7 @@ def test_several_archives_in_one_run(spark, tmp_path):
         make_archive(tmp_path / f"{name}.zip", csv_text(records))
     metadata = build_bronze(spark, f"{tmp_path}/*.zip", f"{tmp_path}/out")
     assert metadata["input_row_count"] == 6
-    found = [r[L.NPI] for r in stored(spark, f"{tmp_path}/out", "*").collect()]
+    found = [r[L.NPI] for r in stored(spark, f"{tmp_path}/out", "all").collect()]
     assert found == ["a0", "a1", "a2", "b0", "b1", "b2"]
 
 

@@ -102,9 +102,10 @@ def test_publish_and_refresh(spark, published, buckets):
     write(PROVIDERS[:1])
     publish_gold(spark, folder, database, location, buckets)
     assert rows(catalog.gold_query(spark, "active_provider_count", database)) == [(1,)]
-    assert {r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect()} == {
-        *catalog.TABLES, *G.VIEWS,
-    }
+    names = sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect())
+    versions = [name for name in names if "__" in name]
+    assert sorted({*names} - {*versions}) == sorted([*catalog.TABLES, *G.VIEWS])
+    assert len(versions) == len(catalog.TABLES)  # earlier versions are gone
 
 
 def test_failed_reconciliation_keeps_the_earlier_tables(spark, published, monkeypatch):
@@ -119,6 +120,8 @@ def test_failed_reconciliation_keeps_the_earlier_tables(spark, published, monkey
     with pytest.raises(ReconciliationError, match="provider_taxonomies: 9 source rows, 8 loaded"):
         publish_gold(spark, folder, database, location)
     assert spark.table(f"{database}.providers").count() == 5
+    versions = spark.sql(f"SHOW TABLES IN {database} LIKE '*__*'").collect()
+    assert len(versions) == len(catalog.TABLES)
 
 
 def test_bucketed_tables_join_without_a_shuffle(spark, published):

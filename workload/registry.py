@@ -191,9 +191,8 @@ def archive_main_members(spark, sf_dir):
 def bronze_from_archive(spark, sf_dir):
     """Both archives in one run; each record's text must survive the trip."""
     folder = scratch_folder(spark, "ingest")
-    build_bronze(spark, f"{once(write_archives, spark, sf_dir)}/*.zip", folder)
-    stored = spark.read.parquet(f"{folder}/{L.BRONZE_NAME.format(stem='*')}")
-    return plainly_named(stored)
+    report = build_bronze(spark, f"{once(write_archives, spark, sf_dir)}/*.zip", folder)
+    return plainly_named(spark.read.parquet(f"{folder}/{report['output_filename']}"))
 
 
 def file_hashes(spark, sf_dir):
