@@ -14,7 +14,7 @@ from rosterlake.functions.cleaning import (
     strip_tidy,
     zip_of,
 )
-from rosterlake.functions.predicates import differs, differs_or_missing, is_blank, is_not
+from rosterlake.functions.predicates import differs, differs_or_missing, is_not
 
 __all__ = [
     "clean_date",
@@ -27,7 +27,6 @@ __all__ = [
     "differs",
     "differs_or_missing",
     "has_text",
-    "is_blank",
     "is_not",
     "npi_of",
     "strip",

@@ -19,8 +19,3 @@ def differs_or_missing(left: Column, right: Column) -> Column:
 def differs(left: Column, right: Column) -> Column:
     """Unequal, with two missing values taken as equal."""
     return ~left.eqNullSafe(right)
-
-
-def is_blank(value: Column) -> Column:
-    """NULL or nothing but spaces."""
-    return value.isNull() | (F.trim(value) == "")

@@ -172,7 +172,9 @@ def cohort_records(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfi
     )
 
 
-def silver_providers(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
+def silver_providers(
+    bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()
+) -> DataFrame:
     """The first source row of each cohort provider, conformed.
 
     One grouping both picks the first row and decides membership over all rows of the key, so

@@ -14,6 +14,7 @@ import sys
 import uuid
 import zipfile
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -32,14 +33,14 @@ LANDED = "archive string, part string, bytes long, header string"
 
 
 def open_filesystem(uri: str):
-    """(file system, path) of a URI as Spark writes it."""
+    """(file system, path) of a location as Spark writes it, such as `file:/x` or `s3a://b/x`."""
     from pyarrow import fs
 
-    if uri.startswith("file:/") and not uri.startswith("file://"):
-        uri = "file://" + uri[len("file:") :]
-    if uri.startswith("s3a://"):
-        uri = "s3://" + uri[len("s3a://") :]
-    return fs.FileSystem.from_uri(uri)
+    scheme, _, rest = uri.partition(":")
+    if scheme == "file":
+        return fs.LocalFileSystem(), "/" + rest.lstrip("/")
+    scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
+    return fs.FileSystem.from_uri(f"{scheme}:{quote(rest, safe='/:@')}")
 
 
 def _open(uri: str):

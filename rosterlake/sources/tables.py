@@ -38,4 +38,5 @@ def read_snapshot(
 
 def row_count(spark: SparkSession, path: str) -> int:
     """Rows of a Parquet path, from its footers."""
-    return spark.sql("SELECT count(*) AS n FROM {source}", source=spark.read.parquet(path)).first().n
+    source = spark.read.parquet(path)
+    return spark.sql("SELECT count(*) AS n FROM {source}", source=source).first().n

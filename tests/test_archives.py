@@ -204,6 +204,15 @@ def test_several_archives_in_one_run(spark, tmp_path):
     assert found == ["a0", "a1", "a2", "b0", "b1", "b2"]
 
 
+def test_archive_name_with_blanks(spark, tmp_path):
+    path = make_archive(tmp_path / "weekly file (1).zip", csv_text([source_record()]))
+    assert build_bronze(spark, path, f"{tmp_path}/out")["output_filename"] == (
+        "weekly file (1)_massachusetts.parquet"
+    )
+    assert stored(spark, f"{tmp_path}/out", "weekly file (1)").count() == 1
+    assert A.file_digests(spark, path).count() == 1
+
+
 def test_archives_with_other_headers_are_refused(spark, tmp_path):
     make_archive(tmp_path / "a.zip", csv_text([source_record()]))
     make_archive(tmp_path / "b.zip", csv_text([source_record()], list(reversed(SOURCE_COLUMNS))))
