@@ -112,8 +112,9 @@ CHANGE_MEASURES_NAME = "snapshot_change_measures.json"
 
 # --- Parameters ---------------------------------------------------------------------------
 
-# Columns that give a row's place in its source; "first" always means first by these.
-POSITION = ("_source_part", "_source_file", "_source_row")
+# Columns that give a row's place in its source; "first" always means first by these. Numbered
+# files sort by length of name, then name: `part-99999-x` comes before `part-100000-x`.
+POSITION = ("_source_name_length", "_source_file", "_source_row")
 
 
 @dataclass(frozen=True)

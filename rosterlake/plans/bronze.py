@@ -54,7 +54,7 @@ def build_bronze(
     stem = archive_stem(archive)
     output = BRONZE_NAME.format(stem=stem)
     kept = spark.read.parquet(f"{scratch}/kept")
-    in_order = kept.orderBy("_source_file", "_source_part", "_source_row").drop(*POSITION)
+    in_order = kept.orderBy(*POSITION).drop(*POSITION)
     write_table(in_order, f"{folder}/{output}")
 
     metadata = {

@@ -41,15 +41,14 @@ def read_parts(spark: SparkSession, folder: str, landed: DataFrame) -> DataFrame
         .option("columnNameOfCorruptRecord", _RAW)
         .csv(f"{folder}/parts/*")
     )
-    path = F.col("_metadata.file_path")
     outside_quotes = F.regexp_replace(_RAW, '"[^"]*"', "")
     fields = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","))) + 1
     too_long = F.col(_RAW).isNotNull() & (fields > len(names))
     return (
         rows.withColumns(
             {
-                "_source_part": F.regexp_extract(path, r"part-(\d+)\.csv$", 1).cast("long"),
-                "_source_file": F.substring_index(F.substring_index(path, "/", -2), "/", 1),
+                "_source_name_length": F.lit(0),  # part numbers have a fixed width
+                "_source_file": F.substring_index("_metadata.file_path", "/", -2),
                 "_source_row": F.monotonically_increasing_id(),
             }
         )

@@ -13,14 +13,13 @@ from rosterlake.operators.contracts import require_columns
 def read_bronze(spark: SparkSession, path: str) -> DataFrame:
     """A Bronze table with the position of each row in it.
 
-    Row order is the order of part numbers, file names and rows within a file, as the Bronze
-    sink writes them; a single file from another tool has its own row order.
+    Row order is the order of numbered files and of rows within a file, as the Bronze sink
+    writes them; a single file from another tool has its own row order.
     """
     name = F.col("_metadata.file_name")
-    number = F.regexp_extract(name, r"part-(\d+)", 1)
     return spark.read.parquet(path).withColumns(
         {
-            "_source_part": F.nullif(number, F.lit("")).cast("long"),
+            "_source_name_length": F.length(name),
             "_source_file": name,
             "_source_row": F.col("_metadata.row_index"),
         }

@@ -90,7 +90,7 @@ def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         *[F.expr(text).alias(name) for name, text in RECORD_EXPRESSIONS.items()],
-        F.lit(0).cast("long").alias("_source_part"),
+        F.lit(0).alias("_source_name_length"),
         F.lit("orders").alias("_source_file"),
         F.col("o_orderkey").alias("_source_row"),
         F.expr(RELEASE_EXPRESSION).alias("release"),

@@ -36,12 +36,12 @@ def plainly_named(frame: DataFrame) -> DataFrame:
 
 def bronze_state_filter(spark, sf_dir):
     kept = bronze.bronze_records(directory_records(spark, sf_dir))
-    return plainly_named(kept.drop("_source_part", "_source_file"))
+    return plainly_named(kept.drop("_source_name_length", "_source_file"))
 
 
 def conform_fields(spark, sf_dir):
     conformed = silver.conform(directory_records(spark, sf_dir))
-    return plainly_named(conformed.drop("_source_part", "_source_file"))
+    return plainly_named(conformed.drop("_source_name_length", "_source_file"))
 
 
 def _normalized(column: str, source: str, function) -> Query:
@@ -66,7 +66,7 @@ def derive_status(spark, sf_dir):
 
 def slots_to_rows(spark, sf_dir):
     rows = silver.slot_rows(silver.valid_individuals(directory_records(spark, sf_dir)))
-    return plainly_named(rows.drop("_source_part", "_source_file"))
+    return plainly_named(rows.drop("_source_name_length", "_source_file"))
 
 
 def first_taxonomy_per_key(spark, sf_dir):
