@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -24,6 +25,13 @@ def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
+def split_bytes(spark: SparkSession) -> int:
+    """Spark's split size, which settings may give with a unit."""
+    text = spark.conf.get("spark.sql.files.maxPartitionBytes").strip().lower()
+    number, unit = re.fullmatch(r"(\d+)\s*([kmgt]?)i?b?", text).groups()
+    return int(number) << {"": 0, "k": 10, "m": 20, "g": 30, "t": 40}[unit]
+
+
 def qualified(spark: SparkSession, path: str) -> str:
     """The path with its file system, so that tasks outside Spark's readers find the same one."""
     if "://" in path or path.startswith("file:"):

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.errors import ArchiveError
 from rosterlake.layout import HEADER_FILE_SUFFIX, MAIN_FILE_PREFIX, MAIN_FILE_SUFFIX
+from rosterlake.session import split_bytes
 
 # Tasks get these helpers with the job; workers need no installed package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -193,8 +194,7 @@ def land_archives(
     """
     if part_bytes is not None and part_bytes < 1:
         raise ValueError("part_bytes must be a positive whole number")
-    split = int(spark.conf.get("spark.sql.files.maxPartitionBytes").lower().removesuffix("b"))
-    cores = spark.sparkContext.defaultParallelism
+    split, cores = split_bytes(spark), spark.sparkContext.defaultParallelism
     parts = f"{folder}/parts"
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -229,11 +230,15 @@ def _catalog(name: str) -> Query:
 def run_manifest(spark, sf_dir):
     """Archive to manifest for both snapshots; times, paths and digests are left out."""
     zips, folder = once(write_archives, spark, sf_dir), scratch_folder(spark, "run")
-    for label in ("older", "newer"):
+
+    def run(label: str) -> str:
         database = f"run_{label}_{folder[-12:]}"
-        run_snapshot(
+        return run_snapshot(
             spark, f"{zips}/extract_{label}.zip", label, folder, database, f"{folder}/db/{label}"
         )
+
+    with ThreadPoolExecutor() as pool:  # snapshots do not depend on each other
+        list(pool.map(run, ("older", "newer")))
     manifests = spark.read.json(f"{folder}/gold/manifests/*.json")
     return manifests.select(
         "snapshot_label",
