@@ -172,16 +172,38 @@ def cohort_records(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfi
     )
 
 
+def provider_keys(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
+    """One narrow row per valid individual: its records, has it a code, is it in the cohort."""
+    valid = valid_individuals(bronze, profile)
+    coded = valid.select("npi", *slot_codes(valid))
+    codes = [F.col(name) for name in coded.columns[1:]]
+    return coded.groupBy("npi").agg(
+        F.count(F.lit(1)).alias("records"),
+        F.bool_or(any_code(codes, Column.isNotNull)).alias("has_code"),
+        F.bool_or(any_code(codes, in_cohort(profile))).alias("in_cohort"),
+    )
+
+
+def within(records: DataFrame, small_cohort: DataFrame | None) -> DataFrame:
+    """J2 ahead of any shuffle, for a key set that the caller has counted and found small."""
+    if small_cohort is None:
+        return records
+    return records.join(F.broadcast(small_cohort.select("npi")), "npi", "left_semi")
+
+
 def silver_providers(
-    bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()
+    bronze: DataFrame,
+    profile: DirectoryProfile = DirectoryProfile(),
+    small_cohort: DataFrame | None = None,
 ) -> DataFrame:
     """The first source row of each cohort provider, conformed.
 
     One grouping both picks the first row and decides membership over all rows of the key, so
     no join is needed. Fields travel as source text and are cleaned afterwards, once per
-    provider; entity and state are constants behind the filters and do not travel at all.
+    provider; entity and state are constants behind the filters and do not travel at all. With
+    a small cohort, only its rows travel.
     """
-    valid = valid_individuals(bronze, profile)
+    valid = within(valid_individuals(bronze, profile), small_cohort)
     known = {
         "entity_type_code": F.lit(profile.individual_code),
         "practice_state": F.lit(profile.state),
@@ -207,14 +229,19 @@ def silver_taxonomies(
     bronze: DataFrame,
     profile: DirectoryProfile = DirectoryProfile(),
     cohort: DataFrame | None = None,
+    small_cohort: DataFrame | None = None,
 ) -> DataFrame:
     """All codes of the retained providers, approved or not.
 
-    `cohort` may be the written Silver providers, which saves deriving their keys again.
-    Rows are unique per (provider, code) before the semi join shuffles them by provider.
+    `cohort` holds the retained keys of any number where a caller has them already. Rows are
+    unique per (provider, code) before the semi join shuffles them by provider. A small cohort
+    selects the records first, and no join follows.
     """
+    valid = within(valid_individuals(bronze, profile), small_cohort)
+    codes = first_per_code(slot_rows(valid))
+    if small_cohort is not None:
+        return codes
     keys = cohort_keys(bronze, profile) if cohort is None else cohort.select("npi")
-    codes = first_per_code(slot_rows(valid_individuals(bronze, profile)))
     return codes.join(keys, "npi", "left_semi")
 
 
@@ -223,19 +250,9 @@ def ordered_taxonomies(taxonomies: DataFrame) -> DataFrame:
     return taxonomies.orderBy("npi", "taxonomy_slot", "taxonomy_code")
 
 
-def records_without_taxonomy(
-    bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()
-) -> DataFrame:
-    """J4 and the cohort size, from fixed-width partial aggregates per provider."""
-    valid = valid_individuals(bronze, profile)
-    coded = valid.select("npi", *slot_codes(valid))
-    codes = [F.col(name) for name in coded.columns[1:]]
-    per_key = coded.groupBy("npi").agg(
-        F.count(F.lit(1)).alias("records"),
-        F.bool_or(any_code(codes, Column.isNotNull)).alias("has_code"),
-        F.bool_or(any_code(codes, in_cohort(profile))).alias("in_cohort"),
-    )
-    return per_key.agg(
+def key_quality(keys: DataFrame) -> DataFrame:
+    """J4 and the cohort size, from provider keys."""
+    return keys.agg(
         F.coalesce(F.sum(F.when(~F.col("has_code"), F.col("records"))), F.lit(0)).alias(
             "missing_taxonomy_count"
         ),
@@ -243,6 +260,13 @@ def records_without_taxonomy(
     )
 
 
+def records_without_taxonomy(
+    bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()
+) -> DataFrame:
+    """From fixed-width partial aggregates per provider."""
+    return key_quality(provider_keys(bronze, profile))
+
+
 def row_quality(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
     """A9, row part: counts over all Bronze rows, without a shuffle of rows.
 

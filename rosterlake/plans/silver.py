@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.layout import (
@@ -16,35 +16,65 @@ from rosterlake.layout import (
 )
 from rosterlake.operators.silver import (
     check_bronze,
+    key_quality,
     ordered_taxonomies,
-    quality_metrics,
+    provider_keys,
+    row_quality,
     silver_providers,
     silver_taxonomies,
 )
+from rosterlake.session import scratch_folder
 from rosterlake.sinks.files import run_time_utc, write_report, write_table
+from rosterlake.sources.archives import discard_folder
 from rosterlake.sources.tables import read_bronze
 
 
-def build_silver(
+# A cohort of up to this many providers is broadcast. A key is ten bytes long, and takes about
+# 64 bytes in the broadcast table: 64 MB at most.
+BROADCAST_KEYS = 1_000_000
+
+
+def write_silver(
     spark: SparkSession,
-    bronze_path: str,
+    bronze: DataFrame,
     folder: str,
     profile: DirectoryProfile = DirectoryProfile(),
+    broadcast_keys: int = BROADCAST_KEYS,
 ) -> dict[str, int]:
-    """Providers first, whose written keys then select the taxonomies.
+    """K3: both Silver tables of a Bronze table with positions; returns the quality counts.
 
-    The quality counts depend on Bronze alone, so their job runs beside the two writes.
+    A narrow pass first writes one row per provider. It gives the counts per provider and the
+    size of the cohort, which decides how the wide passes select it: a small one by broadcast,
+    so that other providers' records are never shuffled, a large one while grouping. The row
+    counts depend on Bronze alone, so their job runs beside the others.
     """
-    bronze = read_bronze(spark, bronze_path)
-    check_bronze(bronze)
-    providers_path = f"{folder}/{PROVIDERS_NAME}"
+    scratch = scratch_folder(spark, "silver")
     with ThreadPoolExecutor(max_workers=1) as beside:
-        counting = beside.submit(lambda: quality_metrics(bronze, profile).first().asDict())
-        write_table(silver_providers(bronze, profile), providers_path)
-        cohort = spark.read.parquet(providers_path)
-        taxonomies = silver_taxonomies(bronze, profile, cohort)
+        row_counts = beside.submit(lambda: row_quality(bronze, profile).first())
+        write_table(provider_keys(bronze, profile), f"{scratch}/keys")
+        keys = spark.read.parquet(f"{scratch}/keys")
+        key_counts = key_quality(keys).first()
+        cohort = keys.where("in_cohort").select("npi")
+        is_small = key_counts.primary_care_providers_retained <= broadcast_keys
+        small = cohort if is_small else None
+        write_table(silver_providers(bronze, profile, small), f"{folder}/{PROVIDERS_NAME}")
+        taxonomies = silver_taxonomies(bronze, profile, cohort, small)
         write_table(ordered_taxonomies(taxonomies), f"{folder}/{TAXONOMIES_NAME}")
-        counts = counting.result()
+        counts = row_counts.result().asDict() | key_counts.asDict()
+    discard_folder(scratch)
+    return {name: counts[name] for name in QUALITY_COUNTS}
+
+
+def build_silver(
+    spark: SparkSession,
+    bronze_path: str,
+    folder: str,
+    profile: DirectoryProfile = DirectoryProfile(),
+) -> dict[str, int]:
+    """S5, V3, V4, K3, K4."""
+    bronze = read_bronze(spark, bronze_path)
+    check_bronze(bronze)
+    counts = write_silver(spark, bronze, folder, profile)
     report = spark.range(1).select(
         run_time_utc().alias("run_time_utc"),
         *[F.lit(counts[name]).cast("long").alias(name) for name in QUALITY_COUNTS],

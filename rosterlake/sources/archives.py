@@ -209,8 +209,8 @@ def land_archives(
     return spark.read.parquet(listing)
 
 
-def discard_landing(folder: str) -> None:
-    """Remove a landing folder: unpacked text takes many times the space of its archive."""
+def discard_folder(folder: str) -> None:
+    """Remove a scratch folder: unpacked text takes many times the space of its archive."""
     filesystem, path = open_filesystem(folder)
     filesystem.delete_dir(path)
 

@@ -60,6 +60,16 @@ def test_taxonomies_reduce_before_the_shuffle(bronze):
     assert shuffles(frame) == 3  # (provider, code), then both sides of the semi join
 
 
+def test_small_cohort_selects_records_before_the_shuffle(bronze, silver):
+    for frame in (
+        S.silver_providers(bronze, small_cohort=silver[0]),
+        S.silver_taxonomies(bronze, small_cohort=silver[0]),
+    ):
+        assert shuffles(frame) == 1
+        join, exchange = plan(frame).index("BroadcastHashJoin"), plan(frame).index("Exchange hash")
+        assert exchange < join  # the plan prints the last step first
+
+
 def test_row_quality_moves_no_rows(bronze):
     frame = S.row_quality(bronze)
     assert shuffles(frame) == 0

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from rosterlake import layout as L
 from rosterlake.errors import ContractError
 from rosterlake.operators import silver as S
+from rosterlake.plans.silver import write_silver
 from tests.fixtures import CODE_1, CODE_2, SWITCH_1, SWITCH_2, bronze_frame, bronze_record
 
 
@@ -168,7 +169,7 @@ def test_another_profile(spark):
     assert [p.practice_state for p in providers] == ["NY"]
 
 
-def test_against_brute_force_with_a_hot_key(spark):
+def test_against_brute_force_with_a_hot_key(spark, tmp_path):
     """A third of the rows hold one key; results equal a plain loop over the rows."""
     codes = ["207Q00000X", "122300000X", "", " 208d00000x", "363L00000X"]
     records = []
@@ -212,5 +213,17 @@ def test_against_brute_force_with_a_hot_key(spark):
     assert taxonomies == {
         pair: (b[0], b[2]) for pair, b in best.items() if pair[0] in cohort
     }
+    for limit in (0, 10**6):  # a large cohort, a small cohort
+        written = write_silver(spark, bronze, f"{tmp_path}/{limit}", broadcast_keys=limit)
+        assert written == counts.asDict()
+        for name, frame in (
+            (L.PROVIDERS_NAME, S.silver_providers(bronze)),
+            (L.TAXONOMIES_NAME, S.silver_taxonomies(bronze)),
+        ):
+            stored = spark.read.parquet(f"{tmp_path}/{limit}/{name}")
+            assert stored.columns == frame.columns
+            assert sorted(map(tuple, stored.collect()), key=repr) == sorted(
+                map(tuple, frame.collect()), key=repr
+            )
     assert counts.missing_taxonomy_count == sum(n for npi, n in rows.items() if npi not in coded)
     assert counts.primary_care_providers_retained == len(cohort)

@@ -13,6 +13,7 @@ from rosterlake import layout as L
 from rosterlake.functions import clean_date, clean_npi, clean_zip
 from rosterlake.operators import bronze, changes, contracts, gold, silver
 from rosterlake.plans import build_bronze, build_silver, publish_gold, run_snapshot
+from rosterlake.plans.silver import write_silver
 from rosterlake.session import scratch_folder
 from rosterlake.sinks.catalog import gold_query
 from rosterlake.sinks.files import write_table
@@ -104,23 +105,21 @@ def key_violations(spark, sf_dir):
 # --- Gold ---------------------------------------------------------------------------------
 
 
-def write_silver(spark, sf_dir) -> str:
+def write_silver_tables(spark, sf_dir) -> str:
     """Silver tables of all records and of each release, as the pipeline stores them."""
     folder = scratch_folder(spark, "silver")
     records = directory_records(spark, sf_dir)
     for name in ("all", "older", "newer"):
         rows = records if name == "all" else release(records, name)
-        write_table(silver.silver_providers(rows), f"{folder}/{name}/providers")
-        cohort = spark.read.parquet(f"{folder}/{name}/providers")
-        write_table(silver.silver_taxonomies(rows, cohort=cohort), f"{folder}/{name}/taxonomies")
+        write_silver(spark, rows, f"{folder}/{name}")
     return folder
 
 
 def _silver(spark, sf_dir, name="all"):
-    folder = once(write_silver, spark, sf_dir)
+    folder = once(write_silver_tables, spark, sf_dir)
     return (
-        spark.read.parquet(f"{folder}/{name}/providers"),
-        spark.read.parquet(f"{folder}/{name}/taxonomies"),
+        spark.read.parquet(f"{folder}/{name}/{L.PROVIDERS_NAME}"),
+        spark.read.parquet(f"{folder}/{name}/{L.TAXONOMIES_NAME}"),
     )
 
 
