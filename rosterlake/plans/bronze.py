@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from rosterlake.errors import JOB_ERRORS, MalformedSourceError
 from rosterlake.layout import BRONZE_NAME, BRONZE_REPORT_NAME, POSITION, DirectoryProfile
 from rosterlake.operators.bronze import bronze_records, retained_columns
-from rosterlake.session import scratch_folder
+from rosterlake.session import discard_folder, scratch_folder
 from rosterlake.sinks.files import run_time_utc, write_report, write_table
-from rosterlake.sources.archives import discard_folder, land_archives
+from rosterlake.sources.archives import land_archives
 from rosterlake.sources.delimited import MALFORMED, read_parts
 from rosterlake.sources.tables import row_count
 
@@ -73,5 +73,5 @@ def build_bronze(
         F.array(*[F.lit(name) for name in columns]).alias("retained_columns"),
     )
     write_report(report, f"{folder}/{BRONZE_REPORT_NAME.format(stem=stem)}")
-    discard_folder(scratch)
+    discard_folder(spark, scratch)
     return metadata

@@ -23,9 +23,8 @@ from rosterlake.operators.silver import (
     silver_providers,
     silver_taxonomies,
 )
-from rosterlake.session import scratch_folder
+from rosterlake.session import discard_folder, scratch_folder
 from rosterlake.sinks.files import run_time_utc, write_report, write_table
-from rosterlake.sources.archives import discard_folder
 from rosterlake.sources.tables import read_bronze
 
 
@@ -61,7 +60,7 @@ def write_silver(
         taxonomies = silver_taxonomies(bronze, profile, cohort, small)
         write_table(ordered_taxonomies(taxonomies), f"{folder}/{TAXONOMIES_NAME}")
         counts = row_counts.result().asDict() | key_counts.asDict()
-    discard_folder(scratch)
+    discard_folder(spark, scratch)
     return {name: counts[name] for name in QUALITY_COUNTS}
 
 

@@ -51,3 +51,9 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
             raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.gettempdir()
     return qualified(spark, f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+
+
+def discard_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a scratch folder: unpacked text takes many times the space of its archive."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -209,12 +209,6 @@ def land_archives(
     return spark.read.parquet(listing)
 
 
-def discard_folder(folder: str) -> None:
-    """Remove a scratch folder: unpacked text takes many times the space of its archive."""
-    filesystem, path = open_filesystem(folder)
-    filesystem.delete_dir(path)
-
-
 def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         digests = []

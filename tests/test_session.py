@@ -1,8 +1,10 @@
 """Session helpers."""
 
+import os
+
 import pytest
 
-from rosterlake.session import qualified, scratch_folder, split_bytes
+from rosterlake.session import discard_folder, qualified, scratch_folder, split_bytes
 
 
 @pytest.mark.parametrize(
@@ -22,6 +24,13 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one != other and one.startswith(f"file:{shared}/x-")
 
 
+def test_discard(spark):
+    folder = scratch_folder(spark, "x")
+    spark.range(3).write.parquet(f"{folder}/t")
+    discard_folder(spark, folder)
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
 def test_qualified_paths(spark):
     assert qualified(spark, "/a/b") == "file:/a/b"
     assert qualified(spark, "hdfs://n/a") == "hdfs://n/a"
