@@ -43,6 +43,6 @@ def bronze_records(source: DataFrame, profile: DirectoryProfile = DirectoryProfi
     """
     names = retained_columns(source.columns)
     position = [name for name in POSITION if name in source.columns]
-    return source.where(in_state(profile)).select(
-        *[F.coalesce(quoted(n).cast("string"), F.lit("")).alias(n) for n in names], *position
+    return source.where(in_state(profile)).selectExpr(
+        *[f"coalesce(string(`{name}`), '') AS `{name}`" for name in names], *position
     )
