@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rosterlake.errors import JOB_ERRORS, MalformedSourceError
 from rosterlake.layout import BRONZE_NAME, BRONZE_REPORT_NAME, POSITION, DirectoryProfile
 from rosterlake.operators.bronze import bronze_records, retained_columns
-from rosterlake.session import discard_folder, scratch_folder
+from rosterlake.session import scratch_space
 from rosterlake.sinks.files import run_time_utc, write_report, write_table
 from rosterlake.sources.archives import land_archives
 from rosterlake.sources.delimited import MALFORMED, read_parts
@@ -37,25 +37,24 @@ def build_bronze(
     are retried. Kept rows are few, and a second small job sorts them by source position into
     well-sized files of the contract's columns.
     """
-    scratch = scratch_folder(spark, "bronze")
-    landed = land_archives(spark, archive, scratch, part_bytes)
-    source = read_parts(spark, scratch, landed)
-    columns = retained_columns(source.columns)
-    seen = Observation("source_records")
-    counted = source.observe(seen, F.count(F.lit(1)).alias("input_row_count"))
-    try:
-        write_table(bronze_records(counted, profile), f"{scratch}/kept")
-    except JOB_ERRORS as error:
-        if MALFORMED in str(error):
-            raise MalformedSourceError(
-                f"{archive}: a record has more fields than the header"
-            ) from error
-        raise
     stem = archive_stem(archive)
     output = BRONZE_NAME.format(stem=stem)
-    kept = spark.read.parquet(f"{scratch}/kept")
-    in_order = kept.orderBy(*POSITION).drop(*POSITION)
-    write_table(in_order, f"{folder}/{output}")
+    with scratch_space(spark, "bronze") as scratch:
+        landed = land_archives(spark, archive, scratch, part_bytes)
+        source = read_parts(spark, scratch, landed)
+        columns = retained_columns(source.columns)
+        seen = Observation("source_records")
+        counted = source.observe(seen, F.count(F.lit(1)).alias("input_row_count"))
+        try:
+            write_table(bronze_records(counted, profile), f"{scratch}/kept")
+        except JOB_ERRORS as error:
+            if MALFORMED in str(error):
+                raise MalformedSourceError(
+                    f"{archive}: a record has more fields than the header"
+                ) from error
+            raise
+        kept = spark.read.parquet(f"{scratch}/kept")
+        write_table(kept.orderBy(*POSITION).drop(*POSITION), f"{folder}/{output}")
 
     metadata = {
         "source_filename": archive.rstrip("/").rsplit("/", 1)[-1],
@@ -73,5 +72,4 @@ def build_bronze(
         F.array(*[F.lit(name) for name in columns]).alias("retained_columns"),
     )
     write_report(report, f"{folder}/{BRONZE_REPORT_NAME.format(stem=stem)}")
-    discard_folder(spark, scratch)
     return metadata

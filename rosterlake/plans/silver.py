@@ -23,7 +23,7 @@ from rosterlake.operators.silver import (
     silver_providers,
     silver_taxonomies,
 )
-from rosterlake.session import discard_folder, scratch_folder
+from rosterlake.session import scratch_space
 from rosterlake.sinks.files import run_time_utc, write_report, write_table
 from rosterlake.sources.tables import read_bronze
 
@@ -47,8 +47,7 @@ def write_silver(
     so that other providers' records are never shuffled, a large one while grouping. The row
     counts depend on Bronze alone, so their job runs beside the others.
     """
-    scratch = scratch_folder(spark, "silver")
-    with ThreadPoolExecutor(max_workers=1) as beside:
+    with scratch_space(spark, "silver") as scratch, ThreadPoolExecutor(max_workers=1) as beside:
         row_counts = beside.submit(lambda: row_quality(bronze, profile).first())
         write_table(provider_keys(bronze, profile), f"{scratch}/keys")
         keys = spark.read.parquet(f"{scratch}/keys")
@@ -60,7 +59,6 @@ def write_silver(
         taxonomies = silver_taxonomies(bronze, profile, cohort, small)
         write_table(ordered_taxonomies(taxonomies), f"{folder}/{TAXONOMIES_NAME}")
         counts = row_counts.result().asDict() | key_counts.asDict()
-    discard_folder(spark, scratch)
     return {name: counts[name] for name in QUALITY_COUNTS}
 
 

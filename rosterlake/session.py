@@ -5,6 +5,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -53,7 +55,15 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     return qualified(spark, f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
 
 
-def discard_folder(spark: SparkSession, folder: str) -> None:
-    """Remove a scratch folder: unpacked text takes many times the space of its archive."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+@contextmanager
+def scratch_space(spark: SparkSession, purpose: str) -> Iterator[str]:
+    """A scratch folder that is removed afterwards, also when the work in it fails.
+
+    Unpacked text takes many times the space of its archive.
+    """
+    folder = scratch_folder(spark, purpose)
+    try:
+        yield folder
+    finally:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

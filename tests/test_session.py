@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from rosterlake.session import discard_folder, qualified, scratch_folder, split_bytes
+from rosterlake.session import qualified, scratch_folder, scratch_space, split_bytes
 
 
 @pytest.mark.parametrize(
@@ -24,10 +24,18 @@ def test_scratch_is_below_the_shared_folder(spark):
     assert one != other and one.startswith(f"file:{shared}/x-")
 
 
-def test_discard(spark):
-    folder = scratch_folder(spark, "x")
-    spark.range(3).write.parquet(f"{folder}/t")
-    discard_folder(spark, folder)
+def test_scratch_space_is_removed(spark):
+    with scratch_space(spark, "x") as folder:
+        spark.range(3).write.parquet(f"{folder}/t")
+        assert os.path.exists(folder.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
+def test_scratch_space_is_removed_after_a_failure(spark):
+    with pytest.raises(KeyError):
+        with scratch_space(spark, "x") as folder:
+            spark.range(3).write.parquet(f"{folder}/t")
+            raise KeyError
     assert not os.path.exists(folder.removeprefix("file:"))
 
 
