@@ -49,9 +49,14 @@ def compared_codes(frame: DataFrame, label: str = "The taxonomy snapshot") -> Da
 
 
 def known_codes(taxonomies: DataFrame, providers: DataFrame) -> DataFrame:
-    """Pairs whose provider is in the same snapshot."""
-    return compared_codes(taxonomies).join(
-        compared_providers(providers).select("npi").distinct(), "npi", "left_semi"
+    """Each provider's distinct codes, for providers of the same snapshot.
+
+    Pairs become distinct before they are shuffled by provider.
+    """
+    return (
+        compared_codes(taxonomies)
+        .distinct()
+        .join(compared_providers(providers).select("npi").distinct(), "npi", "left_semi")
     )
 
 

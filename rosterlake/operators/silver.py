@@ -44,6 +44,11 @@ from rosterlake.operators.bronze import in_state, quoted
 from rosterlake.operators.contracts import require_columns, taxonomy_slots
 
 
+# A provider with more records than this is spread over so many partial keys in a join of whole
+# records. At 3e11 records, hot keys are at most 300 000: some 20 MB.
+HOT_RECORDS, SALTS = 1_000_000, 1024
+
+
 def check_bronze(bronze: DataFrame) -> None:
     """V3, V4."""
     require_columns(bronze.columns, SILVER_INPUT_COLUMNS, "The Bronze table")
@@ -165,10 +170,33 @@ def cohort_keys(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile(
     return valid.where(any_code(slot_codes(valid), in_cohort(profile))).select("npi").distinct()
 
 
-def cohort_records(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
-    """Every valid record of a cohort provider, with or without a code of its own."""
-    return valid_individuals(bronze, profile).join(
-        cohort_keys(bronze, profile), "npi", "left_semi"
+def cohort_records(
+    bronze: DataFrame,
+    profile: DirectoryProfile = DirectoryProfile(),
+    hot_records: int = HOT_RECORDS,
+    salts: int = SALTS,
+) -> DataFrame:
+    """Every valid record of a cohort provider, with or without a code of its own.
+
+    Whole records meet the keys here, and one provider may have a third of them. Records of a
+    provider with more than `hot_records` are spread over `salts` partial keys; other providers
+    have one. There are at most rows / `hot_records` hot providers, so their keys are broadcast.
+    """
+    keys = provider_keys(bronze, profile).where("in_cohort")
+    is_hot = F.col("records") > hot_records
+    hot = keys.where(is_hot).select("npi", F.lit(True).alias("is_hot"))
+    last = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
+    spread = F.pmod(F.xxhash64(*POSITION), F.lit(salts)).cast("int")
+    return (
+        valid_individuals(bronze, profile)
+        .join(F.broadcast(hot), "npi", "left")
+        .withColumn("salt", F.when(F.col("is_hot"), spread).otherwise(F.lit(0)))
+        .join(
+            keys.select("npi", F.explode(F.sequence(F.lit(0), last)).alias("salt")),
+            ["npi", "salt"],
+            "left_semi",
+        )
+        .drop("is_hot", "salt")
     )
 
 

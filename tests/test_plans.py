@@ -70,6 +70,12 @@ def test_small_cohort_selects_records_before_the_shuffle(bronze, silver):
         assert exchange < join  # the plan prints the last step first
 
 
+def test_cohort_records_spread_each_provider(bronze):
+    text = plan(S.cohort_records(bronze))
+    assert re.search(r"SortMergeJoin \[npi#\d+, salt#\d+\], \[npi#\d+, salt#\d+\], LeftSemi", text)
+    assert text.count("BroadcastHashJoin") == 1
+
+
 def test_row_quality_moves_no_rows(bronze):
     frame = S.row_quality(bronze)
     assert shuffles(frame) == 0

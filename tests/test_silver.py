@@ -225,5 +225,12 @@ def test_against_brute_force_with_a_hot_key(spark, tmp_path):
             assert sorted(map(tuple, stored.collect()), key=repr) == sorted(
                 map(tuple, frame.collect()), key=repr
             )
+    for limit in (10, 10**6):  # some providers are hot, none is
+        records_of = S.cohort_records(bronze, hot_records=limit, salts=7)
+        assert records_of.columns == ["npi", *[c for c in bronze.columns if c != L.NPI]]
+        members = records_of.select("npi", f"`{L.LAST_NAME}`").collect()
+        assert sorted(map(tuple, members)) == sorted(
+            (r[L.NPI], r[L.LAST_NAME]) for r in valid if r[L.NPI] in cohort
+        )
     assert counts.missing_taxonomy_count == sum(n for npi, n in rows.items() if npi not in coded)
     assert counts.primary_care_providers_retained == len(cohort)

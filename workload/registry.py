@@ -156,7 +156,7 @@ def _attribute_changes(missing_equal: bool) -> Query:
 
 def known_codes(spark, sf_dir):
     old_providers, _, old_taxonomies, new_taxonomies = _snapshots(spark, sf_dir)
-    return changes.known_codes(old_taxonomies.unionByName(new_taxonomies), old_providers).distinct()
+    return changes.known_codes(old_taxonomies.unionByName(new_taxonomies), old_providers)
 
 
 def taxonomy_set_changes(spark, sf_dir):
