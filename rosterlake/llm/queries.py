@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rosterlake.llm.common import table
+from rosterlake.llm.mixing import planned
+from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
 
 
@@ -14,8 +17,71 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return planned(table(spark, sf_dir, "documents")).drop("takes")
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return shard_ids(docs.select("doc_id", F.octet_length("text").alias("n_bytes")), "doc_id", "n_bytes")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op8_mixing": op8_mixing,
+    "op10_sharding": op10_sharding,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_mixing": r"""
+        WITH sized AS (
+            SELECT doc_id, source, md5(doc_id::VARCHAR) AS hash,
+                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+            FROM documents),
+        sources AS (
+            SELECT source, sum(size)::BIGINT AS source_size,
+                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                        WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
+            FROM sized GROUP BY source),
+        filled AS (
+            SELECT *, 2 * source_size AS most, 2 * source_size / weight AS factor,
+                   1.5::DOUBLE * sum(source_size) OVER ()
+                     - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+                   sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+            FROM sources),
+        first_left AS (
+            SELECT remaining AS rest, weights AS shares FROM filled WHERE most * weights > remaining * weight
+            ORDER BY factor, source NULLS LAST LIMIT 1),
+        targets AS (
+            SELECT source, source_size,
+                   CASE WHEN most * weights <= remaining * weight THEN most::DOUBLE
+                        ELSE weight * rest / shares END AS target
+            FROM filled LEFT JOIN first_left ON true),
+        placed AS (
+            SELECT sized.*, source_size, target,
+                   sum(size) OVER (PARTITION BY sized.source ORDER BY hash, doc_id
+                                   ROWS UNBOUNDED PRECEDING) - size AS start
+            FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+        SELECT doc_id, size, source_size, target,
+               (least(greatest(round(target) - start, 0), size)
+                + least(greatest(round(target) - source_size - start, 0), size))::BIGINT AS taken
+        FROM placed""",
+    "op10_sharding": f"""
+        WITH hashed AS (
+            SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
+                   ('0x' || substr(md5(doc_id::VARCHAR), 1, 7))::BIGINT AS h
+            FROM documents),
+        nodes AS (
+            SELECT d, h >> (28 - d) AS p, sum(n_bytes)::BIGINT AS shard_bytes, count(*) AS shard_rows
+            FROM hashed, range(0, 29) AS t(d) GROUP BY ALL),
+        fitting AS (
+            SELECT hashed.*, nodes.d, p, shard_bytes, shard_rows,
+                   row_number() OVER (PARTITION BY doc_id ORDER BY nodes.d) AS nth
+            FROM hashed JOIN nodes ON h >> (28 - nodes.d)::INTEGER = p
+            WHERE shard_bytes <= {SHARD_BYTES} OR shard_rows = 1)
+        SELECT doc_id, n_bytes, CASE d WHEN 0 THEN '' ELSE lpad(to_base(p, 2), d::INTEGER, '0') END AS shard,
+               d::INTEGER AS depth, shard_rows, shard_bytes
+        FROM fitting WHERE nth = 1""",
+}

@@ -1,0 +1,84 @@
+"""Source targets and curriculum positions against plain Python."""
+
+import random
+
+import pytest
+
+from rosterlake.llm.mixing import SCHEDULES, areas, mixed, planned
+
+SCHEMA = "doc_id long, text string, source string, size int, target string, row int"
+
+
+def corpus(sizes, seed=1):
+    rng, rows = random.Random(seed), []
+    for source, total in sizes.items():
+        while total > 0:
+            n = min(total, rng.randrange(1, 60))
+            rows.append((len(rows), rng.choice([" ", "\n\t"]).join(["w"] * n), source, 0, "x", 1))
+            total -= n
+    return rows
+
+
+def slow_targets(sizes, weights=(3, 1, 2), share=1.5):
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % 3] for i, s in enumerate(names)}
+    target, open_, budget = {}, set(names), share * sum(sizes.values())
+    while open_:
+        fill = budget / sum(weight[s] for s in open_)
+        over = {s for s in open_ if weight[s] * fill > 2 * sizes[s]}
+        if not over:
+            return target | {s: weight[s] * fill for s in open_}
+        target |= {s: 2 * sizes[s] for s in over}
+        budget -= sum(2 * sizes[s] for s in over)
+        open_ -= over
+    return target
+
+
+@pytest.mark.parametrize("buckets", [10_000, 7])
+@pytest.mark.parametrize(
+    "sizes",
+    [{"a": 900, "b": 700, "c": 40, None: 800}, {"hot": 5000, "é": 3, "z": 10, "Z": 80}, {"only": 50}],
+)
+def test_targets_and_takes(spark, sizes, buckets):
+    frame = spark.createDataFrame(corpus(sizes), SCHEMA)
+    rows = planned(frame.repartition(5), bucket_rows=buckets).join(frame.select("doc_id", "source"), "doc_id").collect()
+    expected = slow_targets(sizes)
+    for source, size in sizes.items():
+        own = [r for r in rows if r.source == source]
+        assert {r.source_size for r in own} == {size}
+        assert all(r.target == pytest.approx(expected[source]) for r in own)
+        assert abs(sum(r.taken for r in own) - expected[source]) <= 1
+        assert all(0 <= r.taken <= 2 * r.size for r in own)
+        assert sum(r.taken not in (0, r.size, 2 * r.size) for r in own) <= 1
+
+
+def test_positions_invert_the_schedule(spark):
+    frame = spark.createDataFrame(corpus({"a": 3000, "b": 3000, "c": 3000}), SCHEMA)
+    rows = planned(frame).join(frame.select("doc_id", "source"), "doc_id").collect()
+    for source, schedule in zip("abc", SCHEDULES, strict=True):
+        takes = sorted(t for r in rows if r.source == source for t in r.takes)
+        total, read = sum(t.n_words for t in takes), 0
+        for take in takes:
+            time = take.position
+            k = max(i for i in range(len(schedule) - 1) if schedule[i][0] <= time)
+            (t0, r0), (t1, r1) = schedule[k], schedule[k + 1]
+            rate = r0 + (r1 - r0) * (time - t0) / (t1 - t0)
+            asked = (areas(schedule)[k] + (time - t0) * (r0 + rate) / 2) / areas(schedule)[-1]
+            assert asked == pytest.approx((read + take.n_words / 2) / total, abs=1e-3)
+            read += take.n_words
+    early = [sum(t.n_words for r in rows if r.source == s for t in r.takes if t.position < 0.5) for s in "ab"]
+    late = [sum(t.n_words for r in rows if r.source == s for t in r.takes if t.position >= 0.5) for s in "ab"]
+    assert early[0] < late[0] and early[1] > late[1]
+
+
+def test_mixed_rows(spark):
+    rows = corpus({"a": 900, "b": 700, "c": 40}) + [(7, None, "a", 0, "y", 2), (None, "one two", None, 0, "y", 2)]
+    frame = spark.createDataFrame(rows + rows[:3], SCHEMA)
+    plan, out = planned(frame).collect(), mixed(frame)
+    assert out.columns == frame.columns
+    words = sum(len((r.text or "").split()) for r in out.collect())
+    assert words == sum(r.taken for r in plan)
+    assert len(plan) == len(rows) + 3
+    assert out.collect() == mixed(frame.repartition(3)).collect()
+    assert mixed(frame.limit(0)).count() == planned(frame.limit(0)).count() == 0
+    assert planned(frame.where("text is null")).collect()[0].taken == 0
