@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 from rosterlake.session import scratch_folder
 
@@ -23,11 +28,6 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(folder)
 
 
-def keyed(df: DataFrame, key: str, *values: str) -> DataFrame:
-    """Only the named columns, so that extra columns cannot clash with those of an operator."""
-    return df.select(key, *values)
-
-
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over `links` (a, b), for each linked node.
 
@@ -87,3 +87,29 @@ def _state(edges: DataFrame) -> tuple:
             F.sum(F.shiftrightunsigned(mixed, 32)),
         ).first()
     )
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name that the rows do not have yet."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name = f"_{name}"
+    return name
+
+
+def appended(df: DataFrame, text_col: str, fields: dict[str, str], work: Callable[[list], list[list]]) -> DataFrame:
+    """The rows with new columns that `work` computes from the texts of an Arrow batch.
+
+    `fields` maps each new column to its DDL type; `work` returns one list of values per field.
+    Other columns pass through as they are.
+    """
+    schema = StructType([*df.schema, *StructType.fromDDL(", ".join(f"`{k}` {v}" for k, v in fields.items()))])
+    kinds = [f.type for f in to_arrow_schema(StructType(schema.fields[len(df.columns) :]))]
+    at = df.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = work(batch.column(at).to_pylist())
+            new = [pa.array(v, type=kind) for v, kind in zip(values, kinds, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
+
+    return df.mapInArrow(run, schema)

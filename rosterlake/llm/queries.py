@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.llm.common import table
+from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
 from rosterlake.llm.mixing import planned
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
@@ -17,6 +18,21 @@ def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, hits = benchmark_hits(docs, table(spark, sf_dir, "benchmark"))
+    found = F.col(hits)
+    names = F.array_sort(F.transform(found["item_ids"], lambda item: item.cast("string")))
+    return rows.select(
+        "doc_id",
+        found["n_words"].alias("n_words"),
+        found["n_hit"].alias("n_hit"),
+        F.size(found["item_ids"]).cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", names), 256).alias("items_sha256"),
+        is_contaminated(hits).alias("contaminated"),
+    )
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned(table(spark, sf_dir, "documents")).drop("takes")
 
@@ -28,6 +44,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_mixing": op8_mixing,
     "op10_sharding": op10_sharding,
 }
