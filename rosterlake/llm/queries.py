@@ -13,6 +13,7 @@ from rosterlake.llm.mixing import planned
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
 from rosterlake.llm.toxicity import is_held_out, toxicity_scores
+from rosterlake.llm.warc import warc_round_trip
 
 
 def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -44,6 +45,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned(table(spark, sf_dir, "documents")).drop("takes")
 
 
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages"))
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return shard_ids(docs.select("doc_id", F.octet_length("text").alias("n_bytes")), "doc_id", "n_bytes")
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_mixing": op8_mixing,
+    "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }
 
