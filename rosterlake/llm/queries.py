@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +13,7 @@ from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
 from rosterlake.llm.mixing import planned
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
+from rosterlake.llm.tokens import token_round_trip
 from rosterlake.llm.toxicity import is_held_out, toxicity_scores
 from rosterlake.llm.warc import warc_round_trip
 
@@ -41,6 +43,12 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # this tokenizer drops white space and never joins what it parts
+    return token_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned(table(spark, sf_dir, "documents")).drop("takes")
 
@@ -58,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_token_output": op6_token_output,
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
