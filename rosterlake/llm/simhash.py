@@ -2,15 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
-import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import components, stored
+from rosterlake.llm.common import appended, components, fresh, stored
 
 SHINGLE_WORDS = 4
 MAX_BITS = 4
@@ -46,16 +43,13 @@ def fingerprint_of(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp): one signed 64-bit fingerprint per row of `docs`, computed in Arrow batches."""
+    """(id, key, fp): a 64-bit fingerprint per row of `docs`, and a hash that tells its text."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fps = [fingerprint_of(t, words) for t in batch["text"]]
-            yield pd.DataFrame({"id": batch["id"], "fp": np.array(fps, dtype=np.int64)})
+    def work(texts: list) -> list[list]:
+        return [[fingerprint_of(t, words) for t in texts]]
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    chosen = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    return chosen.mapInPandas(run, f"id {kind}, fp bigint")
+    chosen = docs.select(F.col(id_col).alias("id"), F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+    return appended(chosen, "text", {"fp": "bigint"}, work).drop("text")
 
 
 def segments(max_bits: int) -> list[tuple[int, int, int]]:
@@ -180,12 +174,38 @@ def simhash_groups(
     have fingerprint 0 and are linked like any other; repeated rows each get their row; an empty
     table gives none. Rows with a null id get a null component unless their group has an id.
     """
+    known, named = _grouped(docs, id_col, text_col, words, max_bits)
+    return known.join(named, "fp").select(
+        F.col("id").alias(id_col), hex_of(F.col("fp")).alias("fingerprint"), "component_id"
+    )
+
+
+def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+    """(id, key, fp) of all rows, and (fp, root, component_id) of the distinct fingerprints."""
     known = stored(fingerprints(docs, id_col, text_col, words), "simhash")
     firsts = stored(known.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
     rooted = firsts.join(fingerprint_groups(firsts.select("fp"), max_bits), "fp")
     rooted = stored(rooted, "simhash-rooted")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    named = rooted.join(smallest, "root").select("fp", "component_id")
-    return known.join(named, "fp").select(
-        F.col("id").alias(id_col), hex_of(F.col("fp")).alias("fingerprint"), "component_id"
-    )
+    return known, rooted.join(smallest, "root").select("fp", "root", "component_id")
+
+
+def without_near_copies(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    words: int = SHINGLE_WORDS,
+    max_bits: int = MAX_BITS,
+) -> DataFrame:
+    """One row of `docs` of each group: that with the smallest id (nulls last, then any one text).
+
+    Fingerprints and groups are narrow; the texts are shuffled once, to pick the rows that stay.
+    """
+    known, named = _grouped(docs, id_col, text_col, words, max_bits)
+    order = F.struct(F.col("id").isNull(), "id", "key")
+    kept = known.join(named, "fp").groupBy("root").agg(F.min(order).alias("one")).select("one.id", "one.key")
+    key = fresh(docs, "text_key")
+    rows = docs.withColumn(key, F.xxhash64(text_col))
+    kept = kept.select(F.col("id").alias(fresh(rows, "kept_id")), F.col("key").alias(fresh(rows, "kept_key")))
+    same = rows[id_col].eqNullSafe(kept[kept.columns[0]]) & (rows[key] == kept[kept.columns[1]])
+    return rows.join(kept, same, "left_semi").dropDuplicates([id_col, key]).drop(key)

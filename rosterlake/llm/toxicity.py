@@ -291,3 +291,9 @@ def toxicity_scores(
     name = fresh(docs, "toxicity")
     typed = f"struct<score: double, predicted: int, evidence: array<{kind}>, cosines: array<double>>"
     return appended(docs, text_col, {name: typed}, work), name
+
+
+def without_toxic(docs: DataFrame, labels: DataFrame, **options) -> DataFrame:
+    """The rows of `docs` that are not predicted toxic."""
+    scored, name = toxicity_scores(docs, labels, **options)
+    return scored.where(F.col(name)["predicted"] == 0).drop(name)

@@ -7,7 +7,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rosterlake.llm.simhash import fingerprint_of, fingerprint_groups, segments, simhash_groups
+from rosterlake.llm.simhash import fingerprint_of, fingerprint_groups, segments, simhash_groups, without_near_copies
 
 SCHEMA = "doc_id long, text string, fp string, component_id int"
 
@@ -92,3 +92,17 @@ def test_repeated_rows_and_empty_table(spark):
     found = simhash_groups(frame).groupBy("doc_id", "component_id").agg(F.count("*").alias("n")).collect()
     assert {(r.doc_id, r.component_id, r.n) for r in found} == {(1, 1, 2), (None, 1, 1), (2, 2, 1)}
     assert simhash_groups(frame.limit(0)).count() == 0
+
+
+def test_one_row_of_each_group_stays(spark):
+    rows = [(i, t, "clash") for i, t in enumerate(texts())]
+    rows += [rows[3], rows[3], (None, "one", "x"), (None, "only here", "x"), (None, "only here", "x"), (20, "another text of 20", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, text_key string")
+    kept = without_near_copies(frame)
+    groups = {(r.doc_id, r.fingerprint): r.component_id for r in simhash_groups(frame).collect()}
+    assert kept.columns == frame.columns
+    found = [(r.doc_id, f"{slow_fingerprint(r.text):016x}") for r in kept.collect()]
+    assert len(found) == len(set(found)) == 1 + len({(c, f if c is None else 0) for (_, f), c in groups.items()})
+    assert all(groups[f] == f[0] for f in found)
+    assert sum(i == 20 for i, _ in found) == 2  # two groups, each with this smallest id
+    assert without_near_copies(frame.limit(0)).count() == 0
