@@ -13,6 +13,7 @@ from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
 from rosterlake.llm.mixing import planned
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
+from rosterlake.llm.suffixes import without_repeats
 from rosterlake.llm.tokens import token_round_trip
 from rosterlake.llm.toxicity import is_held_out, toxicity_scores
 from rosterlake.llm.warc import warc_round_trip
@@ -43,6 +44,18 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = without_repeats(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    return rows.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     # this tokenizer drops white space and never joins what it parts
@@ -66,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_output": op6_token_output,
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
