@@ -7,7 +7,7 @@ import os
 import re
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,16 +27,19 @@ BATCH = 64
 SHARD_BYTES = 32 << 20
 #: Text encoded at a time, and words whose ids a worker keeps.
 PIECE_BYTES = 1 << 20
-MEMO_WORDS = 500_000
+MEMO_WORDS = 1_200_000
 _SPACE = re.compile(rb"[\t-\r ]")
+#: Punctuation right after a letter or digit starts a token of its own.
+_PUNCTUATION = b",.;:!?"
 
 
 class Encoder:
     """Texts to ids by a tokenizer of the tokenizers library, in bounded memory.
 
-    With `by_word`, for tokenizers that drop white space and never join what it parts, each word
-    between ASCII white space is encoded once and its ids are kept; texts are then cut at white
-    space too, so that a very long one is never held as tokens. Otherwise texts are encoded whole.
+    With `by_word`, for tokenizers that ignore case, drop white space, part words from punctuation
+    and leave a lower-case ASCII word to the model as it is, each word is encoded once and its ids are kept; texts are then cut at
+    white space too, so that a very long one is never held as tokens. Otherwise texts are encoded
+    whole.
     """
 
     def __init__(self, path: str, by_word: bool) -> None:
@@ -47,41 +50,75 @@ class Encoder:
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo: dict[bytes, bytes] = {}
 
-    def __call__(self, text: bytes) -> Iterator[np.ndarray]:
-        if not self.by_word:
-            found = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
-            yield np.array(found.ids, self.type)
-            return
-        for piece in pieces(text):
-            words = piece.split()
-            new = [*{w for w in words if w not in self.memo}]
-            if len(self.memo) + len(new) > MEMO_WORDS:
-                self.memo.clear()
-                new = [*set(words)]
-            if new:
-                self.learn(new)
-            yield np.frombuffer(b"".join(map(self.memo.__getitem__, words)), self.type)
-
-    def learn(self, words: list[bytes]) -> None:
+    def __call__(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, bool]]:
+        """(ids, whether a text ends with them), for all texts in order."""
+        waiting, size = [], 0
+        for text in texts:
+            if not self.by_word:
+                found = self.tokenizer.encode(text.decode("utf-8", "replace"), add_special_tokens=False)
+                yield np.array(found.ids, self.type), True
+                continue
+            for piece, last in pieces(text):
+                waiting.append((piece.split(), last))
+                size += len(piece)
+                if size >= PIECE_BYTES:
+                    yield from self.encoded(waiting)
+                    waiting, size = [], 0
+        yield from self.encoded(waiting)
+
+    def encoded(self, waiting: list[tuple[list[bytes], bool]]) -> Iterator[tuple[np.ndarray, bool]]:
+        found = [[*map(self.memo.get, own)] for own, _ in waiting]
+        new: set[bytes] = set()
+        for (own, _), ids in zip(waiting, found, strict=True):
+            if None in ids:
+                new.update(w for w, known in zip(own, ids, strict=True) if known is None)
+        if new:
+            if len(self.memo) + 2 * len(new) > MEMO_WORDS:
+                self.memo, new = {}, set().union(*(own for own, _ in waiting))
+            self.learn(new)
+        for (own, last), ids in zip(waiting, found, strict=True):
+            if None in ids:
+                ids = map(self.memo.__getitem__, own)
+            yield np.frombuffer(b"".join(ids), self.type), last
+
+    def learn(self, new: set[bytes]) -> None:
+        """Ids of the new words, from those of their lower-case stems and the punctuation after."""
+        memo, stems = self.memo, {}
+        for word in new:
+            stem = word.rstrip(_PUNCTUATION)
+            if stem is not word and not stem[-1:].isalnum():  # of bytes: an ASCII letter or digit
+                stem = word
+            low = stem.lower() if stem.isascii() else stem
+            if low != word:
+                stems[word] = (low, word[len(stem) :])
+        wanted = new.difference(stems).union(*stems.values())
+        wanted.discard(b"")
+        rest, model, kind = [], self.tokenizer.model, self.type.type
+        for word in wanted.difference(memo):
+            if word.isascii() and word.isalpha():  # the rules before the model leave these as they are
+                memo[word] = np.array([t.id for t in model.tokenize(word.decode())], kind).tobytes()
+            else:
+                rest.append(word)
         found = self.tokenizer.encode(
-            [w.decode("utf-8", "replace") for w in words], is_pretokenized=True, add_special_tokens=False
+            [w.decode("utf-8", "replace") for w in rest], is_pretokenized=True, add_special_tokens=False
         )
-        ids, owners = np.array(found.ids, self.type), np.array(found.word_ids, np.int64)
-        cuts = np.searchsorted(owners, np.arange(len(words) + 1)).tolist()
-        for k, word in enumerate(words):
-            self.memo[word] = ids[cuts[k] : cuts[k + 1]].tobytes()
+        ids, owners = np.array(found.ids, self.type).tobytes(), np.array(found.word_ids, np.int64)
+        cuts = (np.searchsorted(owners, np.arange(len(rest) + 1)) * self.type.itemsize).tolist()
+        memo.update((w, ids[a:b]) for w, a, b in zip(rest, cuts, cuts[1:], strict=False))
+        memo[b""] = b""
+        memo.update([(word, memo[stem] + memo[end]) for word, (stem, end) in stems.items()])
 
 
-def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[bytes]:
-    """The text in parts of about `size` bytes, cut at ASCII white space only."""
+def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[tuple[bytes, bool]]:
+    """(part, whether it is the last): parts of about `size` bytes, cut at ASCII white space only."""
     at = 0
     while len(text) - at > size:
         space = _SPACE.search(text, at + size)
         if not space:
             break
-        yield text[at : space.start()]
+        yield text[at : space.start()], False
         at = space.end()
-    yield text[at:]
+    yield text[at:], True
 
 
 _ENCODERS: dict[tuple, Encoder] = {}
@@ -176,14 +213,13 @@ def write_tokens(
                 schema = pa.schema([("id", rows.schema.field("id").type), ("start", pa.int64()), ("n_tokens", pa.int64())])
                 stream = files.open_output_stream(f"{draft}.docs", compression=None)
                 index = pa.ipc.new_file(stream, schema)
-            starts = []
-            for text in rows["text"]:
-                starts.append(tokens.total)
-                if text.is_valid:
-                    for ids in encode(text.as_buffer().to_pybytes()):
-                        tokens.add(ids)
-                tokens.add(np.array([end_id], encode.type))
-            counts = np.diff([*starts, tokens.total])
+            starts = [tokens.total]
+            for ids, last in encode(t.as_buffer().to_pybytes() if t.is_valid else b"" for t in rows["text"]):
+                tokens.add(ids)
+                if last:
+                    tokens.add(np.array([end_id], encode.type))
+                    starts.append(tokens.total)
+            counts, starts = np.diff(starts), starts[:-1]
             index.write_batch(pa.RecordBatch.from_arrays([rows["id"], pa.array(starts, pa.int64()), pa.array(counts, pa.int64())], schema=schema))
         if tokens is not None:
             tokens.close()
@@ -252,7 +288,7 @@ def read_tokens(shards: DataFrame, folder: str, id_type: str) -> DataFrame:
                     arrays = [docs["id"], starts, docs["n_tokens"], pa.array(crcs, pa.int64())]
                     yield pa.RecordBatch.from_arrays(arrays, names=["id", "start", "n_tokens", "ids_crc32"])
 
-    each = placed.select("shard", "base").repartition(F.col("shard"))
+    each = placed.select("shard", "base").repartition(max(1, shards.count()))  # a task per shard
     return each.mapInArrow(run, f"id {id_type}, start long, n_tokens long, ids_crc32 long")
 
 

@@ -28,20 +28,21 @@ def expected(rows, path):
     return out
 
 
-ALPHABET = "aB'sé́̀ẞΣςßﬁ 　  \x1c\x85\x00\t\n\r<|>Å9²½🙂👍🏽ि̈"
+ALPHABET = "aB,.;!'sé́̀ẞΣςßﬁ 　  \x1c\x85\x00\t\n\r<|>Å9²½🙂👍🏽ि̈"
 
 
 @settings(max_examples=400, deadline=None)
-@given(st.one_of(st.text(ALPHABET), st.text(), st.lists(st.sampled_from(["<|endoftext|>", "don't", " ", "x1", "É"])).map("".join)))
+@given(st.one_of(st.text(ALPHABET), st.text(), st.lists(st.sampled_from(["<|endoftext|>", "don't", " ", "x1", "É", ",", ".", "?!", "'", "S", "“"])).map("".join)))
 def test_words_encode_as_in_the_whole_text(text):
     text = text.encode("utf-8", "replace").decode()
-    ids = [i for part in BY_WORD(text.encode()) for i in part.tolist()]
+    ids = [i for part, _ in BY_WORD([text.encode()]) for i in part.tolist()]
     assert ids == PLAIN[WORDS].encode(text, add_special_tokens=False).ids
 
 
 def test_pieces_cut_at_white_space():
     text = b"ab cd\tefgh\nijklmnopq r " * 50 + b"x" * 100
-    parts = list(pieces(text, 7))
+    parts, lasts = zip(*pieces(text, 7), strict=True)
+    assert lasts == (False,) * (len(parts) - 1) + (True,)
     assert len(parts) > 100 and b" ".join(parts).split() == text.split()
 
 
