@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rosterlake.llm.common import table
 from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
 from rosterlake.llm.mixing import planned
+from rosterlake.llm.paragraphs import repeated_paragraphs
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
 from rosterlake.llm.suffixes import without_repeats
@@ -25,6 +26,12 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", is_held_out("doc_id").alias("held_out"), f"{found}.*")
 
 
+def op2_paragraph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").alias("id"), "text")
+    return repeated_paragraphs(rows).drop("row").withColumnRenamed("id", "doc_id")
+
+
 def op3_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_groups(table(spark, sf_dir, "documents"))
 
@@ -77,6 +84,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
+    "op2_paragraph_dedup": op2_paragraph_dedup,
     "op3_simhash_near_dedup": op3_simhash_near_dedup,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
