@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
+import ahocorasick
 import numpy as np
 import pandas as pd
 from pyspark import Broadcast
@@ -27,7 +29,6 @@ THRESHOLD = 0.3
 HELD_OUT = 2
 EVIDENCE = 5
 _WORD = re.compile(r"\w+")
-_MEMO = 500_000
 
 
 def terms_of(word: str) -> list[str]:
@@ -40,25 +41,40 @@ def is_held_out(id_col: str) -> Column:
 
 
 class Vocabulary:
-    """Maps texts to counts of the chosen terms; what it learns about words is kept, up to a bound."""
+    """Counts the chosen terms in texts by one automaton over all of them."""
 
     def __init__(self, terms: list[str]) -> None:
-        self.numbers = {t: k for k, t in enumerate(terms)}
-        self.memo: dict[str, tuple[int, ...]] = {}
+        self.terms = terms
+        self.automaton = None
 
     def __getstate__(self) -> dict:
-        return {"numbers": self.numbers, "memo": {}}
+        return {"terms": self.terms, "automaton": None}
+
+    def build(self) -> None:
+        wanted: dict[str, list[int]] = {}
+        for k, term in enumerate(self.terms):
+            whole = term[0] == "="
+            wanted.setdefault(term[1:] if whole else term[:-1], [-1, -1])[0 if whole else 1] = k
+        self.automaton = ahocorasick.Automaton()
+        for string, (whole, start) in wanted.items():
+            self.automaton.add_word(string, (len(string), whole, start))
+        self.automaton.make_automaton()
 
     def counts(self, text: str | None) -> dict[int, int]:
-        memo, found = self.memo, {}
-        if len(memo) > _MEMO:
-            memo.clear()
-        for word, n in Counter(_WORD.findall((text or "").lower())).items():
-            known = memo.get(word)
-            if known is None:
-                known = memo[word] = tuple(self.numbers[t] for t in terms_of(word) if t in self.numbers)
-            for k in known:
-                found[k] = found.get(k, 0) + n
+        found: dict[int, int] = {}
+        if not text or not self.terms:
+            return found
+        if self.automaton is None:
+            self.build()
+        text = text.lower()
+        for end, (length, whole, start) in self.automaton.iter(text):
+            before, after = text[end - length : end - length + 1] if end >= length else "", text[end + 1 : end + 2]
+            if before.isalnum() or before == "_":
+                continue
+            if start >= 0:
+                found[start] = found.get(start, 0) + 1
+            if whole >= 0 and not (after.isalnum() or after == "_"):
+                found[whole] = found.get(whole, 0) + 1
         return found
 
 
@@ -84,34 +100,37 @@ class BlockMaxIndex:
         for term, own in postings.items():
             places, weights = np.array([p for p, _ in own]), np.array([w for _, w in own])
             blocks, starts = np.unique(places // rows, return_index=True)
-            self.postings[term] = (blocks, np.append(starts, len(own)), places, weights, np.maximum.reduceat(weights, starts))
+            self.postings[term] = (blocks, np.maximum.reduceat(weights, starts), places, places // rows, weights)
 
     def nearest(self, query: dict[int, float], k: int = NEIGHBOURS, leave_out: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """(places, cosines) of the k nearest examples of positive cosine, best first."""
         bounds, own = np.zeros(self.blocks), []
         for term, weight in query.items():
             if term in self.postings:
-                blocks, starts, places, weights, most = self.postings[term]
+                blocks, most, places, blocks_of, weights = self.postings[term]
                 bounds[blocks] += weight * most
-                own.append((weight, blocks, starts, places, weights))
-        best_at, best = np.zeros(0, np.int64), np.zeros(0)
-        for block in np.argsort(-bounds, kind="stable"):
-            bound = bounds[block]
-            if bound <= 0 or len(best) == k and bound < best[-1] - 1e-9:
-                break
-            cosines = np.zeros(self.rows)
-            for weight, blocks, starts, places, weights in own:
-                at = np.searchsorted(blocks, block)
-                if at < len(blocks) and blocks[at] == block:
-                    part = slice(starts[at], starts[at + 1])
-                    cosines[places[part] - block * self.rows] += weight * weights[part]
-            if 0 <= leave_out - block * self.rows < self.rows:
-                cosines[leave_out - block * self.rows] = 0
-            found = np.flatnonzero(cosines > 0)
-            best_at = np.concatenate([best_at, found + block * self.rows])
-            best = np.concatenate([best, cosines[found]])
-            order = np.lexsort((best_at, -np.round(best, 9)))[:k]
-            best_at, best = best_at[order], best[order]
+                own.append((weight, places, blocks_of, weights))
+        order = np.argsort(-bounds, kind="stable")[: np.count_nonzero(bounds)]
+        falling = -bounds[order]
+        best_at, best, at, step = np.zeros(0, np.int64), np.zeros(0), 0, 2
+        while at < len(order):
+            end = at + step
+            if len(best) == k:  # only blocks that can still reach the k-th best
+                end = min(end, int(np.searchsorted(falling, 1e-9 - best[-1], side="right")))
+                if end <= at:
+                    break
+            looked, cosines = np.zeros(self.blocks, bool), np.zeros(len(self.ids))
+            looked[order[at:end]] = True
+            for weight, places, blocks_of, weights in own:
+                inside = looked[blocks_of]
+                cosines[places[inside]] += weight * weights[inside]
+            if leave_out >= 0:
+                cosines[leave_out] = 0
+            found = np.flatnonzero(cosines)
+            best_at, best = np.concatenate([best_at, found]), np.concatenate([best, cosines[found]])
+            ranked = np.lexsort((best_at, -np.round(best, 9)))[:k]
+            best_at, best = best_at[ranked], best[ranked]
+            at, step = end, 2 * step
         return best_at, best
 
 
@@ -207,6 +226,28 @@ def _telling_terms(examples: DataFrame, limit: int) -> list[str]:
     return [r.term for r in telling.orderBy(F.desc("ratio"), "term").limit(limit).collect()]
 
 
+def _without_near_copies(examples: DataFrame) -> DataFrame:
+    """Of examples that share the smallest hash of their word triples, twice over, the first stays.
+
+    Copies with a few edits would make all their words look telling, too.
+    """
+
+    def work(texts: list) -> list[list]:
+        sketches = []
+        for text in texts:
+            words = _WORD.findall((text or "").lower())
+            triples = [" ".join(words[i : i + 3]).encode() for i in range(max(1, len(words) - 2))]
+            hashes = np.array([zlib.crc32(t) for t in triples], np.uint64)
+            sketches.append([int((hashes * np.uint64(odd) % np.uint64(1 << 61)).min()) for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)])
+        return [[a for a, _ in sketches], [b for _, b in sketches]]
+
+    rows = appended(examples, "text", {"a": "bigint", "b": "bigint"}, work).drop("text")
+    for sketch in ("a", "b"):
+        rows = rows.groupBy(sketch).agg(F.min(F.struct("id", *[c for c in "ab" if c != sketch])).alias("one"))
+        rows = rows.select("one.*", sketch)
+    return stored(examples.join(F.broadcast(rows.select("id")), "id", "left_semi"), "toxicity-distinct")
+
+
 def _document_frequencies(texts: DataFrame, vocabulary: Broadcast) -> tuple[int, dict[int, int]]:
     """(documents, documents with each term), over all documents, summed in tasks first."""
 
@@ -247,7 +288,7 @@ def fitted(
     distinct = keys.groupBy("key").agg(F.min(F.struct("id", "label")).alias("one")).select("one.*").distinct()
     chosen = stored(distinct.orderBy(F.xxhash64("id"), "id").limit(sample_rows), "toxicity-sample")
     found = texts.join(F.broadcast(chosen), "id").groupBy("id", "label").agg(F.min("text").alias("text"))
-    examples = stored(found, "toxicity-examples")
+    examples = _without_near_copies(stored(found, "toxicity-examples"))
     terms = _telling_terms(examples, vocabulary_size)
     vocabulary = spark.sparkContext.broadcast(Vocabulary(terms))
     n, df = _document_frequencies(texts, vocabulary)
