@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from rosterlake.llm.common import table
 from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
 from rosterlake.llm.mixing import planned
+from rosterlake.llm.neighbours import near_vectors
 from rosterlake.llm.paragraphs import repeated_paragraphs
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
@@ -69,6 +70,11 @@ def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), by_word=True)
 
 
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = near_vectors(table(spark, sf_dir, "embeddings"))
+    return rows
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned(table(spark, sf_dir, "documents")).drop("takes")
 
@@ -89,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op5_suffix_dedup": op5_suffix_dedup,
     "op6_token_output": op6_token_output,
+    "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_mixing": op8_mixing,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,

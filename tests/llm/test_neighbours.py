@@ -1,0 +1,90 @@
+"""Links of near vectors against brute force."""
+
+import math
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from rosterlake.llm import neighbours
+from rosterlake.llm.common import stored
+from rosterlake.llm.neighbours import balls, near_vectors, unit_of, unit_vectors
+
+SCHEMA = "vec_id long, embedding array<float>, row int"
+
+
+def cloud(n, centres, spread, dim, seed):
+    rng = np.random.default_rng(seed)
+    middle = rng.normal(size=(centres, dim))
+    made = middle[rng.integers(0, centres, n)] + rng.normal(size=(n, dim)) * spread
+    return [[float(x) for x in v.astype(np.float32)] for v in made]
+
+
+def expected(rows, threshold=0.95):
+    units = [unit_of(v) for _, v in rows]
+    links = [set() for _ in rows]
+    for i, a in enumerate(units):
+        for j in range(i):
+            b = units[j]
+            if a is not None and b is not None and len(a) == len(b) and a @ b >= threshold:
+                links[i].add(j)
+                links[j].add(i)
+    out, seen = [None] * len(rows), set()
+    for start in range(len(rows)):
+        if start in seen:
+            continue
+        component, todo = {start}, [start]
+        while todo:
+            for other in links[todo.pop()] - component:
+                component.add(other)
+                todo.append(other)
+        seen |= component
+        ids = [rows[i][0] for i in component if rows[i][0] is not None]
+        for i in component:
+            out[i] = (len(links[i]), min(ids, default=None))
+    return out
+
+
+def check(spark, rows):
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    result, recall = near_vectors(frame)
+    assert result.columns == ["vec_id", "n_links", "component_id", "kept"] and recall >= 0.995
+    found = sorted((tuple(r) for r in result.collect()), key=repr)
+    wanted = [(i, n, c, i == c) for (i, _), (n, c) in zip(rows, expected(rows), strict=True)]
+    assert found == sorted(wanted, key=repr)
+
+
+@pytest.mark.parametrize("spread", [0.05, 0.2, 0.25, 0.33])
+def test_links_equal_brute_force(spark, spread):
+    vectors = cloud(500, 25, spread, 16, 3) + cloud(300, 300, 0.0, 16, 4)
+    check(spark, [(7 * i + 3, v) for i, v in enumerate(vectors)])
+
+
+def test_a_hot_group_becomes_a_few_balls(spark):
+    vectors = cloud(1500, 1, 0.05, 32, 5) + cloud(900, 900, 0.0, 32, 6)
+    rows = list(enumerate(vectors))
+    units = stored(unit_vectors(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA), "vec_id", "embedding"), "units")
+    nodes, members = balls(units, 0.95)
+    sizes = [r.n for r in nodes.collect()]
+    assert len(sizes) < 900 + 40 and sum(sizes) == 2400 == members.count()
+    assert nodes.agg(F.max("radius")).first()[0] <= math.acos(0.95) / 2
+    check(spark, rows)
+
+
+def test_edge_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    base = [1.0, 2.0, 3.0]
+    rows = [(1, None), (2, []), (3, [0.0, 0.0, 0.0]), (4, [1.0, nan, 2.0]), (5, [inf, 1.0, 1.0]), (6, [1.0, None, 2.0])]
+    rows += [(9, base), (9, base), (8, [2.0, 4.0, 6.0]), (20, [-1.0, -2.0, -3.0]), (None, base), (21, [1.0, 2.0]), (22, [2.0, 4.0])]
+    rows += [(30, [1e30, 0.0, 0.0]), (31, [1e-30, 0.0, 0.0]), (40, [5.0]), (None, None)]
+    check(spark, rows)
+    assert near_vectors(spark.createDataFrame([], SCHEMA))[0].collect() == []
+
+
+def test_codes_are_close():
+    rng = np.random.default_rng(0)
+    for dim in (1, 3, 64, 700):
+        matrix = rng.normal(size=(40, dim))
+        matrix /= np.linalg.norm(matrix, axis=1, keepdims=True)
+        vectors = neighbours.decoded([c.tobytes() for c in neighbours.coded(matrix)])
+        assert np.abs(vectors @ vectors.T - matrix @ matrix.T).max() < neighbours.CODE_ERROR
