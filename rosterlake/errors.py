@@ -6,6 +6,9 @@ from pyspark.errors import PySparkException
 # What a failing Spark job raises; only some JVM errors have a PySpark class.
 JOB_ERRORS = (PySparkException, Py4JJavaError)
 
+# Stands in the message of a task that fails on malformed source text.
+MALFORMED = "MALFORMED_SOURCE_RECORD"
+
 
 class RosterError(Exception):
     """Base of all expected input problems."""
@@ -20,7 +23,7 @@ class ArchiveError(RosterError):
 
 
 class MalformedSourceError(RosterError):
-    """A delimited file holds records that are longer than its header."""
+    """A delimited file ends in a quoted field, is not UTF-8, or has records that do not fit."""
 
 
 class SnapshotKeyError(RosterError):

@@ -112,9 +112,10 @@ CHANGE_MEASURES_NAME = "snapshot_change_measures.json"
 
 # --- Parameters ---------------------------------------------------------------------------
 
-# Columns that give a row's place in its source; "first" always means first by these. Numbered
-# files sort by length of name, then name: `part-99999-x` comes before `part-100000-x`.
-POSITION = ("_source_name_length", "_source_file", "_source_row")
+# The column that gives a row's place in its source; "first" always means first by it. One long
+# holds the number of the file, and in its low bits that of the row.
+POSITION = ("_source_row",)
+ROW_BITS = 33
 
 
 @dataclass(frozen=True)

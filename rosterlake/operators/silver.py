@@ -44,22 +44,12 @@ from rosterlake.operators.bronze import in_state, quoted
 from rosterlake.operators.contracts import require_columns, taxonomy_slots
 
 
-# A provider with more records than this is spread over so many partial keys in a join of whole
-# records. At 3e11 records, hot keys are at most 300 000: some 20 MB.
-HOT_RECORDS, SALTS = 1_000_000, 1024
-
-
 def check_bronze(bronze: DataFrame) -> None:
     """V3, V4."""
     require_columns(bronze.columns, SILVER_INPUT_COLUMNS, "The Bronze table")
     taxonomy_slots(bronze.columns)
 
 
-def position() -> Column:
-    """The sortable place of a row in its source."""
-    return F.struct(*POSITION)
-
-
 def conformed_field(
     name: str, text: Column, profile: DirectoryProfile = DirectoryProfile()
 ) -> Column:
@@ -164,91 +154,56 @@ def in_cohort(profile: DirectoryProfile = DirectoryProfile()) -> Callable[[Colum
     return lambda code: code.isin(*profile.cohort_codes)
 
 
-def cohort_keys(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
-    """J2's key set: providers with an approved code on any of their rows, each once."""
-    valid = valid_individuals(bronze, profile)
-    return valid.where(any_code(slot_codes(valid), in_cohort(profile))).select("npi").distinct()
-
-
 def cohort_records(
-    bronze: DataFrame,
-    profile: DirectoryProfile = DirectoryProfile(),
-    hot_records: int = HOT_RECORDS,
-    salts: int = SALTS,
+    bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()
 ) -> DataFrame:
     """Every valid record of a cohort provider, with or without a code of its own.
 
-    Whole records meet the keys here, and one provider may have a third of them. Records of a
-    provider with more than `hot_records` are spread over `salts` partial keys; other providers
-    have one. There are at most rows / `hot_records` hot providers, so their keys are broadcast.
+    One semi join; adaptive execution splits a provider that has a large share of the records.
     """
-    keys = provider_keys(bronze, profile).where("in_cohort")
-    is_hot = F.col("records") > hot_records
-    hot = keys.where(is_hot).select("npi", F.lit(True).alias("is_hot"))
-    last = F.when(is_hot, F.lit(salts - 1)).otherwise(F.lit(0))
-    spread = F.pmod(F.xxhash64(*POSITION), F.lit(salts)).cast("int")
-    return (
-        valid_individuals(bronze, profile)
-        .join(F.broadcast(hot), "npi", "left")
-        .withColumn("salt", F.when(F.col("is_hot"), spread).otherwise(F.lit(0)))
-        .join(
-            keys.select("npi", F.explode(F.sequence(F.lit(0), last)).alias("salt")),
-            ["npi", "salt"],
-            "left_semi",
-        )
-        .drop("is_hot", "salt")
-    )
+    keys = provider_keys(bronze, profile).where("in_cohort").select("npi")
+    return valid_individuals(bronze, profile).join(keys, "npi", "left_semi")
 
 
 def provider_keys(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
-    """One narrow row per valid individual: its records, has it a code, is it in the cohort."""
+    """One narrow row per valid individual: its records, its first row's position, has it a code,
+    is it in the cohort. All are fixed-width, so tasks reduce them by hashing."""
     valid = valid_individuals(bronze, profile)
-    coded = valid.select("npi", *slot_codes(valid))
-    codes = [F.col(name) for name in coded.columns[1:]]
+    coded = valid.select("npi", *POSITION, *slot_codes(valid))
+    codes = [F.col(name) for name in coded.columns[1 + len(POSITION) :]]
     return coded.groupBy("npi").agg(
         F.count(F.lit(1)).alias("records"),
+        F.min(POSITION[0]).alias("first"),
         F.bool_or(any_code(codes, Column.isNotNull)).alias("has_code"),
         F.bool_or(any_code(codes, in_cohort(profile))).alias("in_cohort"),
     )
 
 
-def within(records: DataFrame, small_cohort: DataFrame | None) -> DataFrame:
-    """J2 ahead of any shuffle, for a key set that the caller has counted and found small."""
-    if small_cohort is None:
-        return records
-    return records.join(F.broadcast(small_cohort.select("npi")), "npi", "left_semi")
-
-
 def silver_providers(
     bronze: DataFrame,
     profile: DirectoryProfile = DirectoryProfile(),
-    small_cohort: DataFrame | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """The first source row of each cohort provider, conformed.
 
-    One grouping both picks the first row and decides membership over all rows of the key, so
-    no join is needed. Fields travel as source text and are cleaned afterwards, once per
-    provider; entity and state are constants behind the filters and do not travel at all. With
-    a small cohort, only its rows travel.
+    The narrow keys (given by a caller that has them) say which row that is; whole records meet
+    them in one join on position, which no provider's records crowd, and are never sorted by
+    provider. Entity and state are constants behind the filters. Fields are cleaned on retained
+    rows only.
     """
-    valid = within(valid_individuals(bronze, profile), small_cohort)
+    keys = provider_keys(bronze, profile) if keys is None else keys
+    firsts = keys.where("in_cohort").select(F.col("first").alias(POSITION[0]))
+    rows = valid_individuals(bronze, profile).join(firsts, POSITION[0], "left_semi")
     known = {
         "entity_type_code": F.lit(profile.individual_code),
         "practice_state": F.lit(profile.state),
     }
-    carried = {name: src for name, src in PROVIDER_FIELDS.items() if name not in known}
-    record = F.struct(*[quoted(source).alias(name) for name, source in carried.items()])
-    firsts = (
-        valid.groupBy("npi")
-        .agg(
-            F.min_by(record, position()).alias("raw"),
-            F.bool_or(any_code(slot_codes(valid), in_cohort(profile))).alias("in_cohort"),
-        )
-        .where("in_cohort")
-    )
-    texts = firsts.select(
+    texts = rows.select(
         "npi",
-        *[known.get(n, clean_text(F.col(f"raw.{n}"))).alias(n) for n in PROVIDER_FIELDS],
+        *[
+            known.get(name, clean_text(quoted(source))).alias(name)
+            for name, source in PROVIDER_FIELDS.items()
+        ],
     )
     return conformed(texts, profile)
 
@@ -256,21 +211,16 @@ def silver_providers(
 def silver_taxonomies(
     bronze: DataFrame,
     profile: DirectoryProfile = DirectoryProfile(),
-    cohort: DataFrame | None = None,
-    small_cohort: DataFrame | None = None,
+    keys: DataFrame | None = None,
 ) -> DataFrame:
     """All codes of the retained providers, approved or not.
 
-    `cohort` holds the retained keys of any number where a caller has them already. Rows are
-    unique per (provider, code) before the semi join shuffles them by provider. A small cohort
-    selects the records first, and no join follows.
+    Rows are unique per (provider, code) before the semi join shuffles them by provider. `keys` are
+    the provider keys where a caller has them already.
     """
-    valid = within(valid_individuals(bronze, profile), small_cohort)
-    codes = first_per_code(slot_rows(valid))
-    if small_cohort is not None:
-        return codes
-    keys = cohort_keys(bronze, profile) if cohort is None else cohort.select("npi")
-    return codes.join(keys, "npi", "left_semi")
+    keys = provider_keys(bronze, profile) if keys is None else keys
+    codes = first_per_code(slot_rows(valid_individuals(bronze, profile)))
+    return codes.join(keys.where("in_cohort").select("npi"), "npi", "left_semi")
 
 
 def ordered_taxonomies(taxonomies: DataFrame) -> DataFrame:

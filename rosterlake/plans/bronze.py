@@ -7,13 +7,13 @@ import re
 from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.errors import JOB_ERRORS, MalformedSourceError
-from rosterlake.layout import BRONZE_NAME, BRONZE_REPORT_NAME, POSITION, DirectoryProfile
+from rosterlake.errors import JOB_ERRORS, MALFORMED, MalformedSourceError
+from rosterlake.layout import BRONZE_NAME, BRONZE_REPORT_NAME, DirectoryProfile
 from rosterlake.operators.bronze import bronze_records, retained_columns
 from rosterlake.session import scratch_space
 from rosterlake.sinks.files import run_time_utc, write_report, write_table
 from rosterlake.sources.archives import land_archives
-from rosterlake.sources.delimited import MALFORMED, read_parts
+from rosterlake.sources.delimited import read_parts
 from rosterlake.sources.tables import row_count
 
 
@@ -32,29 +32,31 @@ def build_bronze(
 ) -> dict[str, object]:
     """S1-S4, V1, V2, V12, P1, F1, A8, K1, K2. `archive` is one path or a glob.
 
-    The parse counts its input while it writes the kept rows to a scratch table. No shuffle
-    stands between the two: then each task's count enters the total once, however often tasks
-    are retried. Kept rows are few, and a second small job sorts them by source position into
-    well-sized files of the contract's columns.
+    The parse counts its input while it writes the kept rows, once and unsorted: their position in
+    the source is stored with them. No shuffle stands between the two, so each task's count enters
+    the total once, however often tasks are retried. It must be what the cutting of parts counted.
     """
     stem = archive_stem(archive)
     output = BRONZE_NAME.format(stem=stem)
     with scratch_space(spark, "bronze") as scratch:
-        landed = land_archives(spark, archive, scratch, part_bytes)
-        source = read_parts(spark, scratch, landed)
-        columns = retained_columns(source.columns)
-        seen = Observation("source_records")
-        counted = source.observe(seen, F.count(F.lit(1)).alias("input_row_count"))
         try:
-            write_table(bronze_records(counted, profile), f"{scratch}/kept")
+            landed = land_archives(spark, archive, scratch, part_bytes)
+            source = read_parts(spark, scratch, landed)
+            columns = retained_columns(source.columns)
+            seen = Observation("source_records")
+            counted = source.observe(seen, F.count(F.lit(1)).alias("input_row_count"))
+            write_table(bronze_records(counted, profile), f"{folder}/{output}")
         except JOB_ERRORS as error:
-            if MALFORMED in str(error):
-                raise MalformedSourceError(
-                    f"{archive}: a record has more fields than the header"
-                ) from error
+            found = re.search(rf"{MALFORMED}:? ?([\w \-]*)", str(error))
+            if found:
+                problem = found.group(1) or "a record has more fields than the header"
+                raise MalformedSourceError(f"{archive}: {problem}") from error
             raise
-        kept = spark.read.parquet(f"{scratch}/kept")
-        write_table(kept.orderBy(*POSITION).drop(*POSITION), f"{folder}/{output}")
+        cut = landed.agg(F.sum("records")).first()[0]
+        if cut != seen.get["input_row_count"]:
+            raise MalformedSourceError(
+                f"{archive}: {cut} records were found, but {seen.get['input_row_count']} were read"
+            )
 
     metadata = {
         "source_filename": archive.rstrip("/").rsplit("/", 1)[-1],

@@ -28,35 +28,25 @@ from rosterlake.sinks.files import run_time_utc, write_report, write_table
 from rosterlake.sources.tables import read_bronze
 
 
-# A cohort of up to this many providers is broadcast. A key is ten bytes long, and takes about
-# 64 bytes in the broadcast table: 64 MB at most.
-BROADCAST_KEYS = 1_000_000
-
-
 def write_silver(
     spark: SparkSession,
     bronze: DataFrame,
     folder: str,
     profile: DirectoryProfile = DirectoryProfile(),
-    broadcast_keys: int = BROADCAST_KEYS,
 ) -> dict[str, int]:
     """K3: both Silver tables of a Bronze table with positions; returns the quality counts.
 
-    A narrow pass first writes one row per provider. It gives the counts per provider and the
-    size of the cohort, which decides how the wide passes select it: a small one by broadcast,
-    so that other providers' records are never shuffled, a large one while grouping. The row
-    counts depend on Bronze alone, so their job runs beside the others.
+    A narrow pass first writes one row per provider, with which the wide passes meet the records;
+    adaptive execution picks the joins by the size that was written. The row counts depend on
+    Bronze alone, so their job runs beside the others.
     """
     with scratch_space(spark, "silver") as scratch, ThreadPoolExecutor(max_workers=1) as beside:
         row_counts = beside.submit(lambda: row_quality(bronze, profile).first())
         write_table(provider_keys(bronze, profile), f"{scratch}/keys")
         keys = spark.read.parquet(f"{scratch}/keys")
         key_counts = key_quality(keys).first()
-        cohort = keys.where("in_cohort").select("npi")
-        is_small = key_counts.primary_care_providers_retained <= broadcast_keys
-        small = cohort if is_small else None
-        write_table(silver_providers(bronze, profile, small), f"{folder}/{PROVIDERS_NAME}")
-        taxonomies = silver_taxonomies(bronze, profile, cohort, small)
+        write_table(silver_providers(bronze, profile, keys), f"{folder}/{PROVIDERS_NAME}")
+        taxonomies = silver_taxonomies(bronze, profile, keys)
         write_table(ordered_taxonomies(taxonomies), f"{folder}/{TAXONOMIES_NAME}")
         counts = row_counts.result().asDict() | key_counts.asDict()
     return {name: counts[name] for name in QUALITY_COUNTS}

@@ -9,19 +9,22 @@ files.
 
 from __future__ import annotations
 
+import codecs
 import hashlib
+import re
 import sys
 import uuid
 import zipfile
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rosterlake.errors import ArchiveError
+from rosterlake.errors import MALFORMED, ArchiveError
 from rosterlake.layout import HEADER_FILE_SUFFIX, MAIN_FILE_PREFIX, MAIN_FILE_SUFFIX
 from rosterlake.session import split_bytes
 
@@ -30,7 +33,8 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 1 << 20
 SMALLEST_PART = 4 << 20
-LANDED = "archive string, part string, bytes long, header string"
+ROW_BYTES = (1 << 31) - 1 - (1 << 20)  # a row's limit, less what else the row holds
+LANDED = "archive string, part string, bytes long, records long, header string"
 
 
 def open_filesystem(uri: str):
@@ -50,12 +54,19 @@ def _open(uri: str):
 
 
 def archive_files(spark: SparkSession, archives: str) -> DataFrame:
-    """Path and length of each file that is not empty; contents are not read."""
-    return (
-        spark.read.format("binaryFile")
-        .load(archives)
-        .select(F.col("path").alias("archive"), "length")
-    )
+    """Path and length of each file that a path, folder or glob names; contents are not read.
+
+    The file system's own glob lists them: Spark's readers leave out empty files, and names that
+    begin with `_` or a period.
+    """
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archives)
+    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = []
+    for named in files.globStatus(pattern) or []:
+        for status in files.listStatus(named.getPath()) if named.isDirectory() else [named]:
+            if status.isFile() and not status.getPath().getName().endswith(".crc"):
+                found.append((status.getPath().toString(), status.getLen()))
+    return spark.createDataFrame(sorted(found), "archive string, length long")
 
 
 def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -71,7 +82,9 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def archive_members(spark: SparkSession, archives: str) -> DataFrame:
     """(archive, member, bytes, problem), from the archives' directories alone."""
-    return archive_files(spark, archives).mapInPandas(
+    files = archive_files(spark, archives)
+    # a task per archive, as later steps copy what it lists
+    return files.repartition(max(1, files.count())).mapInPandas(
         _list_members, "archive string, member string, bytes long, problem string"
     )
 
@@ -101,7 +114,7 @@ def main_members(spark: SparkSession, archives: str) -> DataFrame:
         F.count(F.lit(1)).alias("archives"), first_wrong.alias("wrong")
     ).first()
     if checked.archives == 0:
-        raise ArchiveError(f"{archives} names no archive with content")
+        raise ArchiveError(f"{archives} names no archive")
     wrong = checked.wrong
     if wrong is not None:
         if wrong.problem is not None:
@@ -118,70 +131,158 @@ def main_members(spark: SparkSession, archives: str) -> DataFrame:
     return members.where(is_main_member()).select("archive", "member", "bytes")
 
 
-def _record_blocks(stream, part_bytes: int) -> Iterator[tuple[bytes, bool]]:
-    """(bytes, ends a part) pairs; a part ends behind a line end outside quotes."""
-    inside = 0  # parity of quote characters so far: 1 means within a quoted field
-    written = 0
+class RecordScanner:
+    """Finds record ends in blocks of CSV text: line ends outside quoted fields.
+
+    A quote opens a field only at the field's start; within it, two quotes are one. Any other quote
+    is text. While all quotes of a block look like that, counting them tells what is quoted; a block
+    with stray quotes is matched field by field.
+    """
+
+    def __init__(self) -> None:
+        self.inside = False  # a quoted field
+        self.before = b"\n"  # the byte before the next block
+        self.decoder = codecs.getincrementaldecoder("utf-8")()
+
+    def ends(self, block: bytes) -> np.ndarray:
+        """Places of the record ends in the next block, which must not end within a run of quotes."""
+        try:
+            self.decoder.decode(block)
+        except UnicodeDecodeError as error:
+            raise ValueError(f"{MALFORMED}: the text is not UTF-8") from error
+        data = np.frombuffer(block, np.uint8)
+        lines, quotes = np.flatnonzero(data == 10), np.flatnonzero(data == 34)
+        if not self.plain(data, quotes):
+            return self.matched(block, lines)
+        if len(quotes) % 2:
+            self.inside, was = not self.inside, self.inside
+        else:
+            was = self.inside
+        self.before = block[-1:]
+        return lines[(np.searchsorted(quotes, lines) + was) % 2 == 0]
+
+    def plain(self, data: np.ndarray, quotes: np.ndarray) -> bool:
+        """Whether each opening quote follows a comma, a line end, or the quote that it escapes."""
+        opening = quotes[int(self.inside) :: 2]
+        previous = np.where(opening > 0, data[opening - 1], self.before[0])
+        return bool(np.isin(previous, (44, 10, 34)).all())
+
+    def matched(self, block: bytes, lines: np.ndarray) -> np.ndarray:
+        """The same by matching quoted fields, from each field's start."""
+        text, spans, at = self.before + block, [], 1
+        if self.inside:
+            at = _REST.match(text, 1).end()
+            self.inside = text[at - 1 : at] != b'"' or at == 1
+            spans.append((1, at))
+        if not self.inside:
+            for field in _QUOTED.finditer(text, at):
+                spans.append(field.span())
+                self.inside = not field.group(1)
+        self.before = block[-1:]
+        if not spans:
+            return lines
+        starts, stops = np.array(spans).T - 1
+        nearest = np.searchsorted(starts, lines, side="right") - 1
+        return lines[(nearest < 0) | (lines >= stops[nearest])]
+
+    def close(self) -> None:
+        if self.inside:
+            raise ValueError(f"{MALFORMED}: the text ends within a quoted field")
+        try:
+            self.decoder.decode(b"", final=True)
+        except UnicodeDecodeError as error:
+            raise ValueError(f"{MALFORMED}: the text is not UTF-8") from error
+
+
+_REST = re.compile(rb'[^"]*(?:""[^"]*)*(?:"|\Z)')
+_QUOTED = re.compile(rb'(?<=[,\n])"[^"]*(?:""[^"]*)*("|\Z)')
+
+
+def _blocks(stream) -> Iterator[bytes]:
+    """The stream in blocks that do not end with a quote, so that an escape is seen whole."""
     while block := stream.read(BLOCK):
-        start = 0
-        while written + len(block) - start >= part_bytes:
-            scanned, end = start, block.find(b"\n", max(start, start + part_bytes - written - 1))
-            parity = inside
-            while end >= 0:
-                parity = (parity + block.count(b'"', scanned, end)) % 2
-                scanned = end
-                if not parity:
-                    break
-                end = block.find(b"\n", end + 1)
-            if end < 0:
-                break
-            yield block[start : end + 1], True
-            inside, written, start = 0, 0, end + 1
-        rest = block[start:]
-        if rest:
-            inside = (inside + rest.count(b'"')) % 2
-            written += len(rest)
-            yield rest, False
+        while block.endswith(b'"') and (more := stream.read(1)):
+            block += more
+        yield block
+
 
+def _record_blocks(stream, part_bytes: int) -> Iterator[tuple[bytes, int, bool]]:
+    """(bytes, records that end in them, ends a part); a part ends at the end of a record.
 
-def _land_member(uri: str, member: str, folder: str, part_bytes: int) -> Iterator[tuple]:
-    """Copy one member to part files that each start with the header line."""
+    Blank lines are no records. A last record without a line end counts as well.
+    """
+    scanner, written, pending = RecordScanner(), 0, False
+    for block in _blocks(stream):
+        ends = scanner.ends(block)
+        sizes, before = np.diff(ends, prepend=-1) - 1, np.frombuffer(block, np.uint8)[ends - 1]
+        real = (sizes > 1) | ((sizes == 1) & (before != 13))
+        real[:1] |= pending  # that record began in an earlier block
+        counts = np.concatenate([[0], np.cumsum(real)])
+        last = block[ends[-1] + 1 :] if len(ends) else block
+        pending = bool(last.strip(b"\r")) or (pending and not len(ends))
+        start, done = 0, 0
+        while written + len(block) - start >= part_bytes:
+            at = int(np.searchsorted(ends, max(start, start + part_bytes - written - 1)))
+            if at == len(ends):
+                break
+            cut = int(ends[at]) + 1
+            yield block[start:cut], int(counts[at + 1] - done), True
+            written, start, done = 0, cut, int(counts[at + 1])
+        if start < len(block):
+            written += len(block) - start
+            yield block[start:], int(counts[-1] - done), False
+    scanner.close()
+    if pending:
+        yield b"", 1, False
+
+
+def _land_member(
+    uri: str, member: str, folder: str, part_bytes: int, first: int = 0
+) -> Iterator[tuple]:
+    """Copy one member to part files, numbered from `first` on, that each start with the header."""
     name = uri.rstrip("/").rsplit("/", 1)[-1]
     target = f"{name}~{hashlib.sha256(uri.encode()).hexdigest()[:8]}"
     filesystem, base = open_filesystem(f"{folder}/{target}")
     filesystem.create_dir(base, recursive=True)
 
-    def publish(number: int, sink, draft: str, size: int) -> tuple:
+    def publish(number: int, sink, draft: str, size: int, records: int) -> tuple:
         sink.close()
-        part = f"{base}/part-{number:07d}.csv"
+        part = f"{base}/part-{first + number:010d}.csv"
         try:
             filesystem.move(draft, part)
         except OSError:  # some stores refuse to replace what another attempt published
             if not filesystem.get_file_info(part).is_file:
                 raise
             filesystem.delete_file(draft)
-        return uri, f"{target}/part-{number:07d}.csv", size, header.decode("utf-8")
+        return uri, f"{target}/part-{first + number:010d}.csv", size, records, _decoded(header)
 
     with _open(uri) as stream, zipfile.ZipFile(stream) as opened, opened.open(member) as text:
         header = text.readline().removeprefix(b"\xef\xbb\xbf")
-        number, size, sink, draft = 0, 0, None, None
-        for block, ends in _record_blocks(text, part_bytes):
+        number, size, records, sink, draft = 0, 0, 0, None, None
+        for block, ended, ends in _record_blocks(text, part_bytes):
             if sink is None:
                 draft = f"{base}/_draft-{uuid.uuid4().hex}"
                 sink = filesystem.open_output_stream(draft)
                 sink.write(header)
             sink.write(block)
-            size += len(block)
+            size, records = size + len(block), records + ended
             if ends:
-                yield publish(number, sink, draft, size)
-                number, size, sink = number + 1, 0, None
+                yield publish(number, sink, draft, size, records)
+                number, size, records, sink = number + 1, 0, 0, None
         if sink is not None:
-            yield publish(number, sink, draft, size)
+            yield publish(number, sink, draft, size, records)
         elif number == 0:  # a header without records
             draft = f"{base}/_draft-{uuid.uuid4().hex}"
             sink = filesystem.open_output_stream(draft)
             sink.write(header)
-            yield publish(0, sink, draft, 0)
+            yield publish(0, sink, draft, 0, 0)
+
+
+def _decoded(header: bytes) -> str:
+    try:
+        return header.decode("utf-8")
+    except UnicodeDecodeError as error:
+        raise ValueError(f"{MALFORMED}: the header is not UTF-8") from error
 
 
 def land_archives(
@@ -189,23 +290,32 @@ def land_archives(
 ) -> DataFrame:
     """Copy each archive's main member to CSV parts below `folder`/parts.
 
-    Returns the written list of parts, one row each. Unless `part_bytes` is given, a member is
+    Returns the written list of parts, one row each with the number of its records. Unless `part_bytes` is given, a member is
     cut into about one part per core, of at most Spark's split size.
     """
     if part_bytes is not None and part_bytes < 1:
         raise ValueError("part_bytes must be a positive whole number")
     split, cores = split_bytes(spark), spark.sparkContext.defaultParallelism
     parts = f"{folder}/parts"
+    names = [field.split()[0] for field in LANDED.split(", ")]
 
     def copy(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for uri, member, size in zip(batch["archive"], batch["member"], batch["bytes"]):
-                target = part_bytes or min(split, max(SMALLEST_PART, size // cores))
-                for landed in _land_member(uri, member, parts, target):
-                    yield pd.DataFrame([landed], columns=["archive", "part", "bytes", "header"])
+            rows = zip(batch["archive"], batch["member"], batch["target"], batch["first"])
+            for uri, member, target, first in rows:
+                for landed in _land_member(uri, member, parts, target, first):
+                    yield pd.DataFrame([landed], columns=names)
 
     listing = f"{folder}/landed"
-    main_members(spark, archives).mapInPandas(copy, LANDED).write.parquet(listing)
+    # parts are numbered through, in order of archives; some numbers stay unused
+    target = F.least(F.lit(split), F.greatest(F.lit(SMALLEST_PART), F.floor(F.col("bytes") / cores)))
+    target = F.lit(part_bytes) if part_bytes else target
+    before = Window.orderBy("archive").rowsBetween(Window.unboundedPreceding, -1)
+    members = main_members(spark, archives).withColumn("target", target.cast("long"))
+    numbered = members.withColumn("most", F.floor(F.col("bytes") / F.col("target")) + 1)
+    numbered = numbered.withColumn("first", F.coalesce(F.sum("most").over(before), F.lit(0)))
+    tasks = numbered.select("archive", "member", "target", "first").repartition(numbered.count())
+    tasks.mapInPandas(copy, LANDED).write.parquet(listing)
     return spark.read.parquet(listing)
 
 
@@ -222,5 +332,23 @@ def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_digests(spark: SparkSession, paths: str) -> DataFrame:
-    """SHA-256 per file, streamed, so size is not bound by a row's limit."""
-    return archive_files(spark, paths).mapInPandas(_digest_files, "path string, sha256 string")
+    """SHA-256 of every file that `paths` names.
+
+    Spark reads and digests what fits in a row; files that it leaves out of its listing (empty, or
+    with a hidden name) and those of 2 GiB and more are streamed.
+    """
+    every = archive_files(spark, paths)
+    seen = [r.archive for r in every.where(F.col("length").between(1, ROW_BYTES)).collect()]
+    seen = [path for path in seen if not path.rsplit("/", 1)[-1].startswith(("_", "."))]
+    schema = "path string, sha256 string"
+    others = every.join(F.broadcast(spark.createDataFrame([(p,) for p in seen], "archive string")), "archive", "left_anti")
+    streamed = others.select("archive").mapInPandas(_digest_files, schema)
+    if not seen:
+        return streamed
+    read = spark.read.format("binaryFile").load([_escaped(path) for path in seen])
+    return read.select("path", F.sha2("content", 256).alias("sha256")).unionByName(streamed)
+
+
+def _escaped(path: str) -> str:
+    """A path whose special characters a glob would read, taken literally."""
+    return re.sub(r"([][{}*?\\])", r"\\\1", path)

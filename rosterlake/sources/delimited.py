@@ -6,9 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rosterlake.errors import ContractError
+from rosterlake.errors import MALFORMED, ContractError
+from rosterlake.layout import ROW_BITS
 
-MALFORMED = "MALFORMED_SOURCE_RECORD"
 _RAW = "_raw_record"
 
 
@@ -18,7 +18,7 @@ def header_columns(spark: SparkSession, part: str) -> list[str]:
 
 
 def read_parts(spark: SparkSession, folder: str, landed: DataFrame) -> DataFrame:
-    """The records of all landed parts, with their position columns.
+    """The records of all landed parts, with their position.
 
     Parts end at record ends, so records may hold line breaks and parts still parse in
     parallel. A record shorter than the header reads its missing fields as NULL; a longer one
@@ -43,16 +43,16 @@ def read_parts(spark: SparkSession, folder: str, landed: DataFrame) -> DataFrame
         .option("columnNameOfCorruptRecord", _RAW)
         .csv(f"{folder}/parts/*")
     )
-    outside_quotes = F.regexp_replace(_RAW, '"[^"]*"', "")
+    # a part is read by one task in order, which numbers its rows in the low bits
+    part = F.regexp_extract("_metadata.file_name", r"part-(\d+)", 1).cast("long")
+    part, low = F.shiftleft(part, ROW_BITS), (1 << ROW_BITS) - 1
+    # quotes open a field at its start only
+    outside_quotes = F.regexp_replace(_RAW, '(^|(?<=,))"[^"]*+(?:""[^"]*+)*+"', "")
     fields = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","))) + 1
     too_long = F.col(_RAW).isNotNull() & (fields > len(names))
     return (
-        rows.withColumns(
-            {
-                "_source_name_length": F.lit(0),  # part numbers have a fixed width
-                "_source_file": F.substring_index("_metadata.file_path", "/", -2),
-                "_source_row": F.monotonically_increasing_id(),
-            }
+        rows.withColumn(
+            "_source_row", part.bitwiseOR(F.monotonically_increasing_id().bitwiseAND(low))
         )
         .where(F.when(too_long, F.raise_error(F.lit(MALFORMED)).cast("boolean")).otherwise(True))
         .drop(_RAW)

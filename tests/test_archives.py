@@ -24,7 +24,9 @@ from tests.fixtures import (
 
 
 def stored(spark, folder, stem="weekly"):
-    return spark.read.parquet(f"{folder}/{L.BRONZE_NAME.format(stem=stem)}")
+    """Bronze in source order, without the positions."""
+    bronze = spark.read.parquet(f"{folder}/{L.BRONZE_NAME.format(stem=stem)}")
+    return bronze.orderBy(*L.POSITION).drop(*L.POSITION)
 
 
 def bronze_of(spark, tmp_path, text, **kwargs):
@@ -73,9 +75,19 @@ def test_not_a_zip(spark, tmp_path):
 
 
 def test_empty_file(spark, tmp_path):
-    (tmp_path / "a.zip").write_bytes(b"")
-    with pytest.raises(ArchiveError, match="no archive with content"):
-        A.main_members(spark, str(tmp_path / "a.zip"))
+    (tmp_path / "empty.zip").write_bytes(b"")
+    make_archive(tmp_path / "good.zip", "x\n")
+    for name in ("empty.zip", "*.zip"):
+        with pytest.raises(ArchiveError, match="empty.zip is not a readable ZIP"):
+            A.main_members(spark, str(tmp_path / name))
+    with pytest.raises(ArchiveError, match="names no archive"):
+        A.main_members(spark, f"{tmp_path}/nothing*.zip")
+
+
+def test_hidden_names_are_archives_too(spark, tmp_path):
+    for name in ("_a.zip", ".b.zip", "c.zip"):
+        make_archive(tmp_path / name, "x\n")
+    assert A.main_members(spark, f"{tmp_path}/*.zip").count() == 3
 
 
 def test_missing_required_column(spark, tmp_path):
@@ -163,35 +175,101 @@ def test_parts_keep_records_whole_and_in_order(spark, tmp_path, part_bytes):
     assert [r[0] for r in ordered] == [r[L.NPI] for r in records]
 
 
-def test_record_blocks_cut_at_record_ends_only(monkeypatch):
-    random.seed(5)
-    monkeypatch.setattr(A, "BLOCK", 37)
-    records = [
-        b'"' + b"".join(random.choice([b"a", b"\n", b",", b'""']) for _ in range(random.randrange(40))) + b'"\n'
-        for _ in range(200)
-    ]
-    text = b"".join(records)
-    for size in (1, 10, 64, 500, 10**6):
-        parts, current = [], b""
-        for block, ends in A._record_blocks(io.BytesIO(text), size):
-            current += block
-            if ends:
-                parts.append(current)
-                current = b""
-        parts += [current] if current else []
-        assert b"".join(parts) == text
-        ends = set()
-        at = 0
-        for record in records:
-            at += len(record)
-            ends.add(at)
-        at = 0
-        for part in parts:
-            at += len(part)
-            assert at in ends
-            assert len(part) >= min(size, len(part))
-        if size == 1:
-            assert len(parts) == len(records)
+@pytest.mark.parametrize("part_bytes", [20_000, 1 << 20, None])
+def test_stray_quotes_do_not_move_record_ends(spark, tmp_path, part_bytes):
+    odd = ['5" pipe', 'a"b"c', 'x ""y', "", 'ends"', "plain"]
+    lines = [",".join(SOURCE_COLUMNS)]
+    for i in range(2000):
+        record = source_record(**{L.NPI: str(i), L.LAST_NAME: odd[i % 6], L.FIRST_NAME: '"a ""b"",\nc"'})
+        lines.append(",".join(record.values()))
+    metadata, bronze = bronze_of(spark, tmp_path, "\r\n".join(lines) + "\r\n", part_bytes=part_bytes)
+    assert metadata["input_row_count"] == metadata["massachusetts_row_count"] == 2000
+    rows = bronze.collect()
+    assert [r[L.NPI] for r in rows] == [str(i) for i in range(2000)]
+    assert [r[L.LAST_NAME] for r in rows[:6]] == odd
+    assert {r[L.FIRST_NAME] for r in rows} == {'a "b",\nc'}
+
+
+@pytest.mark.parametrize("part_bytes", [None, 300])
+@pytest.mark.parametrize("last", ['"open', '"open\n', '"a ""', '"a\nb,c'])
+def test_unclosed_quote_is_refused(spark, tmp_path, last, part_bytes):
+    text = csv_text([source_record()] * 3) + "1," + last
+    with pytest.raises(MalformedSourceError, match="ends within a quoted field"):
+        bronze_of(spark, tmp_path, text, part_bytes=part_bytes)
+
+
+@pytest.mark.parametrize("place", ["header", "record", "end"])
+def test_undecodable_bytes_are_refused(spark, tmp_path, place):
+    text = csv_text([source_record(**{L.LAST_NAME: "Exa\xfemple"})] * 2 + [source_record()])
+    data = text.encode("utf-8").replace("\xfe".encode(), b"\xfe" if place == "record" else b"")
+    data = data.replace(b"\n", b"\xff\n", 1) if place == "header" else data
+    data = data[:-1] + b"\xc3" if place == "end" else data
+    path = make_archive(tmp_path / "weekly.zip", data)
+    with pytest.raises(MalformedSourceError, match="not UTF-8"):
+        build_bronze(spark, path, f"{tmp_path}/bronze")
+
+
+def test_counts_that_differ_are_refused(spark, tmp_path, monkeypatch):
+    from rosterlake.plans import bronze as plan
+
+    landed = lambda *a: A.land_archives(*a).withColumn("records", F.col("records") + 1)
+    monkeypatch.setattr(plan, "land_archives", landed)
+    with pytest.raises(MalformedSourceError, match="4 records were found, but 3 were read"):
+        bronze_of(spark, tmp_path, csv_text([source_record()] * 3))
+
+
+def slow_records(text):
+    """Record ends and the number of records, byte by byte."""
+    ends, records, state, begun = [], 0, "start", False
+    for at, byte in enumerate(text):
+        char = chr(byte)
+        if state == "quoted":
+            state = "closing" if char == '"' else "quoted"
+            continue
+        if state == "closing" and char == '"':
+            state = "quoted"
+            continue
+        if char == "\n":
+            ends.append(at + 1)
+            records, begun, state = records + begun, False, "start"
+            continue
+        if char != "\r":
+            begun = True
+        if state == "start" and char == '"':
+            state = "quoted"
+        else:
+            state = "start" if char == "," else "text"
+    return ends, records + begun, state == "quoted"
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 37, 10**6])
+def test_record_blocks_cut_at_record_ends_only(monkeypatch, block):
+    monkeypatch.setattr(A, "BLOCK", block)
+    random.seed(block)
+    letters = ['"', '""', '"a"', ",", "\n", "\r\n", "x", "\u00e9", "\n\n", ',"']
+    for _ in range(150):
+        text = "".join(random.choices(letters, k=random.randrange(60))).encode()
+        ends, records, is_open = slow_records(text)
+        for size in (1, 10, 64):
+            parts, current, counts, found = [], b"", [], 0
+            try:
+                for piece, n, cut in A._record_blocks(io.BytesIO(text), size):
+                    current, found = current + piece, found + n
+                    if cut:
+                        parts.append(current)
+                        counts.append(found)
+                        current, found = b"", 0
+            except ValueError as error:
+                assert is_open and "within a quoted field" in str(error)
+                continue
+            assert not is_open
+            at = 0
+            for part, n in zip(parts, counts, strict=True):
+                assert len(part) >= size and at + len(part) in ends
+                assert n == slow_records(part)[1]
+                at += len(part)
+            assert b"".join(parts) + current == text
+            assert sum(counts) + found == records
 
 
 def test_several_archives_in_one_run(spark, tmp_path):
@@ -232,11 +310,13 @@ def test_landing_again_gives_the_same_parts(spark, tmp_path):
 
 def test_digests(spark, tmp_path):
     contents = {f"f{i}.zip": bytes([i]) * (i * 700_000) for i in range(1, 4)}
+    contents |= {"_hidden.zip": b"x", ".b.zip": b"y", "empty.zip": b"", "a [1]{2}.zip": b"z"}
     for name, content in contents.items():
         (tmp_path / name).write_bytes(content)
-    found = A.file_digests(spark, f"{tmp_path}/*.zip").withColumn(
-        "name", F.substring_index("path", "/", -1)
-    )
-    assert {r.name: r.sha256 for r in found.collect()} == {
-        name: hashlib.sha256(content).hexdigest() for name, content in contents.items()
-    }
+    for paths in (f"{tmp_path}/*.zip", str(tmp_path)):
+        found = A.file_digests(spark, paths).withColumn("name", F.substring_index("path", "/", -1))
+        assert {r.name: r.sha256 for r in found.collect()} == {
+            name: hashlib.sha256(content).hexdigest() for name, content in contents.items()
+        }
+    only = A.file_digests(spark, f"{tmp_path}/empty.zip").collect()
+    assert [r.sha256 for r in only] == [hashlib.sha256(b"").hexdigest()]

@@ -47,11 +47,20 @@ def read_columns(frame):
     return [len(re.findall(r"#\d+", m)) for m in re.findall(r"FileScan parquet \[(.*?)\] Batched", plan(frame))]
 
 
-def test_providers_take_one_shuffle_and_no_join(bronze):
+def test_providers_meet_fixed_width_keys_by_position(bronze):
     frame = S.silver_providers(bronze)
-    assert shuffles(frame) == 1
-    assert "Join" not in plan(frame) and "Window" not in plan(frame)
-    assert "partial_min_by" in plan(frame)
+    assert "Window" not in plan(frame)
+    # narrow keys are reduced by hashing; whole records are sorted for the join by position alone
+    assert "SortAggregate" not in plan(frame) and "partial_min(_source_row" in plan(frame)
+    assert shuffles(frame) == 3 and "SortMergeJoin [_source_row" in plan(frame)
+
+
+def test_providers_do_not_shuffle_records_for_a_small_cohort(spark, bronze, tmp_path):
+    S.provider_keys(bronze).write.parquet(f"{tmp_path}/keys")
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    frame = S.silver_providers(bronze, keys=spark.read.parquet(f"{tmp_path}/keys"))
+    assert shuffles(frame) == 0 and "BroadcastHashJoin" in plan(frame)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
 
 
 def test_taxonomies_reduce_before_the_shuffle(bronze):
@@ -60,20 +69,10 @@ def test_taxonomies_reduce_before_the_shuffle(bronze):
     assert shuffles(frame) == 3  # (provider, code), then both sides of the semi join
 
 
-def test_small_cohort_selects_records_before_the_shuffle(bronze, silver):
-    for frame in (
-        S.silver_providers(bronze, small_cohort=silver[0]),
-        S.silver_taxonomies(bronze, small_cohort=silver[0]),
-    ):
-        assert shuffles(frame) == 1
-        join, exchange = plan(frame).index("BroadcastHashJoin"), plan(frame).index("Exchange hash")
-        assert exchange < join  # the plan prints the last step first
-
-
-def test_cohort_records_spread_each_provider(bronze):
+def test_cohort_records_take_one_join_that_can_be_split(bronze):
     text = plan(S.cohort_records(bronze))
-    assert re.search(r"SortMergeJoin \[npi#\d+, salt#\d+\], \[npi#\d+, salt#\d+\], LeftSemi", text)
-    assert text.count("BroadcastHashJoin") == 1
+    assert re.search(r"SortMergeJoin \[npi#\d+\], \[npi#\d+\], LeftSemi", text)
+    assert "Broadcast" not in text and text.count("FileScan") == 2
 
 
 def test_row_quality_moves_no_rows(bronze):

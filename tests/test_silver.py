@@ -213,8 +213,9 @@ def test_against_brute_force_with_a_hot_key(spark, tmp_path):
     assert taxonomies == {
         pair: (b[0], b[2]) for pair, b in best.items() if pair[0] in cohort
     }
-    for limit in (0, 10**6):  # a large cohort, a small cohort
-        written = write_silver(spark, bronze, f"{tmp_path}/{limit}", broadcast_keys=limit)
+    for limit in ("-1", "10m"):  # joins by shuffles, joins by broadcasts
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        written = write_silver(spark, bronze, f"{tmp_path}/{limit}")
         assert written == counts.asDict()
         for name, frame in (
             (L.PROVIDERS_NAME, S.silver_providers(bronze)),
@@ -225,12 +226,12 @@ def test_against_brute_force_with_a_hot_key(spark, tmp_path):
             assert sorted(map(tuple, stored.collect()), key=repr) == sorted(
                 map(tuple, frame.collect()), key=repr
             )
-    for limit in (10, 10**6):  # some providers are hot, none is
-        records_of = S.cohort_records(bronze, hot_records=limit, salts=7)
+        records_of = S.cohort_records(bronze)
         assert records_of.columns == ["npi", *[c for c in bronze.columns if c != L.NPI]]
         members = records_of.select("npi", f"`{L.LAST_NAME}`").collect()
         assert sorted(map(tuple, members)) == sorted(
             (r[L.NPI], r[L.LAST_NAME]) for r in valid if r[L.NPI] in cohort
         )
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert counts.missing_taxonomy_count == sum(n for npi, n in rows.items() if npi not in coded)
     assert counts.primary_care_providers_retained == len(cohort)

@@ -8,6 +8,7 @@ needs CSV quoting) and leave out no row.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -90,8 +91,6 @@ def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
     return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
         *[F.expr(text).alias(name) for name, text in RECORD_EXPRESSIONS.items()],
-        F.lit(0).alias("_source_name_length"),
-        F.lit("orders").alias("_source_file"),
         F.col("o_orderkey").alias("_source_row"),
         F.expr(RELEASE_EXPRESSION).alias("release"),
     )
@@ -100,23 +99,21 @@ def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
 def write_records(spark: SparkSession, sf_dir: str) -> str:
     """The records as a Parquet table with one partition per release. Returns its path."""
     path = scratch_folder(spark, "records")
-    records = derived_records(spark, sf_dir)
-    tasks = spark.sparkContext.defaultParallelism
-    if len(records.inputFiles()) < tasks:  # a few small files would leave most cores idle
-        records = records.repartition(tasks)
-    records.write.partitionBy("release").parquet(path)
+    derived_records(spark, sf_dir).repartition("_source_row").write.partitionBy("release").parquet(path)
     return path
 
 
 _written: dict[tuple, str] = {}
+_writing = threading.RLock()
 
 
 def once(write: Callable[[SparkSession, str], str], spark: SparkSession, sf_dir: str) -> str:
     """What `write` returns; it runs once per application and data folder."""
     key = (write.__name__, spark.sparkContext.applicationId, sf_dir)
-    if key not in _written:
-        _written[key] = write(spark, sf_dir)
-    return _written[key]
+    with _writing:
+        if key not in _written:
+            _written[key] = write(spark, sf_dir)
+        return _written[key]
 
 
 def directory_records(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,12 +38,12 @@ def plainly_named(frame: DataFrame) -> DataFrame:
 
 def bronze_state_filter(spark, sf_dir):
     kept = bronze.bronze_records(directory_records(spark, sf_dir))
-    return plainly_named(kept.drop("_source_name_length", "_source_file"))
+    return plainly_named(kept)
 
 
 def conform_fields(spark, sf_dir):
     conformed = silver.conform(directory_records(spark, sf_dir))
-    return plainly_named(conformed.drop("_source_name_length", "_source_file"))
+    return plainly_named(conformed)
 
 
 def _normalized(column: str, source: str, function) -> Query:
@@ -68,7 +68,7 @@ def derive_status(spark, sf_dir):
 
 def slots_to_rows(spark, sf_dir):
     rows = silver.slot_rows(silver.valid_individuals(directory_records(spark, sf_dir)))
-    return plainly_named(rows.drop("_source_name_length", "_source_file"))
+    return plainly_named(rows)
 
 
 def first_taxonomy_per_key(spark, sf_dir):
@@ -192,7 +192,7 @@ def bronze_from_archive(spark, sf_dir):
     """Both archives in one run; each record's text must survive the trip."""
     folder = scratch_folder(spark, "ingest")
     report = build_bronze(spark, f"{once(write_archives, spark, sf_dir)}/*.zip", folder)
-    return plainly_named(spark.read.parquet(f"{folder}/{report['output_filename']}"))
+    return plainly_named(spark.read.parquet(f"{folder}/{report['output_filename']}").drop(*L.POSITION))
 
 
 def file_hashes(spark, sf_dir):
@@ -207,10 +207,10 @@ def _published(spark, sf_dir) -> str:
     """Bronze table -> Silver tables -> catalog; returns the database."""
     folder = scratch_folder(spark, "gold")
     kept = bronze.bronze_records(directory_records(spark, sf_dir))
-    write_table(kept.orderBy("_source_row").drop(*L.POSITION), f"{folder}/bronze")
+    write_table(kept, f"{folder}/bronze")
     build_silver(spark, f"{folder}/bronze", f"{folder}/silver")
     database = "gold_" + folder[-12:]
-    publish_gold(spark, f"{folder}/silver", database, f"{folder}/warehouse", buckets=8)
+    publish_gold(spark, f"{folder}/silver", database, f"{folder}/warehouse", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
     return database
 
 
