@@ -9,13 +9,14 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from rosterlake.session import with_settings  # noqa: E402
+from rosterlake.session import clear_scratch, with_settings  # noqa: E402
 from workload.registry import QUERIES  # noqa: E402
 
 def measure(spark: SparkSession, name: str, sf_dir: str) -> float:
@@ -34,6 +35,7 @@ def main() -> None:
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", f"file://{tempfile.gettempdir()}")
     )
     spark = with_settings(builder).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -41,6 +43,7 @@ def main() -> None:
     for name in QUERIES:
         measure(spark, name, sf_dir)
         seconds[name] = measure(spark, name, sf_dir)
+    clear_scratch(spark)
     spark.stop()
     print(
         json.dumps(

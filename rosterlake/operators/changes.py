@@ -170,7 +170,6 @@ def compare_snapshots(
     keyed = F.col("npi").isNotNull()
     in_old, in_new = F.col("old_rows").isNotNull(), F.col("new_rows").isNotNull()
     shared = keyed & in_old & in_new
-    repeated = (F.col("old_rows") > 1) | (F.col("new_rows") > 1)
     measures = {
         "old_provider_count": keyed & in_old,
         "new_provider_count": keyed & in_new,
@@ -180,8 +179,10 @@ def compare_snapshots(
         "confirmed_newly_deactivated_count": shared & newly_deactivated(),
         "primary_zip_change_count": shared & zip_changed(missing_equal),
         "taxonomy_set_change_count": shared & F.col("codes_changed"),
-        "keyless_groups": ~keyed,
-        "repeated_keys": keyed & repeated,
+        "old_keyless": ~keyed & in_old,
+        "new_keyless": ~keyed & in_new,
+        "old_repeated": keyed & (F.col("old_rows") > 1),
+        "new_repeated": keyed & (F.col("new_rows") > 1),
     }
     return per_key.agg(*[F.count_if(test).alias(name) for name, test in measures.items()])
 
@@ -197,7 +198,8 @@ def change_metrics(
     row = compare_snapshots(
         old_providers, new_providers, old_taxonomies, new_taxonomies, missing_equal
     )
-    unusable = (F.col("keyless_groups") > 0) | (F.col("repeated_keys") > 0)
+    problems = ("old_keyless", "new_keyless", "old_repeated", "new_repeated")
+    unusable = F.greatest(*problems) > 0
     checked = F.when(unusable, F.raise_error(F.lit(KEY_PROBLEM)).cast("long"))
     return row.select(
         *[checked.otherwise(F.col(name)).alias(name) for name in CHANGE_MEASURES]

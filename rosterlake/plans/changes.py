@@ -40,10 +40,14 @@ def report_changes(
         read_snapshot(spark, new_taxonomies, taxonomies, "Newer taxonomies"),
         missing_equal,
     ).first()
-    if row.keyless_groups:
-        raise SnapshotKeyError("A snapshot has providers without an NPI and cannot be compared")
-    if row.repeated_keys:
-        raise SnapshotKeyError(f"{row.repeated_keys} NPIs repeat within a snapshot")
+    for name, path, keyless, repeated in (
+        ("Older providers", old_providers, row.old_keyless, row.old_repeated),
+        ("Newer providers", new_providers, row.new_keyless, row.new_repeated),
+    ):
+        if keyless:
+            raise SnapshotKeyError(f"{name} ({path}) has rows without an NPI")
+        if repeated:
+            raise SnapshotKeyError(f"{name} ({path}) has {repeated} NPIs more than once")
     metrics = {name: row[name] for name in CHANGE_MEASURES}
     frame = spark.range(1).select(*[F.lit(n).alias(name) for name, n in metrics.items()])
     report = frame.select(

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -20,6 +19,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 
+SCRATCH = "rosterlake.scratch.dir"
+
 
 def with_settings(builder: SparkSession.Builder) -> SparkSession.Builder:
     for key, value in SETTINGS.items():
@@ -42,17 +43,30 @@ def qualified(spark: SparkSession, path: str) -> str:
     return f"{default.rstrip('/')}{path}"
 
 
-def scratch_folder(spark: SparkSession, purpose: str) -> str:
-    """A new folder below the shared one that `spark.checkpoint.dir` names.
+def scratch_root(spark: SparkSession) -> str:
+    """This application's folder below the shared one that `spark.checkpoint.dir` names.
 
-    Only a local session without that setting falls back to the machine's temporary folder.
+    That setting is fixed when a session starts; for one without it, `SCRATCH` names the folder.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(SCRATCH, None)
     if base is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.gettempdir()
-    return qualified(spark, f"{base.rstrip('/')}/{purpose}-{uuid.uuid4().hex}")
+        raise ValueError("Set spark.checkpoint.dir to a folder that all executors share")
+    return qualified(spark, f"{base.rstrip('/')}/{spark.sparkContext.applicationId}")
+
+
+def scratch_folder(spark: SparkSession, purpose: str) -> str:
+    """A new folder for intermediate tables, which `clear_scratch` removes with all others."""
+    return f"{scratch_root(spark)}/{purpose}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Removes what this application has written to its scratch folder; for the end of a session."""
+    _delete(spark, scratch_root(spark))
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 @contextmanager
@@ -65,5 +79,4 @@ def scratch_space(spark: SparkSession, purpose: str) -> Iterator[str]:
     try:
         yield folder
     finally:
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(spark, folder)

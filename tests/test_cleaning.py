@@ -49,9 +49,9 @@ def test_clean_zip(spark):
 
 def test_clean_date(spark):
     values = {
-        "2024-02-03": "2024-02-03",
-        "02/03/2024": "2024-02-03",
-        " 2/3/2024 ": "2024-02-03",
+        "2023-11-09": "2023-11-09",
+        "11/09/2023": "2023-11-09",
+        " 3/9/2023 ": "2023-03-09",
         "02/29/2024": "2024-02-29",
         "02/30/2024": None,
         "2024-13-01": None,

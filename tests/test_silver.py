@@ -24,11 +24,11 @@ def test_valid_individual(spark):
     providers, taxonomies, counts = outputs(spark, bronze_record())
     assert len(providers) == 1 and len(taxonomies) == 1
     assert list(providers[0]) == ["npi", *L.PROVIDER_FIELDS, "status"]
-    assert providers[0]["practice_zip"] == "02108"
+    assert providers[0]["practice_zip"] == "01760"
     assert providers[0]["provider_middle_name"] is None
     assert providers[0]["status"] == "active"
     assert taxonomies[0] == {
-        "npi": "1000000001",
+        "npi": "1730000011",
         "taxonomy_code": "207Q00000X",
         "primary_taxonomy_flag": "Y",
         "taxonomy_slot": 1,
@@ -58,7 +58,7 @@ def test_organization_is_left_out(spark):
 
 
 def test_missing_and_invalid_keys(spark):
-    providers, _, counts = outputs(spark, bronze_record(npi=" "), bronze_record(npi="not-an-npi"))
+    providers, _, counts = outputs(spark, bronze_record(npi=" "), bronze_record(npi="12345abcde"))
     assert providers == []
     assert (counts["missing_npi_count"], counts["invalid_npi_count"]) == (1, 1)
 
@@ -81,12 +81,12 @@ def test_organization_and_state_counts_overlap(spark):
     assert counts["non_massachusetts_records_excluded"] == 1
 
 
-@pytest.mark.parametrize("text", ["2024-02-03", "02/03/2024"])
+@pytest.mark.parametrize("text", ["2023-11-09", "11/09/2023"])
 def test_deactivation_date_sets_status(spark, text):
     providers, _, _ = outputs(
-        spark, bronze_record(deactivation_date=text, reactivation_date="2024-06-01")
+        spark, bronze_record(deactivation_date=text, reactivation_date="2024-01-31")
     )
-    assert providers[0]["deactivation_date"] == "2024-02-03"
+    assert providers[0]["deactivation_date"] == "2023-11-09"
     assert providers[0]["status"] == "deactivated"
 
 

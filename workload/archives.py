@@ -17,20 +17,22 @@ from workload.records import RECORD_EXPRESSIONS, directory_records
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-MEMBERS = {"older": "npidata_pfile_19950101-19980415", "newer": "npidata_pfile_19980416-20010831"}
+MEMBER = "npidata_pfile_{month}01-{month}28"
 BLOCK = 1 << 20
+EMPTIED = 3
 
 
 def write_archives(spark: SparkSession, sf_dir: str) -> str:
-    """One ZIP per release with the records as CSV in source order. Returns the folder."""
+    """One ZIP per release and month of orders, with the records as CSV. Returns the folder."""
     folder = scratch_folder(spark, "archives")
     records = directory_records(spark, sf_dir).select(
-        *[F.col(f"`{name}`") for name in RECORD_EXPRESSIONS], "_source_row", "release"
+        *[F.col(f"`{name}`") for name in RECORD_EXPRESSIONS], "_source_row", "release", "month"
     )
     (
-        records.orderBy("release", "_source_row")
+        records.repartition("release", "month")
+        .sortWithinPartitions("release", "month", "_source_row")
         .drop("_source_row")
-        .write.partitionBy("release")
+        .write.partitionBy("release", "month")
         .option("header", True)
         .option("escape", '"')
         .option("quoteAll", True)
@@ -39,23 +41,25 @@ def write_archives(spark: SparkSession, sf_dir: str) -> str:
         .csv(f"{folder}/csv")
     )
 
-    def zip_release(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def zip_month(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         from pyarrow import fs
 
         filesystem, base = open_filesystem(folder)
+        filesystem.create_dir(f"{base}/zips", recursive=True)
         for batch in batches:
-            for name in batch["release"]:
-                listed = filesystem.get_file_info(fs.FileSelector(f"{base}/csv/release={name}"))
+            for name, month in zip(batch["release"], batch["month"]):
+                source = fs.FileSelector(f"{base}/csv/release={name}/month={month}")
+                listed = filesystem.get_file_info(source)
                 parts = sorted(f.path for f in listed if f.path.endswith(".csv"))
-                target = f"{base}/zips/extract_{name}.zip"
-                filesystem.create_dir(f"{base}/zips", recursive=True)
+                target = f"{base}/zips/extract_{name}_{month}.zip"
+                member_name = MEMBER.format(month=month)
                 with (
                     filesystem.open_output_stream(target) as sink,
                     zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive,
                 ):
-                    archive.writestr(f"{MEMBERS[name]}_fileheader.csv", "header only\n")
+                    archive.writestr(f"{member_name}_fileheader.csv", "header only\n")
                     archive.writestr(f"docs/readme_{name}.txt", "reference file\n")
-                    with archive.open(f"{MEMBERS[name]}.csv", "w", force_zip64=True) as member:
+                    with archive.open(f"{member_name}.csv", "w", force_zip64=True) as member:
                         for number, part in enumerate(parts):
                             with filesystem.open_input_file(part) as stream:
                                 header, _, body = stream.read(BLOCK).partition(b"\n")
@@ -66,28 +70,25 @@ def write_archives(spark: SparkSession, sf_dir: str) -> str:
                                     member.write(block)
                 yield pd.DataFrame({"archive": [target]})
 
-    releases = spark.createDataFrame([(name,) for name in MEMBERS], "release string")
-    releases.repartition(len(MEMBERS), "release").mapInPandas(
-        zip_release, "archive string"
-    ).write.parquet(f"{folder}/written")
+    months = records.select("release", "month").distinct()
+    months.repartition("release", "month").mapInPandas(zip_month, "archive string").write.parquet(
+        f"{folder}/written"
+    )
     return f"{folder}/zips"
 
 
 def write_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Each document's whole text as one file. Returns the folder."""
+    """Each document as one text file, that of `EMPTIED` without content. Returns the files' glob."""
     folder = scratch_folder(spark, "documents")
-
-    def write_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        filesystem, base = open_filesystem(folder)
-        filesystem.create_dir(f"{base}/files", recursive=True)
-        for batch in batches:
-            for doc_id, text in zip(batch["doc_id"], batch["text"]):
-                with filesystem.open_output_stream(f"{base}/files/{doc_id}.txt") as sink:
-                    sink.write(text.encode("utf-8"))
-            yield batch[["doc_id"]]
-
     documents: DataFrame = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    documents.select("doc_id", "text").mapInPandas(write_files, "doc_id long").write.parquet(
-        f"{folder}/written"
+    (
+        documents.where(F.col("doc_id") != EMPTIED)
+        .select(F.col("text").alias("value"), "doc_id")
+        .repartition("doc_id")
+        .write.partitionBy("doc_id")
+        .text(f"{folder}/files")
     )
-    return f"{folder}/files"
+    empty = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/files/doc_id={EMPTIED}/_0.txt")
+    files = empty.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.create(empty).close()
+    return f"{folder}/files/doc_id=*/*.txt"

@@ -2,10 +2,86 @@
 
 from __future__ import annotations
 
-from rosterlake import layout as L
-from workload.records import RECORD_EXPRESSIONS, RELEASE_EXPRESSION
+from workload.records import MONTH_EXPRESSION, RECORD_EXPRESSIONS, RELEASE_EXPRESSION
 from workload.registry import plain_name
 
+# --- Fixed values of the layout, stated here again so that a slip in the engine's shows ----
+
+FIELDS = {
+    "entity_type_code": "Entity Type Code",
+    "provider_last_name": "Provider Last Name (Legal Name)",
+    "provider_first_name": "Provider First Name",
+    "provider_middle_name": "Provider Middle Name",
+    "provider_name_prefix": "Provider Name Prefix Text",
+    "provider_name_suffix": "Provider Name Suffix Text",
+    "provider_credential": "Provider Credential Text",
+    "practice_address_line_1": "Provider First Line Business Practice Location Address",
+    "practice_address_line_2": "Provider Second Line Business Practice Location Address",
+    "practice_city": "Provider Business Practice Location Address City Name",
+    "practice_state": "Provider Business Practice Location Address State Name",
+    "practice_zip": "Provider Business Practice Location Address Postal Code",
+    "practice_country_code": "Provider Business Practice Location Address Country Code (If outside U.S.)",
+    "practice_phone": "Provider Business Practice Location Address Telephone Number",
+    "practice_fax": "Provider Business Practice Location Address Fax Number",
+    "enumeration_date": "Provider Enumeration Date",
+    "deactivation_reason_code": "NPI Deactivation Reason Code",
+    "deactivation_date": "NPI Deactivation Date",
+    "reactivation_date": "NPI Reactivation Date",
+}
+DATES = ("enumeration_date", "deactivation_date", "reactivation_date")
+RETAINED = (
+    "NPI",
+    "Entity Type Code",
+    "Provider Last Name (Legal Name)",
+    "Provider First Name",
+    "Provider Middle Name",
+    "Provider Name Prefix Text",
+    "Provider Name Suffix Text",
+    "Provider Credential Text",
+    "Provider First Line Business Practice Location Address",
+    "Provider Second Line Business Practice Location Address",
+    "Provider Business Practice Location Address City Name",
+    "Provider Business Practice Location Address State Name",
+    "Provider Business Practice Location Address Postal Code",
+    "Provider Business Practice Location Address Country Code (If outside U.S.)",
+    "Provider Business Practice Location Address Telephone Number",
+    "Provider Business Practice Location Address Fax Number",
+    "Provider Enumeration Date",
+    "NPI Deactivation Reason Code",
+    "NPI Deactivation Date",
+    "NPI Reactivation Date",
+    "Replacement NPI",
+    "Provider Organization Name (Legal Business Name)",
+    "Last Update Date",
+)
+QUALITY = (
+    "input_row_count",
+    "organization_records_excluded",
+    "non_massachusetts_records_excluded",
+    "primary_care_providers_retained",
+    "missing_npi_count",
+    "invalid_npi_count",
+    "invalid_enumeration_date_count",
+    "invalid_deactivation_date_count",
+    "invalid_reactivation_date_count",
+    "missing_zip_count",
+    "missing_taxonomy_count",
+)
+MEASURES = {
+    "old_provider_count": "Providers in older snapshot",
+    "new_provider_count": "Providers in newer snapshot",
+    "newly_observed_npi_count": "Newly observed NPIs",
+    "not_observed_in_newer_snapshot_count": "NPIs not observed in newer snapshot",
+    "deactivation_status_change_count": "Deactivation-status changes",
+    "confirmed_newly_deactivated_count": "Confirmed newly deactivated NPIs",
+    "primary_zip_change_count": "Primary ZIP-code changes",
+    "taxonomy_set_change_count": "Taxonomy-set changes",
+}
+NPI, ENUMERATION, DEACTIVATION = "NPI", "Provider Enumeration Date", "NPI Deactivation Date"
+ZIP = "Provider Business Practice Location Address Postal Code"
+STATE = "Provider Business Practice Location Address State Name"
+CODE, SWITCH = "Healthcare Provider Taxonomy Code_", "Healthcare Provider Primary Taxonomy Switch_"
+
 COHORT = "('207Q00000X', '207R00000X', '208D00000X', '208000000X')"
 
 
@@ -36,8 +112,8 @@ def day(text: str) -> str:
 
 
 def _field(name: str) -> str:
-    raw = plain_name(L.PROVIDER_FIELDS[name])
-    if name in L.DATE_FIELDS:
+    raw = plain_name(FIELDS[name])
+    if name in DATES:
         return day(raw)
     if name == "practice_zip":
         return zip5(raw)
@@ -47,15 +123,15 @@ def _field(name: str) -> str:
 
 
 _RAW = {plain_name(name): text for name, text in RECORD_EXPRESSIONS.items()}
-_NPI, _ZIP = plain_name(L.NPI), plain_name(L.ZIP)
+_NPI, _ZIP = plain_name(NPI), plain_name(ZIP)
 _SLOTS = [
-    (n, plain_name(f"{L.SLOT_CODE_PREFIX}{n}"), plain_name(f"{L.SLOT_SWITCH_PREFIX}{n}"))
+    (n, plain_name(f"{CODE}{n}"), plain_name(f"{SWITCH}{n}"))
     for n in (1, 2, 10)
 ]
 
 RECORDS = f"""records AS (
     SELECT {', '.join(f'{text} AS {name}' for name, text in _RAW.items())},
-        o_orderkey AS source_row, {RELEASE_EXPRESSION} AS release
+        o_orderkey AS source_row, {RELEASE_EXPRESSION} AS release, {MONTH_EXPRESSION} AS month
     FROM orders JOIN customer ON o_custkey = c_custkey
 )"""
 
@@ -63,7 +139,7 @@ RECORDS = f"""records AS (
 def silver(prefix: str = "", release: str | None = None) -> str:
     """CTEs conf, valid, slots, tax, cohort, prov and ptax, of all records or one release."""
     chosen = f"WHERE release = '{release}'" if release else ""
-    fields = ",\n        ".join(f"{_field(name)} AS {name}" for name in L.PROVIDER_FIELDS)
+    fields = ",\n        ".join(f"{_field(name)} AS {name}" for name in FIELDS)
     slots = " UNION ALL ".join(
         f"""SELECT {npi(_NPI)} AS npi, upper({clean(code)}) AS taxonomy_code,
             upper({clean(switch)}) AS primary_taxonomy_flag,
@@ -75,7 +151,7 @@ def silver(prefix: str = "", release: str | None = None) -> str:
     return f"""{p}conf AS (
         SELECT source_row, {npi(_NPI)} AS npi, {clean(_NPI)} AS raw_npi,
         {fields},
-        CASE WHEN {day(plain_name(L.DEACTIVATION_DATE))} IS NULL
+        CASE WHEN {day(plain_name(DEACTIVATION))} IS NULL
              THEN 'active' ELSE 'deactivated' END AS status
         FROM records {chosen}
     ), {p}valid AS (
@@ -93,7 +169,7 @@ def silver(prefix: str = "", release: str | None = None) -> str:
     ), {p}cohort AS (
         SELECT DISTINCT npi FROM {p}tax WHERE taxonomy_code IN {COHORT}
     ), {p}prov AS (
-        SELECT npi, {', '.join(L.PROVIDER_FIELDS)}, status FROM (
+        SELECT npi, {', '.join(FIELDS)}, status FROM (
             SELECT *, row_number() OVER (PARTITION BY npi ORDER BY source_row) AS n
             FROM {p}valid WHERE npi IN (SELECT npi FROM {p}cohort)) WHERE n = 1
     ), {p}ptax AS (
@@ -163,8 +239,8 @@ def _quality(p: str = "", rows: str = "conf") -> str:
         count(*) FILTER (WHERE c.raw_npi IS NULL) AS missing_npi_count,
         count(*) FILTER (WHERE c.raw_npi IS NOT NULL AND c.npi IS NULL) AS invalid_npi_count,
         {', '.join(f'''count(*) FILTER (
-            WHERE {clean('r.' + plain_name(L.PROVIDER_FIELDS[n]))} IS NOT NULL AND c.{n} IS NULL)
-            AS invalid_{n}_count''' for n in L.DATE_FIELDS)},
+            WHERE {clean('r.' + plain_name(FIELDS[n]))} IS NOT NULL AND c.{n} IS NULL)
+            AS invalid_{n}_count''' for n in DATES)},
         count(*) FILTER (WHERE c.practice_zip IS NULL) AS missing_zip_count,
         (SELECT count(*) FROM {p}valid WHERE npi NOT IN (SELECT npi FROM {p}tax))
             AS missing_taxonomy_count
@@ -203,14 +279,14 @@ def _retained() -> list[str]:
     return [
         plain_name(name)
         for name in RECORD_EXPRESSIONS
-        if name in L.RETAINED_COLUMNS or name.startswith((L.SLOT_CODE_PREFIX, L.SLOT_SWITCH_PREFIX))
+        if name in RETAINED or name.startswith((CODE, SWITCH))
     ]
 
 
 def _bronze(extra: str = "") -> str:
     return over_records(
         f"SELECT {', '.join(_retained())}{extra} FROM records"
-        f" WHERE upper({clean(plain_name(L.STATE))}) = 'MA'"
+        f" WHERE upper({clean(plain_name(STATE))}) = 'MA'"
     )
 
 
@@ -219,12 +295,12 @@ def _manifest() -> str:
     for label, p in (("older", "o_"), ("newer", "n_")):
         # Silver reads Bronze, which holds in-state rows only.
         quality = _quality(p, "bronze")
-        parts.append(f"""SELECT '{label}' AS snapshot_label,
-            'extract_{label}.zip' AS source_zip_filename, true AS has_digest,
+        parts.append(f"""SELECT '{label}' AS snapshot_label, source_zip_filename, true AS has_digest,
             (SELECT count(*) FROM records WHERE release = '{label}') AS bronze_input_row_count,
             q.input_row_count AS bronze_massachusetts_row_count,
-            {', '.join(f'q.{name} AS silver_{name}' for name in L.QUALITY_COUNTS)}
-            FROM ({quality}) q""")
+            {', '.join(f'q.{name} AS silver_{name}' for name in QUALITY)}
+            FROM ({quality}) q, (SELECT DISTINCT concat('extract_', release, '_', month, '.zip')
+                AS source_zip_filename FROM records WHERE release = '{label}')""")
     bronze = ", ".join(
         f"{p}bronze AS (SELECT * FROM {p}conf WHERE practice_state = 'MA')" for p in ("o_", "n_")
     )
@@ -233,18 +309,18 @@ def _manifest() -> str:
 
 CHANGE_ROWS = " UNION ALL ".join(
     f"SELECT {at} AS position, '{label}' AS measure, {name} AS count FROM m"
-    for at, (name, label) in enumerate(L.CHANGE_MEASURES.items(), start=1)
+    for at, (name, label) in enumerate(MEASURES.items(), start=1)
 )
 
 ORACLE: dict[str, str] = {
     "bronze_state_filter": _bronze(", source_row"),
     "conform_fields": over_silver(
-        f"SELECT source_row, npi, {', '.join(L.PROVIDER_FIELDS)}, status FROM conf"
+        f"SELECT source_row, npi, {', '.join(FIELDS)}, status FROM conf"
     ),
     "normalize_npi": _normalized("npi", _NPI, npi(_NPI)),
     "normalize_zip": _normalized("zip", _ZIP, zip5(_ZIP)),
     "normalize_date": _normalized(
-        "day", plain_name(L.ENUMERATION_DATE), day(plain_name(L.ENUMERATION_DATE))
+        "day", plain_name(ENUMERATION), day(plain_name(ENUMERATION))
     ),
     "derive_status": over_silver(
         "SELECT source_row, deactivation_date, reactivation_date, status FROM conf"
@@ -310,18 +386,26 @@ ORACLE: dict[str, str] = {
     "change_metrics_missing_equal": f"{SNAPSHOTS}{SHARED} {_change_metrics(True)}",
     "change_measures_long": f"""{SNAPSHOTS}{SHARED}, m AS ({_change_metrics(False)})
         {CHANGE_ROWS}""",
+    "change_report": f"""{SNAPSHOTS}{SHARED}, m AS ({_change_metrics(False)})
+        SELECT *, true AS run_time_utc, 'snapshot_change_measures.json' AS measures_filename,
+            'providers_ma_primary_care.parquet' AS old_providers_filename,
+            'providers_ma_primary_care.parquet' AS new_providers_filename,
+            'provider_taxonomies.parquet' AS old_taxonomies_filename,
+            'provider_taxonomies.parquet' AS new_taxonomies_filename
+        FROM m""",
     "archive_members": over_records(
-        """, period AS (SELECT DISTINCT release, CASE release
-            WHEN 'older' THEN 'npidata_pfile_19950101-19980415'
-            ELSE 'npidata_pfile_19980416-20010831' END AS base FROM records)
-        SELECT concat('extract_', release, '.zip') AS archive, member, is_main FROM (
-            SELECT release, concat(base, '.csv') AS member, true AS is_main FROM period
-            UNION ALL SELECT release, concat(base, '_fileheader.csv'), false FROM period
-            UNION ALL SELECT release, concat('docs/readme_', release, '.txt'), false FROM period)
+        """, period AS (SELECT DISTINCT release, month,
+            concat('npidata_pfile_', month, '01-', month, '28') AS base FROM records)
+        SELECT concat('extract_', release, '_', month, '.zip') AS archive, member, is_main FROM (
+            SELECT release, month, concat(base, '.csv') AS member, true AS is_main FROM period
+            UNION ALL SELECT release, month, concat(base, '_fileheader.csv'), false FROM period
+            UNION ALL SELECT release, month, concat('docs/readme_', release, '.txt'), false FROM period)
         """
     ),
     "bronze_from_archive": _bronze(),
-    "file_digests": "SELECT doc_id, sha256(text) AS sha256 FROM documents",
+    "file_digests": """SELECT doc_id,
+            sha256(CASE WHEN doc_id = 3 THEN '' ELSE text || chr(10) END) AS sha256
+        FROM documents""",
     "table_reconciliation": over_silver(
         """SELECT 'providers' AS table_name, count(*) AS loaded_rows FROM prov
         UNION ALL SELECT 'provider_taxonomies', count(*) FROM ptax"""

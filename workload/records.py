@@ -83,6 +83,8 @@ RECORD_EXPRESSIONS = {
 RELEASE_EXPRESSION = (
     "CASE WHEN o_orderdate < timestamp '1998-04-16 00:00:00' THEN 'older' ELSE 'newer' END"
 )
+# Each month of a snapshot is an archive.
+MONTH_EXPRESSION = f"concat({_YEAR}, {_MONTH})"
 
 
 def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,6 +95,7 @@ def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.expr(text).alias(name) for name, text in RECORD_EXPRESSIONS.items()],
         F.col("o_orderkey").alias("_source_row"),
         F.expr(RELEASE_EXPRESSION).alias("release"),
+        F.expr(MONTH_EXPRESSION).alias("month"),
     )
 
 

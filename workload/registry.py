@@ -12,7 +12,13 @@ from pyspark.sql import functions as F
 from rosterlake import layout as L
 from rosterlake.functions import clean_date, clean_npi, clean_zip
 from rosterlake.operators import bronze, changes, contracts, gold, silver
-from rosterlake.plans import build_bronze, build_silver, publish_gold, run_snapshot
+from rosterlake.plans import (
+    build_bronze,
+    build_silver,
+    publish_gold,
+    report_changes,
+    run_snapshot,
+)
 from rosterlake.plans.silver import write_silver
 from rosterlake.session import scratch_folder
 from rosterlake.sinks.catalog import gold_query
@@ -177,6 +183,19 @@ def change_measures_long(spark, sf_dir):
     return changes.change_measures(change_metrics(spark, sf_dir))
 
 
+def change_report(spark, sf_dir):
+    """The written JSON report, with its time's format checked."""
+    folder, tables = scratch_folder(spark, "changes"), once(write_silver_tables, spark, sf_dir)
+    paths = [
+        f"{tables}/{name}/{table}"
+        for table in (L.PROVIDERS_NAME, L.TAXONOMIES_NAME)
+        for name in ("older", "newer")
+    ]
+    report_changes(spark, *paths, folder)
+    is_utc = F.col("run_time_utc").rlike(r"^\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d(\.\d+)?\+00:00$")
+    return spark.read.json(f"{folder}/{L.CHANGE_REPORT_NAME}").withColumn("run_time_utc", is_utc)
+
+
 # --- Archives, catalog and lineage --------------------------------------------------------
 
 def archive_main_members(spark, sf_dir):
@@ -189,7 +208,7 @@ def archive_main_members(spark, sf_dir):
 
 
 def bronze_from_archive(spark, sf_dir):
-    """Both archives in one run; each record's text must survive the trip."""
+    """All archives in one run; each record's text must survive the trip."""
     folder = scratch_folder(spark, "ingest")
     report = build_bronze(spark, f"{once(write_archives, spark, sf_dir)}/*.zip", folder)
     return plainly_named(spark.read.parquet(f"{folder}/{report['output_filename']}").drop(*L.POSITION))
@@ -197,10 +216,8 @@ def bronze_from_archive(spark, sf_dir):
 
 def file_hashes(spark, sf_dir):
     digests = file_digests(spark, once(write_documents, spark, sf_dir))
-    name = F.substring_index("path", "/", -1)
-    return digests.select(
-        F.substring_index(name, ".", 1).cast("long").alias("doc_id"), "sha256"
-    )
+    number = F.regexp_extract("path", r"doc_id=(\d+)/", 1)
+    return digests.select(number.cast("long").alias("doc_id"), "sha256")
 
 
 def _published(spark, sf_dir) -> str:
@@ -227,13 +244,13 @@ def _catalog(name: str) -> Query:
 
 
 def run_manifest(spark, sf_dir):
-    """Archive to manifest for both snapshots; times, paths and digests are left out."""
+    """Monthly archives to manifest for both snapshots; times, paths and digests are left out."""
     zips, folder = once(write_archives, spark, sf_dir), scratch_folder(spark, "run")
 
     def run(label: str) -> str:
         database = f"run_{label}_{folder[-12:]}"
         return run_snapshot(
-            spark, f"{zips}/extract_{label}.zip", label, folder, database, f"{folder}/db/{label}"
+            spark, f"{zips}/extract_{label}_*.zip", label, folder, database, f"{folder}/db/{label}"
         )
 
     with ThreadPoolExecutor() as pool:  # snapshots do not depend on each other
@@ -300,6 +317,8 @@ QUERIES: dict[str, Query] = {
     "change_metrics": change_metrics,
     "change_metrics_missing_equal": change_metrics_missing_equal,
     "change_measures_long": change_measures_long,
+    # S6, K7, X10
+    "change_report": change_report,
     # S1, X11
     "archive_members": archive_main_members,
     # S2-S4, V12, A8, K1, K2
