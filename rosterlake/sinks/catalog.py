@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -20,10 +21,11 @@ def replace_tables(
     """Load new versions of all tables, compare counts, then switch the names.
 
     A table's name is a view of its current version, and replacing a view is one step: a reader
-    always finds a whole table, and a failed check leaves the earlier version in place. With
-    `buckets`, all versions are clustered by provider, so joins between them need no shuffle.
+    always finds a whole table, and a failed check leaves the earlier version in place. The version
+    before stays until the next replacement, for queries that have begun on it. With `buckets`, all
+    versions are clustered by provider, so joins between them need no shuffle.
     """
-    version = uuid.uuid4().hex
+    version = f"{time.time_ns():016x}_{uuid.uuid4().hex[:8]}"  # names sort by age
     counts = {}
     for table, path in sources.items():
         loaded = f"{database}.{table}__{version}"
@@ -42,9 +44,10 @@ def replace_tables(
                 f" AS SELECT * FROM {database}.{table}__{version}"
             )
     for table in sources:
-        for found in spark.sql(f"SHOW TABLES IN {database} LIKE '{table}__*'").collect():
-            if found.tableName.endswith(version) == bool(wrong):
-                spark.sql(f"DROP TABLE {database}.{found.tableName}")
+        listed = spark.sql(f"SHOW TABLES IN {database} LIKE '{table}__*'").collect()
+        names = sorted(found.tableName for found in listed)
+        for name in names[-1:] if wrong else names[:-2]:
+            spark.sql(f"DROP TABLE {database}.{name}")
     if wrong:
         raise ReconciliationError("; ".join(wrong))
     return counts

@@ -105,7 +105,10 @@ def test_publish_and_refresh(spark, published, buckets):
     names = sorted(r.tableName for r in spark.sql(f"SHOW TABLES IN {database}").collect())
     versions = [name for name in names if "__" in name]
     assert sorted({*names} - {*versions}) == sorted([*catalog.TABLES, *G.VIEWS])
-    assert len(versions) == len(catalog.TABLES)  # earlier versions are gone
+    assert len(versions) == 2 * len(catalog.TABLES)  # with the one before, for running queries
+    publish_gold(spark, folder, database, location, buckets)
+    names = [r.tableName for r in spark.sql(f"SHOW TABLES IN {database} LIKE '*__*'").collect()]
+    assert len(names) == 2 * len(catalog.TABLES) and len({*names} & {*versions}) == len(catalog.TABLES)
 
 
 def test_failed_reconciliation_keeps_the_earlier_tables(spark, published, monkeypatch):
