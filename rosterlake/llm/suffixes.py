@@ -30,7 +30,7 @@ _BASE = 0x9E3779B97F4A7C15
 _tables: dict[str, np.ndarray] = {}
 
 
-def _powers() -> dict[str, np.ndarray]:
+def powers() -> dict[str, np.ndarray]:
     """Random values of the bytes, and powers of the base and of its inverse modulo 2^64."""
     if not _tables:
         _tables["byte"] = np.random.default_rng(400).integers(0, 1 << 64, 256, dtype=np.uint64)
@@ -48,7 +48,7 @@ def anchors(data: np.ndarray, offsets: np.ndarray, least: int, gram: int) -> tup
     """
     if len(data) < least:
         return (np.zeros(0, np.int64),) * 3 + (np.zeros(0, np.uint64),)
-    tables = _powers()
+    tables = powers()
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(tables["byte"][data] * tables["up"][: len(data)], out=sums[1:])
     grams = (sums[gram:] - sums[:-gram]) * tables["down"][: len(data) - gram + 1]
