@@ -282,10 +282,11 @@ def _judged(named: DataFrame) -> DataFrame:
 
     The row with the smallest id stays (nulls last; then by row and number), the others are gone.
     """
+    # each table is written, so that a join's sides are plain and a frequent class can be split
     repeated = named.groupBy("class").agg(F.count("*").alias("n")).where(F.col("n") > 1).select("class")
-    several = named.join(repeated, "class", "left_semi")
+    several = stored(named.join(stored(repeated, "repeated"), "class", "left_semi"), "several")
     order = F.struct(F.col("id").isNull().alias("unknown"), "id", "row", "no")
-    keepers = several.groupBy("class").agg(F.min(order).alias("keeper"))
+    keepers = stored(several.groupBy("class").agg(F.min(order).alias("keeper")), "keepers")
     gone = (F.col("keeper.row") != F.col("row")) | (F.col("keeper.no") != F.col("no"))
     return several.join(keepers, "class").select("row", "no", gone.alias("gone"), F.col("keeper.id").alias("kept_in"))
 
