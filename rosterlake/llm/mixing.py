@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rosterlake.llm.common import stored
+
 #: Of each kind of source: (curriculum time, weight) knots, joined by straight lines. The integral
 #: is the source's weight in the mix: 3, 1 and 2. Kinds repeat over the sources in order.
 Schedule = Sequence[tuple[float, float]]
@@ -20,7 +22,7 @@ SHARE = 1.5
 MAX_REPEATS = 2
 WORD = r"[^\x20\x09-\x0D]+"
 #: Documents ordered by one task at a time.
-BUCKET_ROWS = 10_000
+BUCKET_ROWS = 2_000
 
 
 def areas(schedule: Schedule) -> list[float]:
@@ -52,17 +54,18 @@ def words_in(text: Column) -> Column:
 
 
 def source_targets(sizes: DataFrame, schedules: Sequence[Schedule], share: float, max_repeats: int) -> DataFrame:
-    """(source, kind, source_size, target) from one row (source, source_size) per source.
+    """(unknown, source, kind, source_size, target) from one row (unknown, source, source_size) each.
 
     Targets are proportional to weights, none above `max_repeats` times its source: ordered by the
     factor at which each source is exhausted, a prefix is exhausted and the rest share what is left.
     """
     kinds, weights = len(schedules), [areas(s)[-1] for s in schedules]
-    ranked = sizes.withColumn("kind", (F.row_number().over(Window.orderBy(F.asc_nulls_last("source"))) - 1) % kinds)
+    in_order = Window.orderBy("unknown", "source")
+    ranked = sizes.withColumn("kind", (F.row_number().over(in_order) - 1) % kinds)
     weight = F.element_at(F.array(*[F.lit(w) for w in weights]), F.col("kind") + 1)
     ranked = ranked.withColumn("weight", weight).withColumn("limit", F.lit(max_repeats) * F.col("source_size"))
     budget = F.lit(float(share)) * F.sum("source_size").over(Window.partitionBy())
-    order = Window.orderBy(F.col("limit") / F.col("weight"), F.asc_nulls_last("source"))
+    order = Window.orderBy(F.col("limit") / F.col("weight"), "unknown", "source")
     done, later = order.rowsBetween(Window.unboundedPreceding, -1), order.rowsBetween(0, Window.unboundedFollowing)
     filled = (
         ranked.withColumn("budget", budget)
@@ -76,7 +79,7 @@ def source_targets(sizes: DataFrame, schedules: Sequence[Schedule], share: float
     target = F.when(F.col("exhausted"), F.col("limit").cast("double")).otherwise(
         F.col("weight") * F.col("rest.left") / F.col("rest.weights")
     )
-    return rest.select("source", "kind", "source_size", target.alias("target"))
+    return rest.select("unknown", "source", "kind", "source_size", target.alias("target"))
 
 
 def planned(
@@ -103,27 +106,29 @@ def planned(
     """
     base = docs.select(
         F.col(id_col).alias("id"),
-        F.col(source_col).alias("source"),
+        # the null source without a null, so that windows and joins are dealt out alike
+        F.col(source_col).isNull().alias("unknown"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
         words_in(F.col(text_col)).alias("size"),
         F.coalesce(F.md5(F.col(id_col).cast("string")), F.lit("")).alias("hash"),
         *([F.struct("*").alias("row")] if carry else []),
     )
-    per_source = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
+    if not carry:
+        base = stored(base, "mixing")  # words are counted once
+    per_source = base.groupBy("unknown", "source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     rows = per_source.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     buckets = max(1, math.ceil(rows / bucket_rows))
     lead = F.coalesce(F.conv(F.substring("hash", 1, 8), 16, 10).cast("long"), F.lit(0))
     placed = base.withColumn("bucket", F.shiftright(lead * F.lit(buckets), 32))
-    targets = source_targets(per_source.select("source", "source_size"), schedules, share, max_repeats)
-    sums = placed.groupBy("source", "bucket").agg(F.sum("size").alias("bucket_size"))
-    before = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    targets = source_targets(per_source.drop("n"), schedules, share, max_repeats)
+    sums = placed.groupBy("unknown", "source", "bucket").agg(F.sum("size").alias("bucket_size"))
+    before = Window.partitionBy("unknown", "source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.withColumn("start", F.coalesce(F.sum("bucket_size").over(before), F.lit(0)))
-    starts = starts.join(targets.withColumnRenamed("source", "named"), F.col("source").eqNullSafe(F.col("named")))
-    starts = starts.select(
-        F.col("source").alias("s"), F.col("bucket").alias("b"), "start", "kind", "source_size", "target"
-    )
-    within = Window.partitionBy("source", "bucket").orderBy("hash", "id", "size")
-    inner = placed.withColumn("inner", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    both = inner.join(starts, F.col("source").eqNullSafe(F.col("s")) & (F.col("bucket") == F.col("b")))
+    starts = starts.drop("bucket_size").join(targets, ["unknown", "source"])
+    cells = ["unknown", "source", "bucket"]
+    within = Window.partitionBy(*cells).orderBy("hash", "id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inner = placed.withColumn("inner", F.sum("size").over(within) - F.col("size"))
+    both = inner.join(starts, cells)
     wanted = F.round("target").cast("long")
     takes = []
     for turn in range(max_repeats):
