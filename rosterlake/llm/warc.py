@@ -209,7 +209,7 @@ def read_warc(archives: DataFrame, id_type: str = "bigint") -> DataFrame:
                             rows = []
                     yield pa.RecordBatch.from_pylist(rows, schema=kinds)
 
-    each = archives.select("archive").repartition(F.col("archive"))
+    each = archives.select("archive").repartition(max(1, archives.count()))  # a task per archive
     read = each.mapInArrow(run, schema)
     return read.select(
         F.col("page_id").cast(id_type), "payload_bytes", "payload_digest", "record_type", F.col("refers_to").cast(id_type)
