@@ -4,24 +4,28 @@ from __future__ import annotations
 
 import math
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rosterlake.llm.common import appended, fresh, stored
+from rosterlake.llm.paragraphs import band_hashes, bands_for, content_of, shingled
 
 #: Bounds of what is fitted: labelled examples in the index, and terms in its vocabulary.
 SAMPLE_ROWS = 24_000
 VOCABULARY = 4096
 #: Terms in fewer examples are not considered.
 LEAST_EXAMPLES = 3
+#: Similarity of near copies among the examples, and hashes of a band that finds them.
+NEAR = 0.8
+NEAR_ROWS = 5
 PREFIXES = (4, 5)
 NEIGHBOURS = 25
 BLOCK_ROWS = 64
@@ -226,26 +230,76 @@ def _telling_terms(examples: DataFrame, limit: int) -> list[str]:
     return [r.term for r in telling.orderBy(F.desc("ratio"), "term").limit(limit).collect()]
 
 
+def _triples(texts: list) -> tuple[np.ndarray, np.ndarray]:
+    return shingled([content_of(" ".join(_WORD.findall((text or "").lower()))) for text in texts], 3)
+
+
 def _without_near_copies(examples: DataFrame) -> DataFrame:
-    """Of examples that share the smallest hash of their word triples, twice over, the first stays.
+    """The examples (id, label, text) without near copies of one that stays, in the order of ids.
 
-    Copies with a few edits would make all their words look telling, too.
+    Near copies have the same label and word triples of a Jaccard similarity of `NEAR` or more;
+    copies with a few edits would make all their words look telling, too. Bands of MinHashes only
+    tell which examples to compare: the driver joins up those that meet in one, from the sample's
+    hashes, and a task compares each with those that stay among its own.
     """
+    bands = bands_for(NEAR, NEAR_ROWS)
 
-    def work(texts: list) -> list[list]:
-        sketches = []
-        for text in texts:
-            words = _WORD.findall((text or "").lower())
-            triples = [" ".join(words[i : i + 3]).encode() for i in range(max(1, len(words) - 2))]
-            hashes = np.array([zlib.crc32(t) for t in triples], np.uint64)
-            sketches.append([int((hashes * np.uint64(odd) % np.uint64(1 << 61)).min()) for odd in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)])
-        return [[a for a, _ in sketches], [b for _, b in sketches]]
+    def sketch(texts: list) -> list[list]:
+        return [band_hashes(*_triples(texts), bands, NEAR, NEAR_ROWS).view(np.int64).tolist() if texts else []]
+
+    sketched = stored(appended(examples, "text", {"bands": "array<bigint>"}, sketch), "toxicity-sketches")
+    kind = examples.schema["id"].dataType.simpleString()
+    hashes = [(r.id, r.label, r.bands) for r in sketched.select("id", "label", "bands").collect()]
+    meeting = [(hashes[k][0], group) for k, group in _joined([(label, own) for _, label, own in hashes])]
+    if not meeting:
+        return sketched.drop("bands")
+    groups = examples.sparkSession.createDataFrame(meeting, f"id {kind}, grp long")
 
-    rows = appended(examples, "text", {"a": "bigint", "b": "bigint"}, work).drop("text")
-    for sketch in ("a", "b"):
-        rows = rows.groupBy(sketch).agg(F.min(F.struct("id", *[c for c in "ab" if c != sketch])).alias("one"))
-        rows = rows.select("one.*", sketch)
-    return stored(examples.join(F.broadcast(rows.select("id")), "id", "left_semi"), "toxicity-distinct")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, met, sets = None, {}, []
+        for batch in batches:
+            copies = []
+            texts, groups, labels = (batch[c].to_pylist() for c in ("text", "grp", "label"))
+            for text, grp, label, own in zip(texts, groups, labels, batch["bands"].to_pylist(), strict=True):
+                if grp != current:
+                    current, met, sets = grp, {}, []
+                triples = np.unique(_triples([text])[0])
+                places = [(label, no, h) for no, h in enumerate(own)]
+                others = {k for place in places for k in met.get(place, ())}
+                copies.append(any(_are_near(triples, sets[k]) for k in others))
+                if not copies[-1]:
+                    for place in places:
+                        met.setdefault(place, []).append(len(sets))
+                    sets.append(triples)
+            yield pa.RecordBatch.from_arrays([batch["id"].filter(pa.array(copies, pa.bool_()))], names=["id"])
+
+    grouped = sketched.join(F.broadcast(groups), "id").repartition("grp").sortWithinPartitions("grp", "id")
+    copies = stored(grouped.select("id", "grp", "label", "bands", "text").mapInArrow(run, f"id {kind}"), "toxicity-copies")
+    return stored(sketched.drop("bands").join(F.broadcast(copies), "id", "left_anti"), "toxicity-distinct")
+
+
+def _are_near(s: np.ndarray, t: np.ndarray) -> bool:
+    if min(len(s), len(t)) < NEAR * max(len(s), len(t)):
+        return False
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both >= NEAR * (len(s) + len(t) - both) - 1e-9
+
+
+def _joined(rows: list[tuple[int, list[int]]]) -> list[tuple[int, int]]:
+    """(place, group) of the rows (label, band hashes) that meet another of their label in a band."""
+    parent, first = list(range(len(rows))), {}
+
+    def root(k: int) -> int:
+        while parent[k] != k:
+            parent[k] = k = parent[parent[k]]
+        return k
+
+    for k, (label, own) in enumerate(rows):
+        for no, h in enumerate(own):
+            other = root(first.setdefault((label, no, h), k))
+            parent[root(k)] = other
+    sizes = Counter(root(k) for k in range(len(rows)))
+    return [(k, root(k)) for k in range(len(rows)) if sizes[root(k)] > 1]
 
 
 def _document_frequencies(texts: DataFrame, vocabulary: Broadcast) -> tuple[int, dict[int, int]]:
@@ -275,8 +329,8 @@ def fitted(
 ) -> Scorer:
     """The scorer fitted on at most `sample_rows` labelled examples that are not held out.
 
-    One example is taken per distinct text, as copies would make every word of theirs look telling;
-    several labels of one document are averaged. Terms' document frequencies come from all
+    One example is taken per distinct text, and per label one of near copies, as copies would make
+    every word of theirs look telling; several labels of one document are averaged. Terms' document frequencies come from all
     documents. The driver holds only the sample's counts of vocabulary terms.
     """
     spark = docs.sparkSession

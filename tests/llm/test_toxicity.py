@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 
 from rosterlake.llm.queries import QUERIES
-from rosterlake.llm.toxicity import BlockMaxIndex, isotonic, toxicity_scores
+from rosterlake.llm.toxicity import BlockMaxIndex, _without_near_copies, isotonic, toxicity_scores
 
 
 def vectors(n, terms, seed):
@@ -81,6 +81,29 @@ def test_held_out_accuracy_and_edges(spark):
     assert {r.doc_id: r[other].score for r in again.collect()} == {r.doc_id: r[name].score for r in rows}
 
 
+def test_only_near_copies_of_one_label_go(spark):
+    rng = random.Random(5)
+    text = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage, base = text(60), text(200)
+    edited = lambda k: " ".join([*base[:k], "other", *base[k + 1 :]])
+    rows = [(i, i % 2, " ".join(text(60) + passage + text(60))) for i in range(100)]  # Jaccard below 0.3
+    rows += [(200, 0, " ".join(base)), (201, 0, edited(20)), (202, 1, edited(90)), (203, 1, edited(150))]
+    # each of a chain is near the next only, so the third stays as the second is gone
+    chain = [base[60 + 9 * k :] + text(9 * k) for k in range(3)]
+    rows += [(300 + k, 0, " ".join(["chain", *c])) for k, c in enumerate(chain)]
+    rows += [(400, 1, "!!"), (401, 1, None), (402, 1, "a b"), (403, 1, "A, b"), (404, 1, "a c")]
+    found = _without_near_copies(spark.createDataFrame(rows, "id long, label int, text string").repartition(5))
+    assert found.columns == ["id", "label", "text"]
+    kept, near = [], lambda a, b: len(a & b) >= 0.8 * len(a | b)
+    for i, label, t in rows:
+        words = "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()
+        own = {tuple(words[k : k + 3]) for k in range(max(1, len(words) - 2))}
+        if not any(label == other and near(own, s) for _, other, s in kept):
+            kept.append((i, label, own))
+    assert sorted(r.id for r in found.collect()) == [i for i, *_ in kept]
+    assert {*range(100), 200, 202, 300, 302, 400, 402, 404} <= {i for i, *_ in kept} and not {201, 203, 301, 401, 403} & {i for i, *_ in kept}
+
+
 def test_without_labels_or_rows(spark):
     docs, labels = corpus(40)
     frame, known = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int")
