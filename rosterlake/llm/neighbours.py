@@ -16,13 +16,20 @@ THRESHOLD = 0.95
 #: Nodes compared at once, and best neighbours that a node keeps beside all that may be linked.
 GROUP_ROWS = 384
 NEIGHBOURS = 12
-#: Random-hyperplane tables that seed the graph, rounds of descent, and rounds of merging balls.
+#: Random-hyperplane tables that seed the graph, rounds of descent in which it may still change much,
+#: rounds after which a missed recall is an error, and rounds of merging balls.
 TABLES = 8
 ROUNDS = 6
+MOST_ROUNDS = 24
 MERGES = 3
-#: Nodes whose links are found by comparing them with all others, and the recall asked for.
+#: Nodes first compared with all others, the most at a time, the linked pairs to be seen in doing so,
+#: and the recall asked for.
 AUDIT_NODES = 512
+AUDIT_BLOCK = 8192
+AUDIT_PAIRS = 2000
 RECALL = 0.995
+#: Cosines held at a time by a task of the audit.
+_CELLS = 1 << 22
 #: Codes are vectors rounded to 8 bits a component; their cosines are off by less than this.
 CODE_ERROR = 0.02
 _MARGIN = 1e-7
@@ -245,18 +252,20 @@ def _pairs_within(angle: float, key: str):
     return run
 
 
-def neighbour_graph(nodes: DataFrame, angle: float, rounds: int = ROUNDS, recall: float = RECALL) -> tuple[DataFrame, float]:
+def neighbour_graph(nodes: DataFrame, angle: float, rounds: int | None = None, recall: float = RECALL) -> tuple[DataFrame, float]:
     """(edges (a, b, cosine, ra, rb) in both directions, audited recall of those that may be linked).
 
     Seeded by hyperplane tables, the graph is refined by NN-descent: at each node its neighbours, and
     those whose neighbour it is, are compared with each other, until hardly anything changes. The
     audit compares some nodes with all; as long as the recall falls short, another set of tables is
-    added and descent goes on, `rounds` times at most.
+    added and descent goes on. Missing it for `rounds` rounds (`MOST_ROUNDS`) is an error.
     """
+    rounds = MOST_ROUNDS if rounds is None else rounds
     count = nodes.count()
     if count < 2:
         return nodes.sparkSession.createDataFrame([], _EDGES), 1.0
     codes = _codes(nodes)
+    true = stored(linkable(nodes, count, angle), "vector-audited")
     edges, found = None, 0.0
     for turn in range(rounds):
         if turn == 0 or found < recall:
@@ -270,10 +279,10 @@ def neighbour_graph(nodes: DataFrame, angle: float, rounds: int = ROUNDS, recall
         better = joined.mapInArrow(_pairs_within(angle, "z"), _EDGES)
         before, edges = edges, stored(_best(edges.unionByName(better), angle), "vector-graph")
         changed = edges.join(before, ["a", "b"], "left_anti").count()
-        found = audited(nodes, edges, angle)
-        if found >= recall and changed <= 0.05 * count * NEIGHBOURS:
-            break
-    return edges, found
+        found = audited(true, edges)
+        if found >= recall and (turn + 1 >= ROUNDS or changed <= 0.05 * count * NEIGHBOURS):
+            return edges, found
+    raise RuntimeError(f"near vectors: recall {found:.4f} after {rounds} rounds, {recall} asked for")
 
 
 def _codes(nodes: DataFrame) -> DataFrame:
@@ -288,29 +297,60 @@ def _codes(nodes: DataFrame) -> DataFrame:
     return stored(nodes.select("node", "dim", "radius", "vec").mapInArrow(run, schema), "vector-codes")
 
 
-def audited(nodes: DataFrame, edges: DataFrame, angle: float) -> float:
-    """The share of pairs that may be linked, of some nodes with all others, that the graph has."""
-    chosen = nodes.select("node", "dim", "radius", "vec").orderBy(F.xxhash64("node")).limit(AUDIT_NODES).collect()
-    asked = nodes.sparkSession.sparkContext.broadcast([(r.node, r.dim, r.radius, bytes(r.vec)) for r in chosen])
+def audited(true: DataFrame, edges: DataFrame) -> float:
+    """The share of the pairs (a, b) in `true` that the graph has."""
+    total = true.count()
+    return true.join(edges, ["a", "b"], "left_semi").count() / total if total else 1.0
+
+
+def linkable(nodes: DataFrame, count: int, angle: float) -> DataFrame:
+    """(a, b): all pairs that may be linked of growing blocks of nodes with all others.
+
+    Blocks are added until `AUDIT_PAIRS` pairs are seen, or all nodes have been asked: where fewer
+    pairs exist, the audit is complete.
+    """
+    parts = max(1, math.ceil(count / AUDIT_NODES))
+    part, found, seen, at, step = F.pmod(F.xxhash64("node"), F.lit(parts)), None, 0, 0, 1
+    while at < parts and seen < AUDIT_PAIRS:
+        block = nodes.where((part >= at) & (part < at + step))
+        pairs = stored(_linked_with(nodes, block, angle), "vector-audit")
+        seen += pairs.count()
+        found = pairs if found is None else found.unionByName(pairs)
+        at, step = at + step, min(2 * step, AUDIT_BLOCK // AUDIT_NODES)
+    return found
+
+
+def _linked_with(nodes: DataFrame, block: DataFrame, angle: float) -> DataFrame:
+    """(a, b): the pairs of the block's nodes with all others that may be linked."""
+    chosen = block.select("node", "dim", "radius", "vec").collect()
+    asked: dict[int, list] = {}
+    for r in chosen:
+        asked.setdefault(r.dim, []).append((r.node, r.radius, bytes(r.vec)))
+    shared = nodes.sparkSession.sparkContext.broadcast(asked)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ready = {}
+        for dim, own in shared.value.items():
+            queries = np.frombuffer(b"".join(q[2] for q in own), np.float64).reshape(len(own), -1)
+            ready[dim] = queries, np.array([q[0] for q in own]), np.array([q[1] for q in own])
         for batch in batches:
             dims, vecs = batch["dim"].to_numpy(), batch["vec"].to_pylist()
             for dim in np.unique(dims).tolist():
-                at, own = np.flatnonzero(dims == dim), [q for q in asked.value if q[1] == dim]
-                if not own:
+                if dim not in ready:
                     continue
-                names, radii = batch["node"].to_numpy()[at], batch["radius"].to_numpy()[at]
-                matrix = np.frombuffer(b"".join(vecs[i] for i in at), np.float64).reshape(len(at), -1)
-                queries = np.frombuffer(b"".join(q[3] for q in own), np.float64).reshape(len(own), -1)
-                ids, wide = np.array([q[0] for q in own]), np.array([q[2] for q in own])
-                close = queries @ matrix.T >= needed(angle, wide[:, None], radii[None, :], 0.0)
-                i, j = np.nonzero(close & (ids[:, None] != names[None, :]))
-                yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(names[j])], names=["a", "b"])
-
-    true = stored(nodes.select("node", "dim", "radius", "vec").mapInArrow(run, "a long, b long"), "vector-audit")
-    total = true.count()
-    return true.join(edges, ["a", "b"], "left_semi").count() / total if total else 1.0
+                queries, ids, wide = ready[dim]
+                every = np.flatnonzero(dims == dim)
+                rows = max(1, _CELLS // len(ids))
+                for start in range(0, len(every), rows):
+                    at = every[start : start + rows]
+                    names, radii = batch["node"].to_numpy()[at], batch["radius"].to_numpy()[at]
+                    matrix = np.frombuffer(b"".join(vecs[i] for i in at), np.float64).reshape(len(at), -1)
+                    cosines = queries @ matrix.T
+                    i, j = np.nonzero(cosines >= needed(angle, wide.max(), radii.max(), 0.0))
+                    close = (cosines[i, j] >= needed(angle, wide[i], radii[j], 0.0)) & (ids[i] != names[j])
+                    yield pa.RecordBatch.from_arrays([pa.array(ids[i[close]]), pa.array(names[j[close]])], names=["a", "b"])
+
+    return nodes.select("node", "dim", "radius", "vec").mapInArrow(run, "a long, b long")
 
 
 def _judged(pairs: DataFrame, angle: float, threshold: float) -> DataFrame:

@@ -81,6 +81,27 @@ def test_edge_cases(spark):
     assert near_vectors(spark.createDataFrame([], SCHEMA))[0].collect() == []
 
 
+def test_missed_links_are_an_error(spark, monkeypatch):
+    # so few pairs that a fixed number of audited nodes would see none of them
+    vectors = cloud(3000, 3000, 0.0, 64, 8)
+    vectors = [*dict.fromkeys(map(tuple, vectors))]
+    vectors += [tuple(1.04 * x if k % 2 else 0.9 * x + 0.2 for k, x in enumerate(v)) for v in vectors[:4]]
+    rows = [(i, list(v)) for i, v in enumerate(vectors)]
+    units = np.array([unit_of(v) for _, v in rows])
+    cosines = units @ units.T
+    i, j = np.nonzero(cosines >= 0.95)
+    assert 4 <= (i < j).sum() < 20
+    frame = spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA)
+    nodes = stored(unit_vectors(frame, "vec_id", "embedding"), "units").select(
+        F.col("row").alias("node"), "dim", "vec", F.lit(0.0).alias("radius"), F.lit(1).cast("long").alias("n")
+    )
+    assert neighbours.linkable(nodes, len(rows), math.acos(0.95)).count() == (i != j).sum()
+    monkeypatch.setattr(neighbours, "MOST_ROUNDS", 2)
+    monkeypatch.setattr(neighbours, "_best", lambda edges, angle: edges.limit(0))
+    with pytest.raises(RuntimeError, match="recall 0.0000"):
+        neighbours.neighbour_graph(nodes, math.acos(0.95))
+
+
 def test_codes_are_close():
     rng = np.random.default_rng(0)
     for dim in (1, 3, 64, 700):
