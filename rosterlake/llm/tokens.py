@@ -85,6 +85,8 @@ class Encoder:
         """Ids of the new words, from those of their lower-case stems and the punctuation after."""
         memo, stems = self.memo, {}
         for word in new:
+            if b"<|" in word:  # added tokens are matched before letters become lower case
+                continue
             stem = word.rstrip(_PUNCTUATION)
             if stem is not word and not stem[-1:].isalnum():  # of bytes: an ASCII letter or digit
                 stem = word

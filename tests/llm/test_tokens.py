@@ -39,6 +39,19 @@ def test_words_encode_as_in_the_whole_text(text):
     assert ids == PLAIN[WORDS].encode(text, add_special_tokens=False).ids
 
 
+@pytest.mark.parametrize("text", ["<|EndOfText|>", "<|STARTOFTEXT|>", "A<|EndOfText|>b, X<|endoftext|>Y. <|ENDOFTEXT|>."])
+def test_added_tokens_keep_their_case(text):
+    ids = [i for part, _ in BY_WORD([text.encode()]) for i in part.tolist()]
+    assert ids == PLAIN[WORDS].encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<|endoftext|>", "<|EndOfText|>", "<|STARTOFTEXT|>", "<|", "A", "x", " ", ",", "."])).map("".join))
+def test_words_around_added_tokens(text):
+    ids = [i for part, _ in BY_WORD([text.encode()]) for i in part.tolist()]
+    assert ids == PLAIN[WORDS].encode(text, add_special_tokens=False).ids
+
+
 def test_pieces_cut_at_white_space():
     text = b"ab cd\tefgh\nijklmnopq r " * 50 + b"x" * 100
     parts, lasts = zip(*pieces(text, 7), strict=True)
