@@ -145,6 +145,16 @@ def planned(
     return result.select(*columns, *(["row"] if carry else []))
 
 
+def training_order(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """(id, position, n_words): each time that the mix reads a document, range-sorted by position.
+
+    This is the order of the rows of `mixed`.
+    """
+    each = planned(docs, id_col, **options).select(id_col, F.explode("takes").alias("take"))
+    ordered = each.orderBy("take.position", F.col(f"`{id_col}`"), "take.n_words")
+    return ordered.select(id_col, "take.position", "take.n_words")
+
+
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
     """The rows of `docs` as often as the mix takes them, range-sorted by training position.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from rosterlake.llm.common import table
 from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
-from rosterlake.llm.mixing import planned
+from rosterlake.llm.mixing import planned, training_order
 from rosterlake.llm.neighbours import near_vectors
 from rosterlake.llm.paragraphs import repeated_paragraphs
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
@@ -79,6 +79,10 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned(table(spark, sf_dir, "documents")).drop("takes")
 
 
+def op8_mixing_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return training_order(table(spark, sf_dir, "documents"))
+
+
 def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages"))
 
@@ -97,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_token_output": op6_token_output,
     "op7_embedding_near_dedup": op7_embedding_near_dedup,
     "op8_mixing": op8_mixing,
+    "op8_mixing_order": op8_mixing_order,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
 }

@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from rosterlake.llm.mixing import SCHEDULES, areas, mixed, planned
+from rosterlake.llm.mixing import SCHEDULES, areas, mixed, planned, training_order
+from rosterlake.llm.queries import QUERIES
 
 SCHEMA = "doc_id long, text string, source string, size int, target string, row int"
 
@@ -82,3 +83,16 @@ def test_mixed_rows(spark):
     assert out.collect() == mixed(frame.repartition(3)).collect()
     assert mixed(frame.limit(0)).count() == planned(frame.limit(0)).count() == 0
     assert planned(frame.where("text is null")).collect()[0].taken == 0
+
+
+def test_query_returns_the_training_order(spark):
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = QUERIES["op8_mixing_order"](spark, sf).collect()
+    assert [r.doc_id for r in rows] == [r.doc_id for r in mixed(docs).collect()]
+    assert [r.position for r in rows] == sorted(r.position for r in rows)
+    plan = planned(docs).collect()
+    assert sorted((r.doc_id, r.position, r.n_words) for r in rows) == sorted((r.doc_id, *t) for r in plan for t in r.takes)
+    # schedules of the same integrals give another order
+    flat = [((0.0, 3.0), (1.0, 3.0)), ((0.0, 1.0), (1.0, 1.0)), SCHEDULES[2]]
+    assert [r.doc_id for r in training_order(docs, schedules=flat).collect()] != [r.doc_id for r in rows]
