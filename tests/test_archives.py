@@ -138,7 +138,7 @@ def test_short_record_is_padded(spark, tmp_path):
     text = csv_text([source_record()], columns) + 'MA,1000000009\n"MA","a ""q"", b"\n\n'
     metadata, bronze = bronze_of(spark, tmp_path, text)
     assert metadata["input_row_count"] == 3
-    assert [r[L.NPI] for r in bronze.collect()] == ["1000000001", "1000000009", 'a "q", b']
+    assert [r[L.NPI] for r in bronze.collect()] == [source_record()[L.NPI], "1000000009", 'a "q", b']
     assert bronze.collect()[1][L.ZIP] == ""
 
 
