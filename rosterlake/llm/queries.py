@@ -13,6 +13,7 @@ from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
 from rosterlake.llm.mixing import planned, training_order
 from rosterlake.llm.neighbours import near_vectors
 from rosterlake.llm.paragraphs import repeated_paragraphs
+from rosterlake.llm.periods import periodic_runs
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
 from rosterlake.llm.suffixes import without_repeats
@@ -92,6 +93,14 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_ids(docs.select("doc_id", F.octet_length("text").alias("n_bytes")), "doc_id", "n_bytes")
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    rows, found = periodic_runs(docs, planted=True, texts=False)
+    exponent = F.expr(f"1000 * {found}.length div {found}.period").alias("exponent_milli")
+    own = [f"{found}.{c}" for c in ("n_runs", "start", "length", "period")]
+    return rows.select("doc_id", *own, exponent, f"{found}.runs_sha256", f"{found}.collapsed_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_toxicity": op1_toxicity,
     "op2_paragraph_dedup": op2_paragraph_dedup,
@@ -104,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing_order": op8_mixing_order,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLE: dict[str, str] = {
