@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import table
+from rosterlake.llm.common import stored, table
+from rosterlake.llm.conversations import audited, damaged, repaired_digests
 from rosterlake.llm.decontamination import benchmark_hits, is_contaminated
 from rosterlake.llm.mixing import planned, training_order
 from rosterlake.llm.neighbours import near_vectors
@@ -93,6 +94,22 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_ids(docs.select("doc_id", F.octet_length("text").alias("n_bytes")), "doc_id", "n_bytes")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    turns = damaged(rows)
+    audits = stored(audited(turns), "conversation-audits")
+    digests = repaired_digests(turns, audits)
+    # a row per conversation on each side, the original ones too: null ids meet as well
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    sides = rows.select("conv_id").distinct().unionByName(audits, allowMissingColumns=True)
+    sides = sides.unionByName(digests, allowMissingColumns=True).groupBy("conv_id")
+    return sides.agg(
+        *[F.coalesce(F.max(c), F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("repaired_sha256"), F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows, found = periodic_runs(docs, planted=True, texts=False)
@@ -113,6 +130,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixing_order": op8_mixing_order,
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
+    "op11_conversation_repair": op11_conversation_repair,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
