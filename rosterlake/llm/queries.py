@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.llm.common import stored, table
@@ -15,6 +15,7 @@ from rosterlake.llm.mixing import planned, training_order
 from rosterlake.llm.neighbours import near_vectors
 from rosterlake.llm.paragraphs import repeated_paragraphs
 from rosterlake.llm.periods import periodic_runs
+from rosterlake.llm.personal import KINDS, TELLING, personal_data
 from rosterlake.llm.sharding import SHARD_BYTES, shard_ids
 from rosterlake.llm.simhash import simhash_groups
 from rosterlake.llm.suffixes import without_repeats
@@ -110,6 +111,26 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # texts without a digit or @ hold no spans: only the others go to Python
+    text = F.when(F.col("text").rlike(TELLING), F.col("text")).alias("text")
+    rows, found = personal_data(docs.select("doc_id", text), redact=False)
+    base, added = F.col(f"{found}.base"), F.col(f"{found}.added")
+    said = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+
+    def of(spans: Column, kind: str) -> Column:
+        return F.array_sort(F.filter(spans, lambda s: s["kind"] == kind))
+
+    both = F.concat(base, added)
+    return rows.select(
+        "doc_id",
+        *[F.size(of(base, kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(F.array_join(F.transform(base, said), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform(F.flatten(F.array(*[of(both, kind) for kind in KINDS])), said), ",").alias("spans"),
+    )
+
+
 def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows, found = periodic_runs(docs, planted=True, texts=False)
@@ -131,6 +152,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_warc": op9_warc,
     "op10_sharding": op10_sharding,
     "op11_conversation_repair": op11_conversation_repair,
+    "op12_personal_data": op12_personal_data,
     "op13_periodic_runs": op13_periodic_runs,
 }
 

@@ -1,0 +1,189 @@
+"""Personal data: patterns against plain regular expressions, the network against finite differences and held-out labels."""
+
+import hashlib
+import random
+import re
+from itertools import combinations, product
+
+import numpy as np
+import pytest
+
+from rosterlake.llm import personal
+from rosterlake.llm.personal import (
+    KINDS, N_CLASSES, N_TAGS, STRIDE, WINDOW, Tagger, added_spans, chosen, codes, luhn, padded, pattern_spans, personal_data,
+    redacted, tags, window_starts,
+)
+from rosterlake.llm.queries import QUERIES
+
+PATTERNS = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+
+
+def plain(text):
+    found = []
+    for kind, pattern in PATTERNS.items():
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m.group())
+            if kind == "ip" and any(int(p) > 255 for p in m.group().split(".")):
+                continue
+            if kind == "card":
+                twice = [int(d) * (1 + i % 2) for i, d in enumerate(reversed(digits))]
+                if not 13 <= len(digits) <= 19 or sum(d - 9 * (d > 9) for d in twice) % 10:
+                    continue
+            if kind == "phone" and not 9 <= len(digits) <= 15:
+                continue
+            found.append((kind, m.start(), m.end()))
+    return found
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_patterns_equal_plain_ones(seed):
+    rng = random.Random(seed)
+    parts = ["a", "Z9", "@", ".", "-", " ", "+", "1", "255", "256", "4111 1111 1111 1111", "(", ")", "é", "x@y.zz", "1.2.3.4", "+49 30 123456", "\n", "00"]
+    for _ in range(3000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randrange(14)))
+        assert pattern_spans(text) == plain(text), text
+    assert luhn("4111111111111111") and not luhn("4111111111111112")
+
+
+@pytest.mark.parametrize("text", ["a" * 300_000, "1" * 300_000, "a@" * 100_000, "+1" + " " * 200_000, "1." * 100_000, "+" * 100_000 + "1"])
+def test_long_odd_texts_take_no_long_time(text):
+    assert [s for s in pattern_spans(text) if s[0] != "ip"] == []
+
+
+@pytest.mark.parametrize("n", [0, 1, 63, 64, 127, 128, 129, 192, 193, 500])
+def test_windows_are_those_with_telling_characters(n):
+    rng = random.Random(n)
+    text = "".join(rng.choice("ab c" * 20 + "7@") for _ in range(n))
+    starts = range(0, max(1, -(-max(0, n - WINDOW) // STRIDE) * STRIDE + 1), STRIDE)
+    assert window_starts(text) == [s for s in starts if re.search("[0-9@]", text[s : s + WINDOW])]
+
+
+def tiny():
+    model = Tagger(seed=3, hidden=3)
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    rng = np.random.default_rng(1)
+    return model, rng.integers(0, N_CLASSES, (4, 3)), rng.integers(0, N_TAGS, (4, 3))
+
+
+def all_scores(model, x, b):
+    """The score of each of all tag sequences of column b."""
+    both = np.concatenate([model._pass(x, way, False)[0] for way in ("f", "b")], 2).astype(np.float64)
+    emit, moves = (both @ model.weights["out"] + model.weights["bias"])[:, b], model.weights["moves"]
+    return {
+        path: sum(emit[t, k] for t, k in enumerate(path)) + sum(moves[i, j] for i, j in zip(path, path[1:], strict=False))
+        for path in product(range(N_TAGS), repeat=len(x))
+    }
+
+
+def test_decoding_equals_trying_all_sequences():
+    model, x, _ = tiny()
+    scores = model.emissions(x)
+    path, (likely, _) = model.best(scores), model.marginals(scores)
+    for b in range(x.shape[1]):
+        each = all_scores(model, x, b)
+        assert tuple(path[:, b]) == max(each, key=each.get)
+        weights = np.exp(np.array([*each.values()]) - max(each.values()))
+        for t in range(len(x)):
+            for k in range(N_TAGS):
+                share = weights[[p[t] == k for p in each]].sum() / weights.sum()
+                assert abs(share - likely[t, b, k]) < 1e-4
+
+
+def test_gradients_equal_finite_differences():
+    model, x, y = tiny()
+
+    def loss():
+        total = 0
+        for b in range(x.shape[1]):
+            each = all_scores(model, x, b)
+            values = np.array([*each.values()])
+            total += np.log(np.exp(values - values.max()).sum()) + values.max() - each[tuple(y[:, b])]
+        return total / x.shape[1]
+
+    for name, slope in model.gradients(x, y).items():
+        at = np.unravel_index(np.argmax(np.abs(slope)), slope.shape)
+        value, step = model.weights[name][at], 1e-2
+        model.weights[name][at] = value + step
+        up = loss()
+        model.weights[name][at] = value - step
+        assert abs((up - loss()) / (2 * step) - slope[at]) < 2e-3, name
+        model.weights[name][at] = value
+
+
+def test_spans_are_reconciled_over_the_whole_text():
+    rng = random.Random(2)
+    for _ in range(200):
+        spans = [(a, a + rng.randrange(1, 6), rng.randrange(1, 9) / 2, "ip") for a in (rng.randrange(14) for _ in range(rng.randrange(8)))]
+        apart = lambda own: all(p[1] <= q[0] or q[1] <= p[0] for p, q in combinations(own, 2))
+        every = [c for n in range(len(spans) + 1) for c in combinations(sorted(set(spans)), n) if apart(c)]
+        found = chosen(spans)
+        assert apart(found) and abs(sum(s[2] for s in found) - max(sum(s[2] for s in c) for c in every)) < 1e-9
+
+
+def windows_of(texts):
+    for text in texts:
+        spans, own = pattern_spans(text), codes(text)
+        for start in window_starts(text):
+            yield padded(own[start : start + WINDOW]), tags(spans, start)
+
+
+@pytest.fixture(scope="module")
+def network(spark):
+    """Trained on check-free rows: the documents of sf0.1 whose id is odd."""
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    return personal.trained(docs.where("doc_id % 2 = 1").select("text"))
+
+
+def test_held_out_labels(spark, network):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet").where("doc_id % 2 = 0 and text rlike '[0-9@]'")
+    x, y = (np.array(v) for v in zip(*windows_of(r.text for r in docs.collect()), strict=True))
+    path = network.best(network.emissions(np.ascontiguousarray(x.T))).T
+    right = ((path == y) & (y > 0)).sum()
+    assert (y > 0).sum() > 5000 and right / (path > 0).sum() > 0.9 and right / (y > 0).sum() > 0.9
+
+
+def test_the_network_adds_what_patterns_miss(network):
+    around, missed = "Der und die lich sind hier. ", ["maria@exämple.com", "192.168.0,12", "josé@example.com"]
+    texts = [around + m + " " + 3 * around for m in missed]
+    assert not any(map(pattern_spans, texts))
+    found = added_spans(network, [(t, []) for t in texts], least=0.5)
+    named = [{(kind, t[a:b]) for kind, a, b in own} for t, own in zip(texts, found, strict=True)]
+    assert sum((kind, m) in own for kind, m, own in zip(("email", "ip", "email"), missed, named, strict=True)) >= 2
+    for base in ([("email", 30, 32)], [("phone", 0, len(texts[0]))]):
+        found = added_spans(network, [(t, base) for t in texts], least=0.5)
+        assert all(b <= base[0][1] or a >= base[0][2] for own in found for _, a, b in own)
+
+
+def test_edge_rows(spark, network):
+    rows = [(1, None, "x"), (1, "", "x"), (2, "Mail a.b@c.org now, é +49 30 1234567.", "x"), (2, "Mail a.b@c.org now, é +49 30 1234567.", "x"),
+            (3, "word " * 200_000 + "10.0.0.255", None), (4, "no data", "x")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, personal string").repartition(3)
+    out, name = personal_data(frame, model=network)
+    assert name == "_personal" and out.columns == ["doc_id", "text", "personal", "_personal"]
+    found = sorted((r.doc_id, [tuple(s) for s in r[name].base], r[name].redacted[-20:]) for r in out.collect())
+    one = (2, [("email", 5, 14), ("phone", 22, 36)], "<email> now, é <phone>."[-20:])
+    assert found == [(1, [], ""), (1, [], ""), one, one, (3, [("ip", 1_000_000, 1_000_010)], ("word " * 9 + "<ip>")[-20:]), (4, [], "no data")]
+    assert personal_data(frame.limit(0))[0].collect() == []
+    assert redacted("abcdef", [("ip", 1, 3), ("card", 2, 5)]) == "a<ip>f"
+
+
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01"])
+def test_query(spark, sf):
+    sf = f"/root/testdata/{sf}"
+    docs = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
+    frame = QUERIES["op12_personal_data"](spark, sf)
+    assert frame.columns == ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"]
+    found = {r.doc_id: r for r in frame.collect()}
+    assert len(found) == len(docs)
+    for doc, text in docs:
+        base, row = [f"{k}:{a}:{b}" for k, a, b in plain(text)], found[doc]
+        assert tuple(row)[1:5] == tuple(sum(s.startswith(f"{k}:") for s in base) for k in KINDS)
+        assert row.base_sha256 == hashlib.sha256(",".join(base).encode()).hexdigest()
+        spans = row.spans.split(",") if row.spans else []
+        assert set(base) <= set(spans)
+        assert spans == sorted(spans, key=lambda s: (KINDS.index(s.split(":")[0]), int(s.split(":")[1])))
