@@ -21,7 +21,7 @@ from rosterlake.plans import (
 )
 from rosterlake.plans.silver import write_silver
 from rosterlake.session import scratch_folder
-from rosterlake.sinks.catalog import gold_query
+from rosterlake.sinks.catalog import gold_query, reconciliation
 from rosterlake.sinks.files import write_table
 from rosterlake.sources.archives import archive_members, file_digests, is_main_member
 from workload.archives import write_archives, write_documents
@@ -221,26 +221,24 @@ def file_hashes(spark, sf_dir):
 
 
 def _published(spark, sf_dir) -> str:
-    """Bronze table -> Silver tables -> catalog; returns the database."""
+    """Bronze table -> Silver tables -> catalog; returns the database and the Silver folder."""
     folder = scratch_folder(spark, "gold")
     kept = bronze.bronze_records(directory_records(spark, sf_dir))
     write_table(kept, f"{folder}/bronze")
     build_silver(spark, f"{folder}/bronze", f"{folder}/silver")
     database = "gold_" + folder[-12:]
     publish_gold(spark, f"{folder}/silver", database, f"{folder}/warehouse", buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
-    return database
+    return database, f"{folder}/silver"
 
 
 def table_reconciliation(spark, sf_dir):
-    database = once(_published, spark, sf_dir)
-    return spark.sql(
-        f"""SELECT 'providers' AS table_name, count(*) AS loaded_rows FROM {database}.providers
-        UNION ALL SELECT 'provider_taxonomies', count(*) FROM {database}.provider_taxonomies"""
-    )
+    database, silver = once(_published, spark, sf_dir)
+    sources = {"providers": L.PROVIDERS_NAME, "provider_taxonomies": L.TAXONOMIES_NAME}
+    return reconciliation(spark, {t: f"{silver}/{name}" for t, name in sources.items()}, database)
 
 
 def _catalog(name: str) -> Query:
-    return lambda spark, sf_dir: gold_query(spark, name, once(_published, spark, sf_dir))
+    return lambda spark, sf_dir: gold_query(spark, name, once(_published, spark, sf_dir)[0])
 
 
 def run_manifest(spark, sf_dir):
