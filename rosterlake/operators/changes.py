@@ -14,7 +14,6 @@ from rosterlake.functions import (
     differs,
     differs_or_missing,
     has_text,
-    is_not,
     strip_tidy,
 )
 from rosterlake.layout import (
@@ -91,36 +90,76 @@ def keyed_side(frame: DataFrame, prefix: str, label: str = "The snapshot") -> Da
     )
 
 
+def fixed_width(value: Column) -> tuple[Column, Column]:
+    """Two longs that are equal for equal texts only: at most 18 digits as number and length, other texts as two hashes.
+
+    Hash aggregation keeps numbers in place, but sorts where it has to keep texts.
+    """
+    digits = value.rlike(r"\A[0-9]{1,18}\z")
+    return (
+        F.when(digits, value.try_cast("long")).otherwise(F.xxhash64(value)),
+        F.when(digits, F.length(value).cast("long")).when(value.isNotNull(), F.xxhash64(F.lit(1), value)),
+    )
+
+
+def compact_side(frame: DataFrame, prefix: str, label: str = "The snapshot") -> DataFrame:
+    """What `keyed_side` returns, as numbers: all that the measures ask of a value.
+
+    Missing values have a NULL `_b`; what else a measure needs to know is a flag.
+    """
+    rows = compared_providers(frame, label)
+    status, place = fixed_width(F.col("status")), fixed_width(F.col("practice_zip"))
+    values = {
+        "status_a": status[0],
+        "status_b": status[1],
+        "practice_zip_a": place[0],
+        "practice_zip_b": place[1],
+        "is_deactivated": F.col("status") == DEACTIVATED,
+        "has_deactivation_date": F.col("deactivation_date").isNotNull(),
+    }
+    narrow = rows.select("npi", *[value.alias(name) for name, value in values.items()])
+    return narrow.groupBy("npi").agg(
+        F.count(F.lit(1)).alias(f"{prefix}_rows"), *[F.max(n).alias(f"{prefix}_{n}") for n in values]
+    )
+
+
 def shared_providers(old_providers: DataFrame, new_providers: DataFrame) -> DataFrame:
     """Providers in both snapshots with old and new attributes side by side."""
     old, new = keyed_side(old_providers, "old"), keyed_side(new_providers, "new")
     return old.join(new, "npi").drop("old_rows", "new_rows")
 
 
+def _changed(name: str, missing_equal: bool) -> Column:
+    compare, sides = differs if missing_equal else differs_or_missing, []
+    for prefix in ("old", "new"):
+        a, b = F.col(f"{prefix}_{name}_a").alias("a"), F.col(f"{prefix}_{name}_b").alias("b")
+        sides.append(F.when(b.isNotNull(), F.struct(a, b)))
+    return compare(*sides)
+
+
 def status_changed(missing_equal: bool = False) -> Column:
-    compare = differs if missing_equal else differs_or_missing
-    return compare(F.col("old_status"), F.col("new_status"))
+    return _changed("status", missing_equal)
 
 
 def newly_deactivated() -> Column:
     """Deactivated now with a date, and not deactivated before (a missing status is not)."""
     return (
-        is_not(F.col("old_status"), DEACTIVATED)
-        & (F.col("new_status") == DEACTIVATED)
-        & F.col("new_deactivation_date").isNotNull()
+        ~F.col("old_is_deactivated").eqNullSafe(F.lit(True))
+        & F.col("new_is_deactivated")
+        & F.col("new_has_deactivation_date")
     )
 
 
 def zip_changed(missing_equal: bool = False) -> Column:
-    compare = differs if missing_equal else differs_or_missing
-    return compare(F.col("old_practice_zip"), F.col("new_practice_zip"))
+    return _changed("practice_zip", missing_equal)
 
 
 def shared_attribute_changes(
     old_providers: DataFrame, new_providers: DataFrame, missing_equal: bool = False
 ) -> DataFrame:
     """The three attribute counts over shared providers."""
-    return shared_providers(old_providers, new_providers).agg(
+    shared = compact_side(old_providers, "old").join(compact_side(new_providers, "new"), "npi")
+    return shared.agg(
         F.count_if(status_changed(missing_equal)).alias("deactivation_status_change_count"),
         F.count_if(newly_deactivated()).alias("confirmed_newly_deactivated_count"),
         F.count_if(zip_changed(missing_equal)).alias("primary_zip_change_count"),
@@ -162,8 +201,8 @@ def compare_snapshots(
     the grouping left: one shuffle per input. Changed code sets join the older side, since only
     shared providers count; behind the outer join they would need another shuffle.
     """
-    old = keyed_side(old_providers, "old", "The older snapshot")
-    new = keyed_side(new_providers, "new", "The newer snapshot")
+    old = compact_side(old_providers, "old", "The older snapshot")
+    new = compact_side(new_providers, "new", "The newer snapshot")
     codes = changed_code_sets(old_taxonomies, new_taxonomies)
     marked = old.join(codes.withColumn("codes_changed", F.lit(True)), "npi", "left")
     per_key = marked.join(new, "npi", "full_outer")

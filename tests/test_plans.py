@@ -125,3 +125,11 @@ def test_comparison_uses_no_product(spark):
     codes = text_frame(spark, L.COMPARED_TAXONOMY_COLUMNS, [("1", "A")])
     text = plan(C.change_metrics(providers, providers, codes, codes))
     assert "CartesianProduct" not in text and "NestedLoop" not in text
+
+
+def test_measures_are_hash_aggregated(silver):
+    for missing_equal in (False, True):
+        metrics = C.compare_snapshots(silver[0], silver[0], silver[1], silver[1], missing_equal)
+        changes = C.shared_attribute_changes(silver[0], silver[0], missing_equal)
+        for frame in (metrics, changes):
+            assert "SortAggregate" not in plan(frame) and "HashAggregate" in plan(frame)
