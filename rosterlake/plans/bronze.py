@@ -17,6 +17,10 @@ from rosterlake.sources.delimited import read_parts
 from rosterlake.sources.tables import row_count
 
 
+#: Digests of the archives, taken in the pass that unpacked them; one JSON object an archive.
+DIGESTS_NAME = "{stem}_archive_digests.json"
+
+
 def archive_stem(archive: str) -> str:
     """The name that outputs carry: the archive's without extension, with wildcards as `all`."""
     name = archive.rstrip("/").rsplit("/", 1)[-1]
@@ -47,11 +51,13 @@ def build_bronze(
             counted = source.observe(seen, F.count(F.lit(1)).alias("input_row_count"))
             write_table(bronze_records(counted, profile), f"{folder}/{output}")
         except JOB_ERRORS as error:
-            found = re.search(rf"{MALFORMED}:? ?([\w \-]*)", str(error))
+            found = re.search(rf"{MALFORMED}: ([\w \-]*)", str(error))
             if found:
-                problem = found.group(1) or "a record has more fields than the header"
+                problem = found.group(1).removesuffix(" SQLSTATE")  # which Spark adds
                 raise MalformedSourceError(f"{archive}: {problem}") from error
             raise
+        digests = landed.where("sha256 IS NOT NULL").select(F.col("archive").alias("path"), "sha256")
+        write_report(digests, f"{folder}/{DIGESTS_NAME.format(stem=stem)}")
         cut = landed.agg(F.sum("records")).first()[0]
         if cut != seen.get["input_row_count"]:
             raise MalformedSourceError(

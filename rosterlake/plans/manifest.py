@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.layout import (
@@ -15,12 +15,20 @@ from rosterlake.layout import (
 )
 from rosterlake.operators.contracts import check_snapshot_label
 from rosterlake.operators.lineage import manifest
-from rosterlake.plans.bronze import archive_stem
+from rosterlake.plans.bronze import DIGESTS_NAME, archive_stem
 from rosterlake.sinks.files import run_time_utc, write_report
 from rosterlake.sources.archives import file_digests
 from rosterlake.sources.reports import read_report
 
 
+def _digests(spark: SparkSession, archive: str, bronze_folder: str) -> DataFrame:
+    """Digests that Bronze has taken of the archives while it read them; without such, of the files."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{bronze_folder}/{DIGESTS_NAME.format(stem=archive_stem(archive))}")
+    if path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+        return spark.read.schema("path string, sha256 string").json(path.toString())
+    return file_digests(spark, archive)
+
+
 def write_manifest(
     spark: SparkSession,
     label: str,
@@ -58,7 +66,7 @@ def write_manifest(
         }
     )
     quality = read_report(spark, quality_report, "quality report", QUALITY_COUNTS)
-    digests = file_digests(spark, archive)
+    digests = _digests(spark, archive, bronze_folder)
     zip_name = F.substring_index("path", "/", -1)
     target = f"{manifest_folder}/{label}.json"
     write_report(

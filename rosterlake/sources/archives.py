@@ -1,8 +1,8 @@
 """ZIP archives: member listing, landing of the main file, digests.
 
 Spark has no ZIP codec, so one task per archive streams bytes; a DEFLATE stream cannot be split.
-The task does nothing else: it cuts the stream into part files at record ends, and Spark parses
-those in parallel. Spark packs archives into tasks by size. File names are fixed by content
+The task digests the archive on the way and cuts the stream into part files at record ends; Spark
+parses those in parallel. Small archives share tasks. File names are fixed by content
 position and each file appears in one step, so a retried or duplicated task rewrites the same
 files.
 """
@@ -11,11 +11,13 @@ from __future__ import annotations
 
 import codecs
 import hashlib
+import io
 import re
 import sys
 import uuid
 import zipfile
 from collections.abc import Iterator
+from functools import partial, reduce
 from urllib.parse import quote
 
 import numpy as np
@@ -33,8 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 1 << 20
 SMALLEST_PART = 4 << 20
-ROW_BYTES = (1 << 31) - 1 - (1 << 20)  # a row's limit, less what else the row holds
-LANDED = "archive string, part string, bytes long, records long, header string"
+LANDED = "archive string, part string, bytes long, records long, header string, sha256 string"
 
 
 def open_filesystem(uri: str):
@@ -53,20 +54,97 @@ def _open(uri: str):
     return filesystem.open_input_file(path)
 
 
+def _alternatives(pattern: str) -> list[str]:
+    """The patterns without braces that a glob with braces stands for."""
+    found = re.search(r"(?<!\\)\{((?:[^{}\\]|\\.)*)\}", pattern)
+    if not found:
+        return [pattern]
+    parts = re.split(r"(?<!\\),", found.group(1))
+    return [p for part in parts for p in _alternatives(pattern[: found.start()] + part + pattern[found.end() :])]
+
+
+_SPECIAL = re.compile(r"\\(.)|\[([!^]?)((?:\\.|[^\]\\])+)\]|(\*)|(\?)|(.)", re.DOTALL)
+
+
+def _name_pattern(component: str) -> str | None:
+    """A regular expression for one name of a glob; None if it stands for itself."""
+    parts, special = [], False
+    for escaped, negated, names, any_text, any_one, plain in _SPECIAL.findall(component):
+        special |= bool(names or any_text or any_one)
+        if names:
+            parts.append(f"[{'^' if negated else ''}{names}]")
+        else:
+            parts.append(".*" if any_text else "." if any_one else re.escape(escaped or plain))
+    return "".join(parts) if special else None
+
+
+def _listed(uri: str) -> list[tuple[str, bool, int]]:
+    """(name, is a folder, length) of what a folder holds, without checksum files of files beside them."""
+    from pyarrow import fs
+
+    filesystem, path = open_filesystem(uri)
+    try:
+        found = filesystem.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    except NotADirectoryError:
+        return []
+    names = {f.base_name for f in found}
+    return [
+        (f.base_name, f.type == fs.FileType.Directory, f.size or 0)
+        for f in found
+        if not (f.base_name.startswith(".") and f.base_name.endswith(".crc") and f.base_name[1:-4] in names)
+    ]
+
+
 def archive_files(spark: SparkSession, archives: str) -> DataFrame:
-    """Path and length of each file that a path, folder or glob names; contents are not read.
+    """Path and length of each file that a path, folder or glob names; contents are not read.
 
-    The file system's own glob lists them: Spark's readers leave out empty files, and names that
-    begin with `_` or a period.
+    Tasks list the folders, one level of the glob after another, so that neither the driver nor one
+    task sees all names. Files of every name and length count, but for checksum files: `.x.crc`
+    beside `x`. Of a folder that is named, the files in it count.
     """
-    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(archives)
-    files = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = []
-    for named in files.globStatus(pattern) or []:
-        for status in files.listStatus(named.getPath()) if named.isDirectory() else [named]:
-            if status.isFile() and not status.getPath().getName().endswith(".crc"):
-                found.append((status.getPath().toString(), status.getLen()))
-    return spark.createDataFrame(sorted(found), "archive string, length long")
+    from pyarrow import fs
+
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    conf, tasks = spark.sparkContext._jsc.hadoopConfiguration(), listing_tasks(spark)
+    frames = []
+    for pattern in _alternatives(archives):
+        path = where(pattern)
+        names = path.getFileSystem(conf).makeQualified(path).toString().split("/")
+        kinds = [_name_pattern(name) for name in names]
+        first = next((i for i, kind in enumerate(kinds) if kind is not None), len(names))
+        unescaped = [re.sub(r"\\(.)", r"\1", name) for name in names]
+        frame = spark.createDataFrame([("/".join(unescaped[:first]) or "/",)], "archive string")
+
+        def level(batches: Iterator[pd.DataFrame], kind: str | None, name: str) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                for uri in batch["archive"]:
+                    held = [name] if kind is None else [n for n, *_ in _listed(uri) if re.fullmatch(kind, n, re.DOTALL)]
+                    yield pd.DataFrame({"archive": [f"{uri.rstrip('/')}/{n}" for n in held]}, dtype=str)
+
+        def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                found = []
+                for uri in batch["archive"]:
+                    filesystem, path = open_filesystem(uri)
+                    info = filesystem.get_file_info(path)
+                    if info.type == fs.FileType.File:
+                        found.append((uri, info.size))
+                    elif info.type == fs.FileType.Directory:
+                        found += [(f"{uri.rstrip('/')}/{n}", size) for n, is_folder, size in _listed(uri) if not is_folder]
+                yield pd.DataFrame(found, columns=["archive", "length"])
+
+        for at in range(first, len(names)):
+            step = partial(level, kind=kinds[at], name=unescaped[at])
+            frame = frame.mapInPandas(step, "archive string")
+            if kinds[at] is not None:
+                frame = frame.repartition(tasks)
+        frames.append(frame.mapInPandas(files, "archive string, length long"))
+    return reduce(DataFrame.unionByName, frames).distinct() if len(frames) > 1 else frames[0]
+
+
+def listing_tasks(spark: SparkSession) -> int:
+    """Tasks over rows that are short and stand for files: by cores, since their bytes tell nothing."""
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -82,9 +160,8 @@ def _list_members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 def archive_members(spark: SparkSession, archives: str) -> DataFrame:
     """(archive, member, bytes, problem), from the archives' directories alone."""
-    files = archive_files(spark, archives)
-    # a task per archive, as later steps copy what it lists
-    return files.repartition(max(1, files.count())).mapInPandas(
+    files = archive_files(spark, archives).repartition(listing_tasks(spark))
+    return files.mapInPandas(
         _list_members, "archive string, member string, bytes long, problem string"
     )
 
@@ -199,21 +276,29 @@ _QUOTED = re.compile(rb'(?<=[,\n])"[^"]*(?:""[^"]*)*("|\Z)')
 
 
 def _blocks(stream) -> Iterator[bytes]:
-    """The stream in blocks that do not end with a quote, so that an escape is seen whole."""
+    """The stream in blocks that do not end with a quote or a carriage return, so that an escape and
+    a line end are seen whole."""
     while block := stream.read(BLOCK):
-        while block.endswith(b'"') and (more := stream.read(1)):
+        while block.endswith((b'"', b"\r")) and (more := stream.read(1)):
             block += more
         yield block
 
 
-def _record_blocks(stream, part_bytes: int) -> Iterator[tuple[bytes, int, bool]]:
+def _record_blocks(stream, part_bytes: int, line_feeds: bool = False) -> Iterator[tuple[bytes, int, bool]]:
     """(bytes, records that end in them, ends a part); a part ends at the end of a record.
 
-    Blank lines are no records. A last record without a line end counts as well.
+    Records may end with a line feed or with both characters, also within one file; with
+    `line_feeds`, they leave with a line feed alone. Line ends within fields stay as they are. Blank
+    lines are no records. A last record without a line end counts as well.
     """
     scanner, written, pending = RecordScanner(), 0, False
     for block in _blocks(stream):
         ends = scanner.ends(block)
+        data = np.frombuffer(block, np.uint8)
+        returns = ends[(ends > 0) & (data[ends - 1] == 13)] - 1
+        if line_feeds and len(returns):
+            block = np.delete(data, returns).tobytes()
+            ends = ends - np.searchsorted(returns, ends)
         sizes, before = np.diff(ends, prepend=-1) - 1, np.frombuffer(block, np.uint8)[ends - 1]
         real = (sizes > 1) | ((sizes == 1) & (before != 13))
         real[:1] |= pending  # that record began in an earlier block
@@ -236,10 +321,56 @@ def _record_blocks(stream, part_bytes: int) -> Iterator[tuple[bytes, int, bool]]
         yield b"", 1, False
 
 
+class DigestingReader(io.RawIOBase):
+    """A file whose bytes are digested in order while it is read; what is skipped is read for it.
+
+    Reads count once `follow` is set: a ZIP file is opened by its directory, which stands last.
+    """
+
+    def __init__(self, stream) -> None:
+        self.stream, self.digest, self.done, self.follow = stream, hashlib.sha256(), 0, False
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.stream.tell()
+
+    def seek(self, offset: int, whence: int = io.SEEK_SET) -> int:
+        return self.stream.seek(offset, whence)
+
+    def read(self, size: int = -1) -> bytes:
+        at = self.stream.tell()
+        if self.follow and at > self.done:
+            self._catch_up(at)
+        data = self.stream.read(size) if size is not None and size >= 0 else self.stream.read()
+        if self.follow and at + len(data) > self.done:
+            self.digest.update(memoryview(data)[self.done - at :])
+            self.done = at + len(data)
+        return data
+
+    def _catch_up(self, stop: int | None) -> None:
+        self.stream.seek(self.done)
+        while block := self.stream.read(BLOCK if stop is None else min(BLOCK, stop - self.done)):
+            self.digest.update(block)
+            self.done += len(block)
+
+    def sha256(self) -> str:
+        """The digest of the whole file."""
+        self._catch_up(None)
+        return self.digest.hexdigest()
+
+
 def _land_member(
     uri: str, member: str, folder: str, part_bytes: int, first: int = 0
 ) -> Iterator[tuple]:
-    """Copy one member to part files, numbered from `first` on, that each start with the header."""
+    """Copy one member to part files, numbered from `first` on, that each start with the header.
+
+    The archive is digested in the same pass; the last part's row has the digest.
+    """
     name = uri.rstrip("/").rsplit("/", 1)[-1]
     target = f"{name}~{hashlib.sha256(uri.encode()).hexdigest()[:8]}"
     filesystem, base = open_filesystem(f"{folder}/{target}")
@@ -256,10 +387,14 @@ def _land_member(
             filesystem.delete_file(draft)
         return uri, f"{target}/part-{first + number:010d}.csv", size, records, _decoded(header)
 
-    with _open(uri) as stream, zipfile.ZipFile(stream) as opened, opened.open(member) as text:
+    with _open(uri) as raw, zipfile.ZipFile(stream := DigestingReader(raw)) as opened:
+        stream.follow = True
+        text = opened.open(member)
         header = text.readline().removeprefix(b"\xef\xbb\xbf")
-        number, size, records, sink, draft = 0, 0, 0, None, None
-        for block, ended, ends in _record_blocks(text, part_bytes):
+        if header.endswith(b"\r\n"):
+            header = header[:-2] + b"\n"
+        number, size, records, sink, draft, waiting = 0, 0, 0, None, None, None
+        for block, ended, ends in _record_blocks(text, part_bytes, line_feeds=True):
             if sink is None:
                 draft = f"{base}/_draft-{uuid.uuid4().hex}"
                 sink = filesystem.open_output_stream(draft)
@@ -267,15 +402,20 @@ def _land_member(
             sink.write(block)
             size, records = size + len(block), records + ended
             if ends:
-                yield publish(number, sink, draft, size, records)
+                if waiting:
+                    yield *waiting, None
+                waiting = publish(number, sink, draft, size, records)
                 number, size, records, sink = number + 1, 0, 0, None
-        if sink is not None:
-            yield publish(number, sink, draft, size, records)
-        elif number == 0:  # a header without records
+        if sink is None and number == 0:  # a header without records
             draft = f"{base}/_draft-{uuid.uuid4().hex}"
             sink = filesystem.open_output_stream(draft)
             sink.write(header)
-            yield publish(0, sink, draft, 0, 0)
+        if sink is not None:
+            if waiting:
+                yield *waiting, None
+            waiting = publish(number, sink, draft, size, records)
+        text.close()
+        yield *waiting, stream.sha256()
 
 
 def _decoded(header: bytes) -> str:
@@ -314,7 +454,10 @@ def land_archives(
     members = main_members(spark, archives).withColumn("target", target.cast("long"))
     numbered = members.withColumn("most", F.floor(F.col("bytes") / F.col("target")) + 1)
     numbered = numbered.withColumn("first", F.coalesce(F.sum("most").over(before), F.lit(0)))
-    tasks = numbered.select("archive", "member", "target", "first").repartition(numbered.count())
+    every = numbered.agg(F.count("*").alias("archives"), F.sum("bytes").alias("bytes")).first()
+    # small archives share tasks: two rounds of them at least, and a split's bytes a task
+    wanted = min(every.archives, max(2 * cores, every.bytes // split))
+    tasks = numbered.select("archive", "member", "target", "first").repartition(wanted)
     tasks.mapInPandas(copy, LANDED).write.parquet(listing)
     return spark.read.parquet(listing)
 
@@ -332,23 +475,6 @@ def _digest_files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def file_digests(spark: SparkSession, paths: str) -> DataFrame:
-    """SHA-256 of every file that `paths` names.
-
-    Spark reads and digests what fits in a row; files that it leaves out of its listing (empty, or
-    with a hidden name) and those of 2 GiB and more are streamed.
-    """
-    every = archive_files(spark, paths)
-    seen = [r.archive for r in every.where(F.col("length").between(1, ROW_BYTES)).collect()]
-    seen = [path for path in seen if not path.rsplit("/", 1)[-1].startswith(("_", "."))]
-    schema = "path string, sha256 string"
-    others = every.join(F.broadcast(spark.createDataFrame([(p,) for p in seen], "archive string")), "archive", "left_anti")
-    streamed = others.select("archive").mapInPandas(_digest_files, schema)
-    if not seen:
-        return streamed
-    read = spark.read.format("binaryFile").load([_escaped(path) for path in seen])
-    return read.select("path", F.sha2("content", 256).alias("sha256")).unionByName(streamed)
-
-
-def _escaped(path: str) -> str:
-    """A path whose special characters a glob would read, taken literally."""
-    return re.sub(r"([][{}*?\\])", r"\\\1", path)
+    """SHA-256 of every file that `paths` names, streamed block by block."""
+    files = archive_files(spark, paths).select("archive").repartition(listing_tasks(spark))
+    return files.mapInPandas(_digest_files, "path string, sha256 string")

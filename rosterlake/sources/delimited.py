@@ -22,8 +22,9 @@ def read_parts(spark: SparkSession, folder: str, landed: DataFrame) -> DataFrame
 
     Parts end at record ends, so records may hold line breaks and parts still parse in
     parallel. A record shorter than the header reads its missing fields as NULL; a longer one
-    fails the job. That needs the parser to see all fields, hence no column pruning in it. The
-    line end is named, since detecting it would rewrite line ends within fields.
+    fails the job. That needs the parser to see all fields, hence no column pruning in it. Records
+    of parts end with a line feed; that is named, since detecting it would rewrite line ends within
+    fields.
     """
     seen = landed.agg(
         F.min("header").alias("one"), F.max("header").alias("other"), F.min("part").alias("part")
@@ -37,7 +38,7 @@ def read_parts(spark: SparkSession, folder: str, landed: DataFrame) -> DataFrame
         .option("header", True)
         .option("escape", '"')
         .option("multiLine", True)
-        .option("lineSep", "\r\n" if seen.one.endswith("\r\n") else "\n")
+        .option("lineSep", "\n")
         .option("columnPruning", False)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", _RAW)
@@ -54,6 +55,6 @@ def read_parts(spark: SparkSession, folder: str, landed: DataFrame) -> DataFrame
         rows.withColumn(
             "_source_row", part.bitwiseOR(F.monotonically_increasing_id().bitwiseAND(low))
         )
-        .where(F.when(too_long, F.raise_error(F.lit(MALFORMED)).cast("boolean")).otherwise(True))
+        .where(F.when(too_long, F.raise_error(F.lit(f"{MALFORMED}: a record has more fields than the header")).cast("boolean")).otherwise(True))
         .drop(_RAW)
     )

@@ -3,6 +3,7 @@
 import hashlib
 import io
 import json
+import os
 import random
 
 import pytest
@@ -145,7 +146,7 @@ def test_short_record_is_padded(spark, tmp_path):
 @pytest.mark.parametrize("extra", [",", ',"x, y"', ",a,b"])
 def test_long_record_is_refused(spark, tmp_path, extra):
     text = csv_text([source_record(**{L.STATE: "NY", L.LAST_NAME: "a,b"})]).rstrip("\n") + extra
-    with pytest.raises(MalformedSourceError):
+    with pytest.raises(MalformedSourceError, match="weekly.zip: a record has more fields than the header$"):
         bronze_of(spark, tmp_path, text + "\n")
 
 
@@ -320,3 +321,86 @@ def test_digests(spark, tmp_path):
         }
     only = A.file_digests(spark, f"{tmp_path}/empty.zip").collect()
     assert [r.sha256 for r in only] == [hashlib.sha256(b"").hexdigest()]
+
+
+@pytest.mark.parametrize("part_bytes", [None, 300])
+def test_line_ends_may_differ_from_record_to_record(spark, tmp_path, part_bytes):
+    records = [source_record(**{L.NPI: str(i), L.LAST_NAME: "a\r\nb" if i % 3 else "c\nd"}) for i in range(12)]
+    head, *lines = [csv_text([], quote_all=True), *[csv_text([r], quote_all=True).split("\n", 1)[1] for r in records]]
+    for first in ("\n", "\r\n"):
+        text = head.rstrip("\n") + first + "".join(x.rstrip("\n") + ("\r\n", "\n")[i % 2] for i, x in enumerate(lines))
+        metadata, bronze = bronze_of(spark, tmp_path, text + "\r\n\n", part_bytes=part_bytes)
+        assert metadata["input_row_count"] == 12
+        assert sorted((r.asDict() for r in bronze.collect()), key=str) == sorted(records, key=str)
+
+
+@pytest.mark.parametrize("block", [1, 3, 10**6])
+def test_record_ends_leave_as_line_feeds(monkeypatch, block):
+    monkeypatch.setattr(A, "BLOCK", block)
+    random.seed(block)
+    for _ in range(150):
+        text = "".join(random.choices(['"a\r\nb"', ",", "\n", "\r\n", "x", "\n\n"], k=random.randrange(40))).encode()
+        ends, records, is_open = slow_records(text)
+        wanted, at = b"", 0
+        for end in [*ends, len(text)]:
+            line = text[at:end]
+            wanted, at = wanted + (line[:-2] + b"\n" if line.endswith(b"\r\n") else line), end
+        for size in (1, 10, 64):
+            try:
+                pieces = [*A._record_blocks(io.BytesIO(text), size, line_feeds=True)]
+            except ValueError:
+                assert is_open
+                continue
+            assert b"".join(p for p, *_ in pieces) == wanted and sum(n for _, n, _ in pieces) == records
+
+
+@pytest.mark.parametrize("part_bytes", [500, 10**9])
+def test_archives_are_digested_while_they_are_read(spark, tmp_path, part_bytes, monkeypatch):
+    paths = [make_archive(tmp_path / f"{name}.zip", csv_text([source_record()] * n)) for name, n in (("a", 30), ("b", 0))]
+    landed = A.land_archives(spark, f"{tmp_path}/*.zip", f"{tmp_path}/scratch", part_bytes)
+    found = {r.archive.rsplit("/", 1)[-1]: r.sha256 for r in landed.where("sha256 IS NOT NULL").collect()}
+    assert found == {p.rsplit("/", 1)[-1]: hashlib.sha256(open(p, "rb").read()).hexdigest() for p in paths}
+    assert landed.where("sha256 IS NOT NULL").count() == 2 and landed.count() == (2 if part_bytes == 10**9 else landed.count())
+    # each byte is read once, but for the directory at the end
+    read = []
+    monkeypatch.setattr(A, "_open", lambda uri: Counting(open(uri.removeprefix("file://"), "rb"), read))
+    list(A._land_member(f"file://{paths[0]}", MAIN_MEMBER, f"file://{tmp_path}/again", part_bytes))
+    assert sum(read) <= os.path.getsize(paths[0]) + 2000
+
+
+class Counting:
+    def __init__(self, stream, read):
+        self.stream, self.counts = stream, read
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *_):
+        self.stream.close()
+
+    def __getattr__(self, name):
+        return getattr(self.stream, name)
+
+    def read(self, size=-1):
+        data = self.stream.read(size)
+        self.counts.append(len(data))
+        return data
+
+
+def test_listing(spark, tmp_path):
+    names = ["a.txt", "b.crc", "_c", ".d.txt", ".a.txt.crc", ".gone.crc", "e{1}.txt", "sub/x.txt", "sub/.x.txt.crc", "sub/deep/y.txt", "sub2/x.txt"]
+    for name in names:
+        (tmp_path / name).parent.mkdir(exist_ok=True, parents=True)
+        (tmp_path / name).write_text(name)
+    top = {n for n in names if "/" not in n} - {".a.txt.crc"}
+
+    def listed(pattern):
+        return {r.archive.removeprefix(f"file:{tmp_path}/"): r.length for r in A.archive_files(spark, f"{tmp_path}{pattern}").collect()}
+
+    assert listed("") == listed("/") == {n: len(n) for n in top}
+    assert listed("/sub*/x.txt").keys() == listed("/{sub,sub2}/*.txt").keys() == {"sub/x.txt", "sub2/x.txt"}
+    assert listed("/s*").keys() == {"sub/x.txt", "sub2/x.txt"}
+    assert listed("/*.txt").keys() == {"a.txt", ".d.txt", "e{1}.txt"} and listed("/[a_]*").keys() == {"a.txt", "_c"}
+    assert listed("/e\\{1\\}.txt").keys() == {"e{1}.txt"} and listed("/?.txt").keys() == listed("/[!b].txt").keys() == {"a.txt"}
+    assert listed("/b.crc").keys() == {"b.crc"} and listed("/none*/x") == listed("/none") == {}
+    assert listed("/*/*/y.txt").keys() == {"sub/deep/y.txt"}

@@ -78,12 +78,11 @@ def write_archives(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Each document as one text file, that of `EMPTIED` without content. Returns the files' glob."""
+    """Each document as one text file, and an empty file beside that of `EMPTIED`. Returns the files' glob."""
     folder = scratch_folder(spark, "documents")
     documents: DataFrame = spark.read.parquet(f"{sf_dir}/documents.parquet")
     (
-        documents.where(F.col("doc_id") != EMPTIED)
-        .select(F.col("text").alias("value"), "doc_id")
+        documents.select(F.col("text").alias("value"), "doc_id")
         .repartition("doc_id")
         .write.partitionBy("doc_id")
         .text(f"{folder}/files")

@@ -403,12 +403,11 @@ ORACLE: dict[str, str] = {
         """
     ),
     "bronze_from_archive": _bronze(),
-    "file_digests": """SELECT doc_id,
-            sha256(CASE WHEN doc_id = 3 THEN '' ELSE text || chr(10) END) AS sha256
-        FROM documents""",
+    "file_digests": """SELECT doc_id, sha256(text || chr(10)) AS sha256 FROM documents
+        UNION ALL SELECT 3, sha256('')""",
     "table_reconciliation": over_silver(
-        """SELECT 'providers' AS table_name, count(*) AS loaded_rows FROM prov
-        UNION ALL SELECT 'provider_taxonomies', count(*) FROM ptax"""
+        """SELECT 'providers' AS table_name, count(*) AS source_rows, count(*) AS loaded_rows, true AS content_matches
+        FROM prov UNION ALL SELECT 'provider_taxonomies', count(*), count(*), true FROM ptax"""
     ),
     "catalog_specialty_mix": over_silver(SPECIALTY_MIX),
     "catalog_top_zips": over_silver(TOP_ZIPS),
