@@ -61,10 +61,11 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Removes what this application has written to its scratch folder; for the end of a session."""
-    _delete(spark, scratch_root(spark))
+    remove_folder(spark, scratch_root(spark))
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
+def remove_folder(spark: SparkSession, folder: str) -> None:
+    """Removes a folder of any file system with all it holds."""
     path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
@@ -79,4 +80,4 @@ def scratch_space(spark: SparkSession, purpose: str) -> Iterator[str]:
     try:
         yield folder
     finally:
-        _delete(spark, folder)
+        remove_folder(spark, folder)
