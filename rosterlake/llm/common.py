@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
-from rosterlake.session import scratch_folder
+from rosterlake.session import remove_folder, scratch_folder
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,7 +25,15 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     spark = df.sparkSession
     folder = scratch_folder(spark, purpose)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    found = spark.read.schema(df.schema).parquet(folder)
+    found.stored_folder = folder
+    return found
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes what `stored` has written, once what was made of it is stored itself."""
+    for df in tables:
+        remove_folder(df.sparkSession, df.stored_folder)
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:

@@ -17,7 +17,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rosterlake.llm.common import stored
+from rosterlake.llm.common import discard, stored
 
 LEAST = 400
 GRAM = 50
@@ -251,20 +251,165 @@ def repeated_spans(docs: DataFrame, least: int = LEAST, gram: int = GRAM) -> Dat
     return copied.unionByName(_boundary_windows(contexts, least))
 
 
-def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM) -> DataFrame:
-    """(id, n_bytes, spans, kept) per row: spans are the maximal removed runs of bytes.
+#: Words of a passage, and of the strings that stand for its windows.
+WORDS, WORD_GRAM = 51, 8
+#: Words searched at a time; a longer text is read in overlapping parts.
+_WORDS = 1 << 20
+
+
+def _word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, 64-bit hash) of each word of bytes, which hold at most `_PART`; ASCII white space parts words."""
+    tables, space = powers(), _SPACE[data]
+    edges = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
+    start, end = edges[::2], edges[1::2]
+    sums = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(tables["byte"][data] * tables["up"][: len(data)], out=sums[1:])
+    hashes = (sums[end] - sums[start]) * tables["down"][start]
+    return start, (hashes ^ (hashes >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[0x20, *range(0x09, 0x0E)]] = True
+
+
+def _text_words(text: memoryview) -> np.ndarray:
+    """The hashes of a text's words. Bytes are read part by part, cut at white space; a longer word counts by its parts."""
+    found, at, data = [], 0, np.frombuffer(text, np.uint8)
+    while at < len(data):
+        stop = min(at + _PART, len(data))
+        if stop < len(data):
+            spaces = np.flatnonzero(_SPACE[data[at:stop]])
+            stop = at + int(spaces[-1]) + 1 if len(spaces) else stop
+        found.append(_word_hashes(data[at:stop])[1])
+        at = stop
+    return np.concatenate(found) if found else np.zeros(0, np.uint64)
+
+
+def _rolling(words: np.ndarray) -> np.ndarray:
+    """Sums from which `_stretch` has the hash of any stretch of words."""
+    sums = np.zeros(len(words) + 1, np.uint64)
+    np.cumsum(words * powers()["up"][: len(words)], out=sums[1:])
+    return sums
+
+
+def _stretch(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    hashes = (sums[end] - sums[start]) * powers()["down"][start]
+    return (hashes ^ (hashes >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+
+
+def word_anchors(words: np.ndarray, least: int = WORDS, gram: int = WORD_GRAM) -> Iterator[tuple[int, tuple[np.ndarray, ...]]]:
+    """(offset, (first, last, anchor, hash of its gram, hash of all words)) of runs of windows that share an anchor."""
+    at = 0
+    while at + least <= len(words):
+        own = words[at : at + _WORDS]
+        sums = _rolling(own)
+        starts = np.arange(len(own) - gram + 1)
+        grams = _stretch(sums, starts, starts + gram)
+        # the leftmost of the smallest grams, by halving windows as for bytes
+        smallest, wide, span = grams & ~np.uint64(_WORDS - 1) | starts.astype(np.uint64), least - gram + 1, 1
+        while 2 * span <= wide:
+            smallest = np.minimum(smallest[:-span], smallest[span:])
+            span *= 2
+        if span < wide:
+            smallest = np.minimum(smallest[: span - wide], smallest[wide - span :])
+        anchor = (smallest & np.uint64(_WORDS - 1)).astype(np.int64)
+        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
+        last = np.concatenate([first[1:], [len(anchor)]]) - 1
+        runs = _stretch(sums, first, last + least) + (last - first).astype(np.uint64) + (anchor[first] - first).astype(np.uint64) * np.uint64(_BASE)
+        yield at, (first, last, anchor[first], grams[anchor[first]], runs)
+        at += len(own) - least + 1
+
+
+def repeated_passages(docs: DataFrame, least: int = WORDS, gram: int = WORD_GRAM) -> DataFrame:
+    """k of the rows (k, text) in which some `least` words stand that also start anywhere else.
+
+    As for bytes, each run of windows that share an anchor is compared as a whole first: texts with
+    a run that occurs twice are settled. The windows of the others are compared one by one with
+    those, of all texts, that share their anchor's gram.
+    """
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch["k"].to_pylist(), batch["text"], strict=True):
+                for _, (first, _, _, grams, runs) in word_anchors(_text_words(memoryview(text.as_buffer())), least, gram):
+                    yield pa.RecordBatch.from_pydict({"k": np.full(len(first), key), "gram": grams.view(np.int64), "run": runs.view(np.int64)})
+
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text, wanted in zip(batch["k"].to_pylist(), batch["text"], batch["runs"], strict=True):
+                own = {(r["gram"], r["run"]) for r in wanted.as_py()}
+                words = _text_words(memoryview(text.as_buffer()))
+                for at, (first, last, anchor, grams, runs) in word_anchors(words, least, gram):
+                    sums = _rolling(words[at : at + _WORDS])
+                    picked, seen = [], set()
+                    for i, pair in enumerate(zip(grams.view(np.int64).tolist(), runs.view(np.int64).tolist(), strict=True)):
+                        if pair in own and pair not in seen:  # runs that repeat here are settled
+                            picked.append(i)
+                            seen.add(pair)
+                    for i in picked:
+                        starts = np.arange(first[i], last[i] + 1)
+                        n = len(starts)
+                        yield pa.RecordBatch.from_pydict(
+                            {
+                                "k": np.full(n, key), "gram": np.full(n, grams[i].view(np.int64)),
+                                "t": (anchor[i] - starts).astype(np.int32), "window": _stretch(sums, starts, starts + least).view(np.int64),
+                            }
+                        )
+
+    known = stored(docs.mapInArrow(_joined(scan), "k long, gram long, run long"), "passage-runs")
+    runs = known.groupBy("gram", "run").agg(F.count("*").alias("n"), F.min("k").alias("k"))
+    runs = stored(runs, "passage-distinct")
+    whole = known.join(runs.where("n > 1").select("gram", "run"), ["gram", "run"], "left_semi").select("k").distinct()
+    whole = stored(whole, "passage-whole")
+    several = runs.groupBy("gram").agg(F.count("*").alias("runs")).where("runs > 1").select("gram")
+    # runs of texts that are not settled, and the runs of others that they may share a window with
+    unsettled = runs.join(several, "gram", "left_semi").join(whole, "k", "left_anti").select("gram").distinct()
+    asked = runs.join(unsettled, "gram", "left_semi").groupBy("k").agg(F.collect_list(F.struct("gram", "run")).alias("runs"))
+    single = docs.join(asked, "k").select("k", "text", "runs").mapInArrow(_joined(windows), "k long, gram long, t int, window long")
+    single = stored(single, "passage-windows")
+    shared = single.groupBy("gram", "t", "window").agg(F.count("*").alias("n")).where("n > 1")
+    found = single.join(shared, ["gram", "t", "window"], "left_semi").select("k")
+    result = stored(found.unionByName(whole).distinct(), "passage-found")
+    discard(known, runs, whole, single)
+    return result
+
+
+def _joined(work):
+    """The work's small batches put together."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting, rows = [], 0
+        for made in work(batches):
+            waiting.append(made)
+            rows += made.num_rows
+            if rows >= 50_000:
+                yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+                waiting, rows = [], 0
+        if rows:
+            yield pa.Table.from_batches(waiting).combine_chunks().to_batches()[0]
+
+    return run
+
+
+def without_repeats(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = LEAST, gram: int = GRAM, words: int = WORDS
+) -> DataFrame:
+    """(id, n_bytes, spans, kept, repeats_passage) per row: spans are the maximal removed runs of bytes.
 
     A byte goes if a string of `least` bytes over it also starts anywhere else, in the same text or
     another. Matches lie within texts and are judged on the input. Null is the empty text; repeated
     rows remove each other; an empty table gives no rows. Strings are compared by two independent
-    64-bit hashes. `kept` are bytes: a cut may fall within a character.
+    64-bit hashes. `kept` are bytes: a cut may fall within a character. `repeats_passage` is 1 if
+    some `words` consecutive words of the text also stand anywhere else, however few bytes they
+    have, else 0; nothing is removed for it.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     rows = rows.withColumn("k", F.xxhash64("id", "text"))
+    passages = repeated_passages(rows.select("k", "text"), words).withColumn("repeats", F.lit(1))
     spans = repeated_spans(rows.select("k", "text"), least, gram)
     lists = spans.groupBy("k").agg(F.collect_list(F.struct("start", "end")).alias("spans"))
-    both = rows.join(lists, "k", "left").select("id", "text", "spans")
+    both = rows.join(lists.join(passages, "k", "full"), "k", "left").select("id", "text", "spans", "repeats")
     typed = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -278,11 +423,11 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 merged.append([{"start": a, "end": b} for a, b in gone])
                 kept.append(b"".join(view[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)))
             yield pa.RecordBatch.from_arrays(
-                [batch["id"], pa.array(sizes, pa.int64()), pa.array(merged, typed), pa.array(kept, pa.binary())],
-                names=["id", "n_bytes", "spans", "kept"],
+                [batch["id"], pa.array(sizes, pa.int64()), pa.array(merged, typed), pa.array(kept, pa.binary()), batch["repeats"].fill_null(0)],
+                names=["id", "n_bytes", "spans", "kept", "repeats_passage"],
             )
 
-    schema = f"id {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary"
+    schema = f"id {kind}, n_bytes long, spans array<struct<start: long, end: long>>, kept binary, repeats_passage int"
     return both.mapInArrow(run, schema).withColumnRenamed("id", id_col)
 
 

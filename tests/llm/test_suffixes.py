@@ -91,4 +91,42 @@ def test_query(spark):
     found = {r.doc_id: tuple(r)[1:] for r in QUERIES["op5_suffix_dedup"](spark, sf).collect()}
     for (doc, _), (n, spans, kept) in zip(docs, slow([t for _, t in docs], 400), strict=True):
         removed = sum(b - a for a, b in spans)
-        assert found[doc] == (n, removed, len(spans), hashlib.sha256(kept).hexdigest())
+        assert found[doc][:4] == (n, removed, len(spans), hashlib.sha256(kept).hexdigest())
+    again = slow_passages([t for _, t in docs], 51)
+    assert {doc for doc, row in found.items() if row[4]} == {doc for (doc, _), hit in zip(docs, again, strict=True) if hit}
+    assert 0 < sum(again) < len(docs)
+
+
+def slow_passages(texts, least):
+    """Whether some `least` words of each text stand anywhere else."""
+    own = [[tuple(w[i : i + least]) for i in range(len(w) - least + 1)] for w in (t.split() for t in texts)]
+    seen = Counter(window for windows in own for window in windows)
+    return [any(seen[w] > 1 for w in windows) for windows in own]
+
+
+@pytest.mark.parametrize(("least", "gram", "seed"), [(6, 2, 1), (9, 3, 2), (12, 4, 3), (5, 5, 4)])
+def test_passages_equal_brute_force(spark, least, gram, seed, monkeypatch):
+    rng = random.Random(seed)
+    words = lambda n, k=400: [f"{rng.choice('aé b'.split())}{rng.randrange(k)}" for _ in range(n)]
+    shared = [words(least + rng.randrange(-1, 3)) for _ in range(30)]
+    texts = [" ".join([*words(rng.randrange(40)), *rng.choice(shared), *words(rng.randrange(40))]) for _ in range(60)]
+    common = words(gram + 1)  # a phrase too short, in many texts
+    texts += [" \n".join([*words(20), *common, *words(20)]) for _ in range(60)]
+    base = words(8 * least)
+    texts += [" ".join([*base[:i], "#", *base[i + 1 :]]) for i in range(0, 8 * least, 3)]
+    texts += ["", " ", "z " * (4 * least), "y " * (least - 1), "y " * least, " ".join(words(30, 2)), texts[0], "w" * 5000]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k long, text string").repartition(4)
+    wanted = {i for i, hit in enumerate(slow_passages([t.encode() for t in texts], least)) if hit}
+    assert {r.k for r in suffixes.repeated_passages(frame, least, gram).collect()} == wanted
+    assert 10 < len(wanted) < len(texts) - 10
+
+
+def test_passages_of_long_texts_are_read_in_parts(monkeypatch):
+    rng = np.random.default_rng(3)
+    text = " ".join(f"w{x}" for x in rng.integers(0, 50, 5000)).encode()
+    whole = suffixes._text_words(memoryview(text))
+    monkeypatch.setattr(suffixes, "_PART", 700)
+    assert np.array_equal(suffixes._text_words(memoryview(text)), whole)
+    monkeypatch.setattr(suffixes, "_WORDS", 512)
+    starts = [at + s for at, (first, last, *_) in suffixes.word_anchors(whole, 20, 4) for a, b in zip(first, last, strict=True) for s in range(a, b + 1)]
+    assert starts == list(range(len(whole) - 19))
