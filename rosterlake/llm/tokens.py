@@ -25,9 +25,9 @@ SEQUENCE = 2048
 BATCH = 64
 #: Text bytes of a shard, about: one task writes it, batch by batch.
 SHARD_BYTES = 32 << 20
-#: Text encoded at a time, and words whose ids a worker keeps.
+#: Text encoded at a time, and words whose ids a worker keeps: some 120 bytes each.
 PIECE_BYTES = 1 << 20
-MEMO_WORDS = 1_200_000
+MEMO_WORDS = 400_000
 _SPACE = re.compile(rb"[\t-\r ]")
 #: Punctuation right after a letter or digit starts a token of its own.
 _PUNCTUATION = b",.;:!?"
@@ -37,9 +37,10 @@ class Encoder:
     """Texts to ids by a tokenizer of the tokenizers library, in bounded memory.
 
     With `by_word`, for tokenizers that ignore case, drop white space, part words from punctuation
-    and leave a lower-case ASCII word to the model as it is, each word is encoded once and its ids are kept; texts are then cut at
-    white space too, so that a very long one is never held as tokens. Otherwise texts are encoded
-    whole.
+    and leave a lower-case ASCII word to the model as it is, words are encoded apart and the ids of
+    up to `MEMO_WORDS` are kept; when there are more, those stay that have come up again since they
+    were last sorted out. Texts are then cut at white space too, so that a very long one is never
+    held as tokens. Otherwise texts are encoded whole.
     """
 
     def __init__(self, path: str, by_word: bool) -> None:
@@ -49,6 +50,7 @@ class Encoder:
         self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo: dict[bytes, bytes] = {}
+        self.again: set[bytes] = set()
 
     def __call__(self, texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, bool]]:
         """(ids, whether a text ends with them), for all texts in order."""
@@ -67,19 +69,18 @@ class Encoder:
         yield from self.encoded(waiting)
 
     def encoded(self, waiting: list[tuple[list[bytes], bool]]) -> Iterator[tuple[np.ndarray, bool]]:
-        found = [[*map(self.memo.get, own)] for own, _ in waiting]
-        new: set[bytes] = set()
-        for (own, _), ids in zip(waiting, found, strict=True):
-            if None in ids:
-                new.update(w for w, known in zip(own, ids, strict=True) if known is None)
+        words = set().union(*(own for own, _ in waiting))
+        new = words.difference(self.memo)
+        if len(self.memo) + 2 * len(new) > MEMO_WORDS:  # a word may come with its stem
+            self.again.update(words - new)
+            kept = self.again if 2 * len(self.again) < MEMO_WORDS else words - new
+            self.memo, self.again = {w: self.memo[w] for w in kept}, set()
+        else:
+            self.again.update(words - new)
         if new:
-            if len(self.memo) + 2 * len(new) > MEMO_WORDS:
-                self.memo, new = {}, set().union(*(own for own, _ in waiting))
             self.learn(new)
-        for (own, last), ids in zip(waiting, found, strict=True):
-            if None in ids:
-                ids = map(self.memo.__getitem__, own)
-            yield np.frombuffer(b"".join(ids), self.type), last
+        for own, last in waiting:
+            yield np.frombuffer(b"".join(map(self.memo.__getitem__, own)), self.type), last
 
     def learn(self, new: set[bytes]) -> None:
         """Ids of the new words, from those of their lower-case stems and the punctuation after."""
