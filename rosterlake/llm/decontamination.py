@@ -27,43 +27,90 @@ def words_of(text: str | None) -> list[bytes]:
     return (text or "").encode("utf-8", "surrogatepass").translate(_TABLE).split()
 
 
+class WindowTable:
+    """The windows of one length: sorted hashes, a place of each in the numbered words, and its items."""
+
+    def __init__(self, numbers: np.ndarray, places: np.ndarray, owners: np.ndarray, length: int) -> None:
+        self.length, self.seed = length, 0
+        while not self.built(numbers, places, owners):  # two windows have one hash: take other hashes
+            self.seed += 1
+
+    def hashed(self, numbers: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        factors = np.random.default_rng(self.seed).integers(0, 1 << 64, self.length, dtype=np.uint64) | np.uint64(1)
+        total = np.zeros(len(starts), np.uint64)
+        for j, factor in enumerate(factors):
+            own = (numbers[starts + j].astype(np.uint64) + np.uint64(1)) * factor
+            total += (own ^ (own >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return total
+
+    def built(self, numbers: np.ndarray, places: np.ndarray, owners: np.ndarray) -> bool:
+        hashes = self.hashed(numbers, places)
+        order = np.lexsort((owners, hashes))
+        hashes, places, owners = hashes[order], places[order], owners[order]
+        first = np.concatenate([[True], hashes[1:] != hashes[:-1]])
+        group = np.cumsum(first) - 1
+        self.hashes, self.places = hashes[first], places[first].astype(np.int32)
+        if not all((numbers[places + j] == numbers[self.places[group] + j]).all() for j in range(self.length)):
+            return False
+        again = np.concatenate([[True], (owners[1:] != owners[:-1]) | first[1:]])  # an item counts once
+        self.items = owners[again].astype(np.int32)
+        self.offsets = np.searchsorted(group[again], np.arange(len(self.hashes) + 1)).astype(np.int32)
+        return True
+
+    def found(self, numbers: np.ndarray, starts: np.ndarray, known: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        """(start, items) of the windows at `starts` that are in the table, compared word by word."""
+        for at in range(0, len(starts), 1 << 16):
+            own = starts[at : at + (1 << 16)]
+            hashes = self.hashed(numbers, own)
+            nearest = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+            same = self.hashes[nearest] == hashes
+            own, nearest = own[same], nearest[same]
+            equal = np.ones(len(own), bool)
+            for j in range(self.length):
+                equal &= numbers[own + j] == known[self.places[nearest] + j]
+            for start, k in zip(own[equal].tolist(), nearest[equal].tolist(), strict=True):
+                yield start, self.items[self.offsets[k] : self.offsets[k + 1]]
+
+
 class Windows:
-    """The hash set: each window of word numbers, with the items that have it."""
+    """The hash set: each window of word numbers, with the items that have it, in flat arrays.
+
+    Some 25 bytes a benchmark word and 100 a distinct one.
+    """
 
     def __init__(self, items: list[tuple], window: int = WINDOW) -> None:
         self.numbers: dict[bytes, int] = {}
-        self.by_length: dict[int, dict[bytes, list[int]]] = {}
         self.ids = [item for item, _ in items]
-        for k, (_, text) in enumerate(items):
-            numbers = [self.numbers.setdefault(w, len(self.numbers)) for w in words_of(text)]
-            if not numbers:
-                continue
-            length = min(window, len(numbers))
-            array, known = np.array(numbers, np.int32), self.by_length.setdefault(length, {})
-            for at in range(len(numbers) - length + 1):
-                owners = known.setdefault(array[at : at + length].tobytes(), [])
-                if not owners or owners[-1] != k:
-                    owners.append(k)
+        number, parts = self.numbers, []
+        for _, text in items:
+            parts.append(np.fromiter((number.setdefault(w, len(number)) for w in words_of(text)), np.int32))
+        sizes = np.array([len(p) for p in parts], np.int64)
+        starts = np.cumsum(sizes) - sizes
+        self.known = np.concatenate([np.zeros(0, np.int32), *parts])
+        self.tables = []
+        for length in sorted({*np.minimum(sizes, window).tolist()} - {0}):
+            own = np.flatnonzero(np.minimum(sizes, window) == length)
+            counts = sizes[own] - length + 1
+            nth = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+            self.tables.append(WindowTable(self.known, np.repeat(starts[own], counts) + nth, np.repeat(own, counts), length))
 
     def hits(self, text: str | None) -> tuple[int, list[tuple[int, int]], list]:
         """(words, maximal spans of hit words, items found) of one text.
 
-        Word numbers stand for whole words, so equal windows of numbers are equal windows of words:
-        the look-up is its own verification.
+        Word numbers stand for whole words, so equal windows of numbers are equal windows of words.
         """
         words = words_of(text)
         number = self.numbers.get
         numbers = np.fromiter((number(w, -1) for w in words), np.int32, len(words))
         unknown = np.concatenate([[0], np.cumsum(numbers < 0)])
         spans, found = [], set()
-        for length, known in self.by_length.items():
-            if length > len(words):
+        for table in self.tables:
+            if table.length > len(words):
                 continue
-            for at in np.flatnonzero(unknown[length:] == unknown[:-length]).tolist():
-                owners = known.get(numbers[at : at + length].tobytes())
-                if owners:
-                    found.update(owners)
-                    spans.append((at, at + length))
+            starts = np.flatnonzero(unknown[table.length :] == unknown[: -table.length])
+            for at, owners in table.found(numbers, starts, self.known):
+                found.update(owners.tolist())
+                spans.append((at, at + table.length))
         return len(words), merged(spans), [self.ids[k] for k in sorted(found)]
 
 

@@ -1,12 +1,14 @@
 """Benchmark hits against a brute-force version."""
 
 import hashlib
+import pickle
 import random
 import re
 
+import numpy as np
 import pytest
 
-from rosterlake.llm.decontamination import benchmark_hits, decontaminated, without
+from rosterlake.llm.decontamination import SLICE_BYTES, Windows, WindowTable, benchmark_hits, decontaminated, without
 from rosterlake.llm.queries import QUERIES
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -72,6 +74,38 @@ def test_removal(spark):
     assert without("A, b-c d!", [{"start": 1, "end": 3}]) == "A,  d!"
 
 
+def test_a_full_slice_takes_little_memory():
+    rng = np.random.default_rng(4)
+    words = rng.integers(0, 200_000, SLICE_BYTES // 7)
+    items = [(k, " ".join(f"w{x}" for x in part)) for k, part in enumerate(np.array_split(words, 4000))]
+    assert sum(len(t) for _, t in items) > SLICE_BYTES * 0.9
+    windows = Windows(items)
+    assert len(pickle.dumps(windows)) < 90 << 20
+    arrays = sum(a.nbytes for t in windows.tables for a in (t.hashes, t.places, t.items, t.offsets)) + windows.known.nbytes
+    assert arrays < 80 << 20
+    n, spans, found = windows.hits("x " + items[7][1] + " y " + " ".join(items[9][1].split()[:12]))
+    assert (spans, found) == ([(1, 1 + len(items[7][1].split()))], [7]) and n > 600
+
+
+def test_windows_of_one_hash_are_told_apart(monkeypatch):
+    """Hashes that differ in the lowest bit only: most windows collide until other ones are tried."""
+    plain, tries = WindowTable.hashed, []
+
+    def poor(self, numbers, starts):
+        tries.append(self.seed)
+        hashes = plain(self, numbers, starts)
+        return hashes & np.uint64(1) if self.seed < 2 else hashes
+
+    monkeypatch.setattr(WindowTable, "hashed", poor)
+    docs, items = cases()
+    windows = Windows(items)
+    assert max(tries) == 2
+    for _, text in docs:
+        n, hit, ids = slow(text, items)
+        found = windows.hits(text)
+        assert (found[0], [i for a, b in found[1] for i in range(a, b)]) == (n, hit) and {*found[2]} == ids
+
+
 def test_empty_tables(spark):
     docs, items = cases()
     frame = spark.createDataFrame(docs, "doc_id long, text string")
