@@ -70,8 +70,8 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    # this tokenizer drops white space and never joins what it parts
-    return token_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), by_word=True)
+    # this tokenizer drops white space and never joins what it parts; workers do nothing else here
+    return token_round_trip(docs, public_tokenizers.path("word_bpe_49k.json"), by_word=True, memo_words=1_200_000)
 
 
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -38,16 +38,16 @@ class Encoder:
 
     With `by_word`, for tokenizers that ignore case, drop white space, part words from punctuation
     and leave a lower-case ASCII word to the model as it is, words are encoded apart and the ids of
-    up to `MEMO_WORDS` are kept; when there are more, those stay that have come up again since they
+    up to `memo_words` are kept; when there are more, those stay that have come up again since they
     were last sorted out. Texts are then cut at white space too, so that a very long one is never
     held as tokens. Otherwise texts are encoded whole.
     """
 
-    def __init__(self, path: str, by_word: bool) -> None:
+    def __init__(self, path: str, by_word: bool, memo_words: int = MEMO_WORDS) -> None:
         os.environ["RAYON_NUM_THREADS"], os.environ["TOKENIZERS_PARALLELISM"] = "1", "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.by_word = Tokenizer.from_file(path), by_word
+        self.tokenizer, self.by_word, self.memo_words = Tokenizer.from_file(path), by_word, memo_words
         self.type = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.memo: dict[bytes, bytes] = {}
         self.again: set[bytes] = set()
@@ -71,9 +71,9 @@ class Encoder:
     def encoded(self, waiting: list[tuple[list[bytes], bool]]) -> Iterator[tuple[np.ndarray, bool]]:
         words = set().union(*(own for own, _ in waiting))
         new = words.difference(self.memo)
-        if len(self.memo) + 2 * len(new) > MEMO_WORDS:  # a word may come with its stem
+        if len(self.memo) + 2 * len(new) > self.memo_words:  # a word may come with its stem
             self.again.update(words - new)
-            kept = self.again if 2 * len(self.again) < MEMO_WORDS else words - new
+            kept = self.again if 2 * len(self.again) < self.memo_words else words - new
             self.memo, self.again = {w: self.memo[w] for w in kept}, set()
         else:
             self.again.update(words - new)
@@ -127,11 +127,12 @@ def pieces(text: bytes, size: int = PIECE_BYTES) -> Iterator[tuple[bytes, bool]]
 _ENCODERS: dict[tuple, Encoder] = {}
 
 
-def encoder(path: str, by_word: bool) -> Encoder:
+def encoder(path: str, by_word: bool, memo_words: int = MEMO_WORDS) -> Encoder:
     """The worker's encoder, loaded once."""
-    if (path, by_word) not in _ENCODERS:
-        _ENCODERS[path, by_word] = Encoder(path, by_word)
-    return _ENCODERS[path, by_word]
+    key = path, by_word, memo_words
+    if key not in _ENCODERS:
+        _ENCODERS[key] = Encoder(*key)
+    return _ENCODERS[key]
 
 
 class SequenceWriter:
@@ -187,6 +188,7 @@ def write_tokens(
     length: int = SEQUENCE,
     batch: int = BATCH,
     shard_bytes: int = SHARD_BYTES,
+    memo_words: int = MEMO_WORDS,
 ) -> DataFrame:
     """Writes shards into `folder`, in ascending id order; (shard, tokens) rows.
 
@@ -206,7 +208,7 @@ def write_tokens(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files, base = pafs.FileSystem.from_uri(folder)
         files.create_dir(base, recursive=True)
-        encode, shard, draft = encoder(tokenizer_path, by_word), TaskContext.get().partitionId(), f"{base}/_{uuid.uuid4().hex}"
+        encode, shard, draft = encoder(tokenizer_path, by_word, memo_words), TaskContext.get().partitionId(), f"{base}/_{uuid.uuid4().hex}"
         tokens = stream = None
         for rows in batches:
             if not rows.num_rows:
