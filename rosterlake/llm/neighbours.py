@@ -1,4 +1,8 @@
-"""Near-duplicate vectors by NN-descent over a neighbour graph of balls of mutually linked vectors."""
+"""Near-duplicate vectors by NN-descent over a neighbour graph of balls and cells of vectors.
+
+A ball's vectors are all linked with each other; a cell holds vectors of a dense place that is too
+wide for balls. Links between vectors are only counted, and joined up into components.
+"""
 
 from __future__ import annotations
 
@@ -22,11 +26,17 @@ TABLES = 8
 ROUNDS = 6
 MOST_ROUNDS = 24
 MERGES = 3
-#: Nodes first compared with all others, the most at a time, the linked pairs to be seen in doing so,
-#: and the recall asked for.
-AUDIT_NODES = 512
-AUDIT_BLOCK = 8192
-AUDIT_PAIRS = 2000
+#: Linked nodes in a bucket that make a cell, the most vectors of a ball that goes into one, and the
+#: rounds of making cells.
+SATURATED = 2 * NEIGHBOURS
+CELL_BALL = 64
+CELL_ROUNDS = 6
+#: Vectors of a ball or cell, and vectors asked about them, that are compared at once.
+TILE_ROWS = 1024
+#: Nodes of each stratum that the audit compares with all others, how far below the cosine of a link
+#: the nearest neighbour of the second stratum's nodes may lie, and the recall asked for.
+AUDIT_NODES = 4096
+AUDIT_NEAR = 0.05
 RECALL = 0.995
 #: Cosines held at a time by a task of the audit.
 _CELLS = 1 << 22
@@ -104,6 +114,7 @@ def _bucketed(nodes: DataFrame, count: int, seed: int, tables: int, codes: bool)
     """
     bits = max(0, math.ceil(math.log2(max(1, count / GROUP_ROWS)))) + 1
     data = "code" if codes else "vec"
+    more = [] if codes else ["loose"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         planes: dict[tuple, np.ndarray] = {}
@@ -122,12 +133,13 @@ def _bucketed(nodes: DataFrame, count: int, seed: int, tables: int, codes: bool)
                         planes[table, dim] = np.random.default_rng([seed, table, dim]).normal(size=(dim, bits))
                     sides = (matrix @ planes[table, dim] > 0) @ (1 << np.arange(bits, dtype=np.int64))
                     yield pa.RecordBatch.from_arrays(
-                        [rows["node"], rows["dim"], payload, rows["radius"], rows["n"], pa.array(np.full(len(at), table, np.int32)), pa.array(sides)],
-                        names=["node", "dim", data, "radius", "n", "hash_table", "side"],
+                        [*(rows[c] for c in ("node", "dim", "radius", "n", *more)), payload, pa.array(np.full(len(at), table, np.int32)), pa.array(sides)],
+                        names=["node", "dim", "radius", "n", *more, data, "hash_table", "side"],
                     )
 
-    schema = f"node long, dim int, {data} binary, radius double, n long, hash_table int, side long"
-    dealt = stored(nodes.select("node", "dim", "vec", "radius", "n").mapInArrow(run, schema), "vector-buckets")
+    flag = "".join(f"{c} boolean, " for c in more)
+    schema = f"node long, dim int, radius double, n long, {flag}{data} binary, hash_table int, side long"
+    dealt = stored(nodes.select("node", "dim", "vec", "radius", "n", *more).mapInArrow(run, schema), "vector-buckets")
     keys = ["hash_table", "dim", "side"]
     sizes = dealt.groupBy(*keys).agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts"))
     salt = F.pmod(F.xxhash64("node", "hash_table"), F.col("parts"))
@@ -135,10 +147,11 @@ def _bucketed(nodes: DataFrame, count: int, seed: int, tables: int, codes: bool)
     return grouped.repartition("grp").sortWithinPartitions("grp")
 
 
-def _merged(nodes: DataFrame, count: int, seed: int, limit: float) -> DataFrame:
-    """(node, dim, into, vec, radius, n): each node with the ball it joins; vec of `into` in its own row.
+def _merged(nodes: DataFrame, count: int, seed: int, limit: float, near_by: float, cells: bool = False) -> DataFrame:
+    """(node, dim, into, vec, radius, n, loose): each node with what it joins; vec of `into` in its own row.
 
-    A ball lies around a mean direction, within `limit` radians with all it has taken in.
+    A ball or cell lies around a mean direction of nodes within `near_by` radians of one of them,
+    within `limit` radians with all it has taken in. A cell begins with `SATURATED` nodes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,14 +159,17 @@ def _merged(nodes: DataFrame, count: int, seed: int, limit: float) -> DataFrame:
             names = group["node"].to_numpy()
             order = np.argsort(names, kind="stable")
             names, radii, n = names[order], group["radius"].to_numpy()[order], group["n"].to_numpy()[order]
+            loose = group["loose"].to_numpy(zero_copy_only=False)[order].copy()
             matrix = np.frombuffer(b"".join(group["vec"].to_pylist()), np.float64).reshape(len(names), -1)[order]
             cosines = matrix @ matrix.T
             into, vecs, wide = np.full(len(names), -1), [None] * len(names), radii.copy()
-            near = cosines >= math.cos(2 * limit)
+            near = cosines >= math.cos(near_by)
             for leader in np.argsort(-(near @ n), kind="stable"):
                 if into[leader] >= 0:
                     continue
                 free = np.flatnonzero(near[leader] & (into < 0))
+                if leader not in free or (cells and len(free) < SATURATED and not loose[leader]):
+                    free = np.array([leader])
                 centre = matrix[leader]
                 if len(free) > 1:
                     mean = (matrix[free] * n[free, None]).sum(axis=0)
@@ -170,12 +186,13 @@ def _merged(nodes: DataFrame, count: int, seed: int, limit: float) -> DataFrame:
                 else:
                     widest = float(angles[(angles <= limit) | (free == leader)].max())
                 into[taken], vecs[leader], wide[leader] = leader, centre.tobytes(), widest
+                loose[leader] |= cells and len(taken) > 1
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names), group["dim"], pa.array(names[into]), pa.array(vecs, pa.binary()), pa.array(wide), pa.array(n)],
-                names=["node", "dim", "into", "vec", "radius", "n"],
+                [pa.array(names), group["dim"], pa.array(names[into]), pa.array(vecs, pa.binary()), pa.array(wide), pa.array(n), pa.array(loose)],
+                names=["node", "dim", "into", "vec", "radius", "n", "loose"],
             )
 
-    schema = "node long, dim int, into long, vec binary, radius double, n long"
+    schema = "node long, dim int, into long, vec binary, radius double, n long, loose boolean"
     return _bucketed(nodes, count, seed, 1, codes=False).mapInArrow(run, schema)
 
 
@@ -185,23 +202,54 @@ def reach(a: np.ndarray, b: np.ndarray) -> np.ndarray:
 
 
 def balls(units: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
-    """((node, dim, vec, radius, n), (row, node)): balls whose vectors are all linked, and members.
+    """((node, dim, vec, radius, n, loose), (row, node)): balls whose vectors are all linked, and members.
 
     Two vectors within half the threshold's angle of a common centre are linked, so a dense group
     of any size becomes a few nodes and its pairs are never listed.
     """
     limit = math.acos(threshold) / 2 - _MARGIN
     nodes = units.where(F.col("vec").isNotNull()).select(
-        F.col("row").alias("node"), "dim", "vec", F.lit(0.0).alias("radius"), F.lit(1).cast("long").alias("n")
+        F.col("row").alias("node"), "dim", "vec", F.lit(0.0).alias("radius"), F.lit(1).cast("long").alias("n"), F.lit(False).alias("loose")
     )
     members = nodes.select(F.col("node").alias("row"), "node")
     for turn in range(MERGES):
-        merged = stored(_merged(nodes, nodes.count(), turn, limit), "vector-merges")
-        sums = merged.groupBy("into").agg(F.sum("n").alias("n"))
-        heads = merged.where(F.col("vec").isNotNull()).drop("n", "into")
-        nodes = stored(heads.join(sums, F.col("node") == F.col("into")).drop("into"), "vector-balls")
-        moved = merged.select(F.col("node").alias("old"), "into")
-        members = stored(members.join(moved, F.col("node") == F.col("old")).select("row", F.col("into").alias("node")), "vector-members")
+        merged = stored(_merged(nodes, nodes.count(), turn, limit, 2 * limit), "vector-merges")
+        nodes, members = _moved(merged, members)
+    return nodes, members
+
+
+def _moved(merged: DataFrame, members: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The nodes that a merge leaves, and the members of these."""
+    sums = merged.groupBy("into").agg(F.sum("n").alias("n"))
+    heads = merged.where(F.col("vec").isNotNull()).drop("n", "into")
+    nodes = stored(heads.join(sums, F.col("node") == F.col("into")).drop("into"), "vector-balls")
+    moved = merged.select(F.col("node").alias("old"), "into")
+    members = stored(members.join(moved, F.col("node") == F.col("old")).select("row", F.col("into").alias("node")), "vector-members")
+    return nodes, members
+
+
+def cells(nodes: DataFrame, members: DataFrame, threshold: float) -> tuple[DataFrame, DataFrame]:
+    """The nodes and members with small balls in dense places put into cells (`loose`).
+
+    Where many nodes are linked, and yet too far apart for one ball, lists of neighbours would be
+    as long as there are nodes. A cell takes in what lies within the threshold's angle of its
+    centre; its vectors are compared later, tile by tile, and their links counted. Balls of more
+    than `CELL_BALL` vectors stay, as their pairs need no comparison. Ends with the round that
+    takes away less than one node in fifty.
+    """
+    angle, size = math.acos(threshold), nodes.count()
+    small = F.col("loose") | (F.col("n") <= CELL_BALL)
+    for turn in range(CELL_ROUNDS):
+        some = nodes.where(small)
+        merged = _merged(some, some.count(), 50 + turn, angle, angle, cells=True)
+        rest = nodes.where(~small).withColumn("into", F.col("node"))
+        merged = stored(merged.unionByName(rest), "vector-cells")
+        left = merged.where(F.col("vec").isNotNull()).count()
+        if left < size:
+            nodes, members = _moved(merged, members)
+        if left > 0.98 * size:
+            break
+        size = left
     return nodes, members
 
 
@@ -256,27 +304,33 @@ def neighbour_graph(nodes: DataFrame, angle: float, rounds: int | None = None, r
     """(edges (a, b, cosine, ra, rb) in both directions, audited recall of those that may be linked).
 
     Seeded by hyperplane tables, the graph is refined by NN-descent: at each node its neighbours, and
-    those whose neighbour it is, are compared with each other, until hardly anything changes. The
-    audit compares some nodes with all; as long as the recall falls short, another set of tables is
-    added and descent goes on. Missing it for `rounds` rounds (`MOST_ROUNDS`) is an error.
+    those whose neighbour it is, are compared with each other, until hardly anything changes. More
+    than `GROUP_ROWS` of them are dealt into groups, otherwise each round, so that no hub is one
+    task's work. The audit compares some nodes with all; as long as the recall falls short, another
+    set of tables is added and descent goes on. Missing it for `rounds` rounds is an error.
     """
     rounds = MOST_ROUNDS if rounds is None else rounds
     count = nodes.count()
     if count < 2:
         return nodes.sparkSession.createDataFrame([], _EDGES), 1.0
     codes = _codes(nodes)
-    true = stored(linkable(nodes, count, angle), "vector-audited")
-    edges, found = None, 0.0
+    true, edges, found = None, None, 0.0
     for turn in range(rounds):
         if turn == 0 or found < recall:
             seeded = _bucketed(nodes, count, 100 + turn, TABLES, codes=True)
             seeded = seeded.mapInArrow(_pairs_within(angle, "grp"), _EDGES)
             edges = stored(_best(seeded if edges is None else edges.unionByName(seeded), angle), "vector-graph")
+        if true is None:
+            true = stored(linkable(nodes, angle, edges), "vector-audited")
         around = edges.select(F.col("a").alias("z"), F.col("b").alias("node")).unionByName(
             edges.select(F.col("b").alias("z"), F.col("a").alias("node"))
         )
-        joined = around.distinct().join(codes, "node").repartition("z").sortWithinPartitions("z")
-        better = joined.mapInArrow(_pairs_within(angle, "z"), _EDGES)
+        around = around.distinct()
+        hubs = around.groupBy("z").agg(F.ceil(F.count("*") / GROUP_ROWS).alias("parts")).where("parts > 1")
+        salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.coalesce("parts", F.lit(1)))
+        dealt = around.join(hubs, "z", "left").select("node", F.xxhash64("z", salt).alias("grp"))
+        joined = dealt.join(codes, "node").repartition("grp").sortWithinPartitions("grp")
+        better = joined.mapInArrow(_pairs_within(angle, "grp"), _EDGES)
         before, edges = edges, stored(_best(edges.unionByName(better), angle), "vector-graph")
         changed = edges.join(before, ["a", "b"], "left_anti").count()
         found = audited(true, edges)
@@ -303,21 +357,21 @@ def audited(true: DataFrame, edges: DataFrame) -> float:
     return true.join(edges, ["a", "b"], "left_semi").count() / total if total else 1.0
 
 
-def linkable(nodes: DataFrame, count: int, angle: float) -> DataFrame:
-    """(a, b): all pairs that may be linked of growing blocks of nodes with all others.
+def linkable(nodes: DataFrame, angle: float, edges: DataFrame | None = None) -> DataFrame:
+    """(a, b): all pairs that may be linked of a sample of nodes with all others, in one pass.
 
-    Blocks are added until `AUDIT_PAIRS` pairs are seen, or all nodes have been asked: where fewer
-    pairs exist, the audit is complete.
+    One stratum is any `AUDIT_NODES` nodes, the other as many of those that have a neighbour in the
+    graph that is linked or nearly so, where missed links are likely. Both are chosen by hash. If
+    the first misses nothing, then with 95 % confidence fewer than 3 / `AUDIT_NODES` of all nodes
+    have a missed link; a table of no more nodes is audited in full.
     """
-    parts = max(1, math.ceil(count / AUDIT_NODES))
-    part, found, seen, at, step = F.pmod(F.xxhash64("node"), F.lit(parts)), None, 0, 0, 1
-    while at < parts and seen < AUDIT_PAIRS:
-        block = nodes.where((part >= at) & (part < at + step))
-        pairs = stored(_linked_with(nodes, block, angle), "vector-audit")
-        seen += pairs.count()
-        found = pairs if found is None else found.unionByName(pairs)
-        at, step = at + step, min(2 * step, AUDIT_BLOCK // AUDIT_NODES)
-    return found
+    order = F.xxhash64("node", F.lit(7))
+    chosen = nodes.select("node").orderBy(order, "node").limit(AUDIT_NODES)
+    if edges is not None:
+        least = F.cos(F.least(F.lit(angle) + F.col("ra") + F.col("rb"), F.lit(math.pi))) - AUDIT_NEAR
+        near = edges.where(F.col("cosine") >= least).select(F.col("a").alias("node")).distinct()
+        chosen = chosen.unionByName(near.orderBy(order, "node").limit(AUDIT_NODES)).distinct()
+    return _linked_with(nodes, nodes.join(chosen, "node", "left_semi"), angle)
 
 
 def _linked_with(nodes: DataFrame, block: DataFrame, angle: float) -> DataFrame:
@@ -354,37 +408,80 @@ def _linked_with(nodes: DataFrame, block: DataFrame, angle: float) -> DataFrame:
 
 
 def _judged(pairs: DataFrame, angle: float, threshold: float) -> DataFrame:
-    """(x, p, q, n, open): how a vector x of ball p is linked with all of ball q, unless open."""
+    """(x, key, q, n, open): how a vector x is linked with all of ball q, unless open."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            radii = batch["rq"].to_numpy()
+            radii, loose = batch["rq"].to_numpy(), batch["loose"].to_numpy(zero_copy_only=False)
             cosines, angles = np.zeros(len(radii)), np.zeros(len(radii))
             for k, (v, c) in enumerate(zip(batch["vx"].to_pylist(), batch["cq"].to_pylist(), strict=True)):
                 a, b = np.frombuffer(v, np.float64), np.frombuffer(c, np.float64)
                 cosines[k], angles[k] = a @ b, reach(a[None], b[None])[0]
-            single = radii == 0
-            linked = np.where(single, cosines >= threshold, angles + radii <= angle - _MARGIN)
+            single = (radii == 0) & ~loose
+            linked = np.where(single, cosines >= threshold, ~loose & (angles + radii <= angle - _MARGIN))
             unclear = ~single & ~linked & (angles - radii <= angle + _MARGIN)
             keep = pa.array(np.flatnonzero(linked | unclear))
-            rows = batch.select(["x", "p", "q", "nq"]).take(keep)
-            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(unclear).take(keep)], names=["x", "p", "q", "n", "open"])
+            rows = batch.select(["x", "key", "q", "nq"]).take(keep)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(unclear).take(keep)], names=["x", "key", "q", "n", "open"])
+
+    return pairs.mapInArrow(run, "x long, key long, q long, n long, open boolean")
+
 
-    return pairs.mapInArrow(run, "x long, p long, q long, n long, open boolean")
+def _forest(linked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Labels that linked rows and columns of a boolean matrix share; -1 for those without a link."""
+    rows, columns = np.full(linked.shape[0], -1), np.full(linked.shape[1], -1)
+    for first in np.flatnonzero(linked.any(axis=1)):
+        if rows[first] >= 0:
+            continue
+        new = np.array([first])
+        while len(new):
+            rows[new] = first
+            met = np.flatnonzero(linked[new].any(axis=0) & (columns < 0))
+            columns[met] = first
+            new = np.flatnonzero(linked[:, met].any(axis=1) & (rows < 0))
+    return rows, columns
+
+
+def _tiled(unclear: DataFrame, within: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """(x, n, a, b): vectors that are linked in a tile, with how many, and a link of their keys.
 
+    The vectors asked about a ball or cell, and its members, are cut into tiles of `TILE_ROWS`; each
+    pair of tiles is one group of rows, which hands on a row per vector, and never one per pair.
+    """
+    asked = unclear.groupBy("q").agg(F.ceil(F.count("*") / TILE_ROWS).alias("blocks"))
+    sizes = asked.join(nodes.select(F.col("node").alias("q"), F.ceil(F.col("n") / TILE_ROWS).alias("tiles")), "q")
+
+    def dealt(rows: DataFrame, own: str, count: str, other: str, others: str, member: bool) -> DataFrame:
+        place = F.pmod(F.xxhash64("x"), F.col(count)).alias(own)
+        every = F.explode(F.sequence(F.lit(0).cast("long"), F.col(others) - 1)).alias(other)
+        return rows.join(sizes, "q").select("q", "x", "key", "vx", place, every).withColumn("member", F.lit(member))
 
-def _compared(pairs: DataFrame, threshold: float) -> DataFrame:
-    """(x, p, q) of the pairs of vectors whose cosine reaches the threshold."""
+    left = dealt(unclear.select("q", "x", "key").join(within.select("x", "vx"), "x"), "block", "blocks", "tile", "tiles", False)
+    right = dealt(within.withColumnRenamed("node", "q"), "tile", "tiles", "block", "blocks", True)
+    both = left.unionByName(right).withColumn("grp", F.xxhash64("q", "block", "tile"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            left, right = (np.frombuffer(b"".join(batch[c].to_pylist()), np.float64) for c in ("vx", "vy"))
-            dims = batch["dim"].to_numpy()
-            starts = np.concatenate([[0], np.cumsum(dims)[:-1]]) if len(dims) else []
-            cosines = np.add.reduceat(left * right, starts) if len(dims) else np.zeros(0)
-            yield batch.select(["x", "p", "q"]).take(pa.array(np.flatnonzero(cosines >= threshold)))
+        for group in _groups(batches, "grp"):
+            places = np.stack([group[c].to_numpy() for c in ("q", "block", "tile")], axis=1)
+            for place in np.unique(places, axis=0):
+                rows = group.take(pa.array(np.flatnonzero((places == place).all(axis=1))))
+                member = rows["member"].to_numpy(zero_copy_only=False)
+                if member.all() or not member.any():
+                    continue
+                ids, keys, vecs = rows["x"].to_numpy(), rows["key"].to_numpy(), rows["vx"].to_pylist()
+                x, y = np.flatnonzero(~member), np.flatnonzero(member)
+                matrix = np.frombuffer(b"".join(vecs), np.float64).reshape(len(vecs), -1)
+                linked = (matrix[x] @ matrix[y].T >= threshold) & (ids[x][:, None] != ids[y][None, :])
+                roots, others = _forest(linked)
+                at = np.concatenate([x[roots >= 0], y[others >= 0]])
+                root = np.concatenate([roots[roots >= 0], others[others >= 0]])
+                n = np.concatenate([linked.sum(axis=1)[roots >= 0], np.zeros((others >= 0).sum(), np.int64)])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[at]), pa.array(n), pa.array(keys[at]), pa.array(keys[x][root])], names=["x", "n", "a", "b"]
+                )
 
-    return pairs.mapInArrow(run, "x long, p long, q long")
+    grouped = both.repartition("grp").sortWithinPartitions("grp")
+    return grouped.mapInArrow(run, "x long, n long, a long, b long")
 
 
 def near_vectors(
@@ -400,29 +497,34 @@ def near_vectors(
     """
     angle = math.acos(threshold)
     units = stored(unit_vectors(vectors, id_col, vector_col), "vectors")
-    nodes, members = balls(units, threshold)
+    nodes, members = cells(*balls(units, threshold), threshold)
     graph, recall = neighbour_graph(nodes, angle)
-    within = members.join(units.select("row", "vec"), "row").select(F.col("row").alias("x"), F.col("node"), F.col("vec").alias("vx"))
+    key = F.when(F.col("loose"), F.col("row")).otherwise(F.col("node")).alias("key")  # what components join up
+    members = members.join(nodes.select("node", "n", "loose"), "node").select("row", "node", key, "n", "loose")
+    within = stored(
+        members.join(units.select("row", "vec"), "row").select(F.col("row").alias("x"), "node", "key", F.col("vec").alias("vx")),
+        "vector-within",
+    )
     least = F.cos(F.least(F.lit(angle) + F.col("ra") + F.col("rb"), F.lit(math.pi))) - CODE_ERROR
     close = graph.where(F.col("cosine") >= least).select(F.col("a").alias("p"), F.col("b").alias("q"))
-    close = close.unionByName(close.select(F.col("q").alias("p"), F.col("p").alias("q"))).distinct()
-    far = nodes.select(F.col("node").alias("q"), F.col("vec").alias("cq"), F.col("radius").alias("rq"), F.col("n").alias("nq"))
+    own = nodes.where("loose").select(F.col("node").alias("p"), F.col("node").alias("q"))
+    close = close.unionByName(close.select(F.col("q").alias("p"), F.col("p").alias("q"))).unionByName(own).distinct()
+    far = nodes.select(F.col("node").alias("q"), F.col("vec").alias("cq"), F.col("radius").alias("rq"), F.col("n").alias("nq"), "loose")
     pairs = close.join(far, "q").join(within.withColumnRenamed("node", "p"), "p")
-    judged = stored(_judged(pairs.select("x", "p", "q", "vx", "cq", "rq", "nq"), angle, threshold), "vector-judged")
-    unclear = judged.where("open").select("x", "p", "q").join(within.select("x", "vx"), "x")
-    others = within.select(F.col("node").alias("q"), F.col("vx").alias("vy")).join(nodes.select(F.col("node").alias("q"), "dim"), "q")
-    compared = stored(_compared(unclear.join(others, "q").select("x", "p", "q", "dim", "vx", "vy"), threshold), "vector-compared")
-    clear = judged.where(~F.col("open")).select("x", "p", "q", "n")
-    links = clear.unionByName(compared.withColumn("n", F.lit(1).cast("long")))
+    judged = stored(_judged(pairs.select("x", "key", "q", "vx", "cq", "rq", "nq", "loose"), angle, threshold), "vector-judged")
+    compared = stored(_tiled(judged.where("open"), within, nodes, threshold), "vector-compared")
+    clear = judged.where(~F.col("open")).select("x", "n", F.col("key").alias("a"), F.col("q").alias("b"))
+    links = clear.unionByName(compared)
     counts = links.groupBy("x").agg(F.sum("n").alias("outside"))
-    joined = components(links.select(F.col("p").alias("a"), F.col("q").alias("b")).distinct())
+    joined = components(links.select("a", "b").distinct())
     joined = joined.withColumnRenamed("node", "linked")
-    placed = members.join(joined, F.col("node") == F.col("linked"), "left").select(
-        "row", "node", F.coalesce("component", "node").alias("root")
+    inside = F.when(F.col("loose"), F.lit(0)).otherwise(F.col("n") - 1).alias("inside")
+    placed = members.join(joined, F.col("key") == F.col("linked"), "left").select(
+        "row", inside, F.coalesce("component", "key").alias("root")
     )
-    placed = placed.join(nodes.select("node", "n"), "node").join(counts, F.col("row") == F.col("x"), "left")
-    every = units.select("row", "id").join(placed.drop("node", "x"), "row", "left").select(
-        "id", "row", "root", (F.coalesce("n", F.lit(1)) - 1 + F.coalesce("outside", F.lit(0))).alias("n_links")
+    placed = placed.join(counts, F.col("row") == F.col("x"), "left").drop("x")
+    every = units.select("row", "id").join(placed, "row", "left").select(
+        "id", "row", "root", (F.coalesce("inside", F.lit(0)) + F.coalesce("outside", F.lit(0))).cast("long").alias("n_links")
     )
     every = stored(every, "vector-links")
     smallest = every.where(F.col("root").isNotNull()).groupBy("root").agg(F.min("id").alias("least"))

@@ -71,6 +71,35 @@ def test_a_hot_group_becomes_a_few_balls(spark):
     check(spark, rows)
 
 
+def ring(n, degrees, dim, seed):
+    """Vectors at one angle around a centre."""
+    rng = np.random.default_rng(seed)
+    centre = unit_of(rng.normal(size=dim).tolist())
+    sides = rng.normal(size=(n, dim))
+    sides -= (sides @ centre)[:, None] * centre
+    sides /= np.linalg.norm(sides, axis=1, keepdims=True)
+    angle = math.radians(degrees)
+    return [[float(x) for x in v.astype(np.float32)] for v in math.cos(angle) * centre + math.sin(angle) * sides]
+
+
+@pytest.mark.parametrize("degrees", [11, 12.6])
+def test_a_group_too_wide_for_balls_becomes_cells(spark, degrees):
+    # at 11 degrees nearly all are linked, at 12.6 about two of three, and no two share a ball
+    vectors = ring(2500, degrees, 64, 9) + cloud(600, 600, 0.0, 64, 10)
+    rows = list(enumerate(vectors))
+    units = stored(unit_vectors(spark.createDataFrame([(i, v, 0) for i, v in rows], SCHEMA), "vec_id", "embedding"), "units")
+    apart = balls(units, 0.95)
+    assert apart[0].count() > 2500
+    nodes, members = neighbours.cells(*apart, 0.95)
+    assert nodes.count() < 600 + 60 and nodes.agg(F.sum("n")).first()[0] == members.count() == 3100
+    check(spark, rows)
+
+
+def test_tiles_count_all_links(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "TILE_ROWS", 50)
+    check(spark, list(enumerate(ring(400, 11.5, 32, 11) + ring(300, 8, 32, 12) + cloud(100, 3, 0.2, 32, 13))))
+
+
 def test_edge_cases(spark):
     nan, inf = float("nan"), float("inf")
     base = [1.0, 2.0, 3.0]
@@ -95,7 +124,7 @@ def test_missed_links_are_an_error(spark, monkeypatch):
     nodes = stored(unit_vectors(frame, "vec_id", "embedding"), "units").select(
         F.col("row").alias("node"), "dim", "vec", F.lit(0.0).alias("radius"), F.lit(1).cast("long").alias("n")
     )
-    assert neighbours.linkable(nodes, len(rows), math.acos(0.95)).count() == (i != j).sum()
+    assert neighbours.linkable(nodes, math.acos(0.95)).count() == (i != j).sum()
     monkeypatch.setattr(neighbours, "MOST_ROUNDS", 2)
     monkeypatch.setattr(neighbours, "_best", lambda edges, angle: edges.limit(0))
     with pytest.raises(RuntimeError, match="recall 0.0000"):
