@@ -170,12 +170,35 @@ def provider_keys(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfil
     is it in the cohort. All are fixed-width, so tasks reduce them by hashing."""
     valid = valid_individuals(bronze, profile)
     coded = valid.select("npi", *POSITION, *slot_codes(valid))
-    codes = [F.col(name) for name in coded.columns[1 + len(POSITION) :]]
-    return coded.groupBy("npi").agg(
+    return coded.groupBy("npi").agg(*key_columns(coded, profile))
+
+
+def key_columns(coded: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> list[Column]:
+    """What `provider_keys` aggregates over rows with cleaned codes."""
+    codes = [F.col(name) for name in coded.columns if name.startswith("code_")]
+    return [
         F.count(F.lit(1)).alias("records"),
         F.min(POSITION[0]).alias("first"),
         F.bool_or(any_code(codes, Column.isNotNull)).alias("has_code"),
         F.bool_or(any_code(codes, in_cohort(profile))).alias("in_cohort"),
+    ]
+
+
+def counted_keys(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
+    """Provider keys and row counts from one scan: a row per valid individual, and one without a
+    key for all other records.
+
+    The counts are further fixed-width sums of the same groups, so the tasks reduce them as they
+    reduce the keys, the keyless group too. They are plain rows: a task that runs twice counts once.
+    """
+    texts = bronze.select(*POSITION, *row_texts(), *slot_codes(bronze))
+    valid = (
+        (F.upper("state") == profile.state)
+        & (F.col("entity") == profile.individual_code)
+        & npi_of(F.col("npi")).isNotNull()
+    )
+    return texts.groupBy(F.when(valid, F.col("npi")).alias("npi")).agg(
+        *key_columns(texts, profile), *row_counts(profile)
     )
 
 
@@ -230,12 +253,16 @@ def ordered_taxonomies(taxonomies: DataFrame) -> DataFrame:
 
 def key_quality(keys: DataFrame) -> DataFrame:
     """J4 and the cohort size, from provider keys."""
-    return keys.agg(
-        F.coalesce(F.sum(F.when(~F.col("has_code"), F.col("records"))), F.lit(0)).alias(
-            "missing_taxonomy_count"
-        ),
-        F.count_if("in_cohort").alias("primary_care_providers_retained"),
-    )
+    return keys.agg(*key_counts())
+
+
+def key_counts() -> list[Column]:
+    keyed = F.col("npi").isNotNull()
+    uncoded = F.sum(F.when(keyed & ~F.col("has_code"), F.col("records")))
+    return [
+        F.coalesce(uncoded, F.lit(0)).alias("missing_taxonomy_count"),
+        F.count_if(keyed & F.col("in_cohort")).alias("primary_care_providers_retained"),
+    ]
 
 
 def records_without_taxonomy(
@@ -245,17 +272,17 @@ def records_without_taxonomy(
     return key_quality(provider_keys(bronze, profile))
 
 
-def row_quality(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
-    """A9, row part: counts over all Bronze rows, without a shuffle of rows.
-
-    The text is cleaned in a projection of its own, so each field is cleaned once however many
-    counts look at it.
-    """
+def row_texts() -> list[Column]:
+    """The fields that row counts look at, cleaned; a projection of its own cleans each once."""
     sources = {"npi": NPI, "entity": ENTITY_TYPE, "state": STATE, "zip": ZIP}
     sources |= {name: PROVIDER_FIELDS[name] for name in DATE_FIELDS}
-    texts = bronze.select(*[clean_key(quoted(src)).alias(name) for name, src in sources.items()])
+    return [clean_key(quoted(source)).alias(name) for name, source in sources.items()]
+
+
+def row_counts(profile: DirectoryProfile = DirectoryProfile()) -> list[Column]:
+    """A9, row part, over the columns of `row_texts`."""
     npi = F.col("npi")
-    return texts.agg(
+    return [
         F.count(F.lit(1)).alias("input_row_count"),
         F.count_if(F.col("entity") == profile.organization_code).alias(
             "organization_records_excluded"
@@ -272,16 +299,21 @@ def row_quality(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile(
             for name in DATE_FIELDS
         ],
         F.count_if(zip_of(F.col("zip")).isNull()).alias("missing_zip_count"),
-    )
+    ]
+
+
+def row_quality(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
+    """A9, row part: counts over all Bronze rows, without a shuffle of rows."""
+    return bronze.select(*row_texts()).agg(*row_counts(profile))
 
 
 def quality_metrics(bronze: DataFrame, profile: DirectoryProfile = DirectoryProfile()) -> DataFrame:
-    """The eleven quality counts as one row.
+    """The eleven quality counts as one row, from one narrow scan."""
+    return counted_quality(counted_keys(bronze, profile))
 
-    Two narrow scans: row counts need no shuffle, and the per-provider part shuffles only
-    (key, count, two flags). The two one-row results are merged by a union.
-    """
-    parts = row_quality(bronze, profile).unionByName(
-        records_without_taxonomy(bronze, profile), allowMissingColumns=True
-    )
-    return parts.agg(*[F.max(name).alias(name) for name in QUALITY_COUNTS])
+
+def counted_quality(counted: DataFrame) -> DataFrame:
+    """The quality counts from `counted_keys`."""
+    own = [name for name in QUALITY_COUNTS if name in counted.columns]
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in own]
+    return counted.agg(*sums, *key_counts()).select(*QUALITY_COUNTS)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,10 +14,9 @@ from rosterlake.layout import (
 )
 from rosterlake.operators.silver import (
     check_bronze,
-    key_quality,
+    counted_keys,
+    counted_quality,
     ordered_taxonomies,
-    provider_keys,
-    row_quality,
     silver_providers,
     silver_taxonomies,
 )
@@ -36,20 +33,19 @@ def write_silver(
 ) -> dict[str, int]:
     """K3: both Silver tables of a Bronze table with positions; returns the quality counts.
 
-    A narrow pass first writes one row per provider, with which the wide passes meet the records;
-    adaptive execution picks the joins by the size that was written. The row counts depend on
-    Bronze alone, so their job runs beside the others.
+    A narrow pass first writes one row per provider, with the counts over all records, with which
+    the wide passes meet the records; adaptive execution picks the joins by the size that was
+    written. Bronze is scanned three times.
     """
-    with scratch_space(spark, "silver") as scratch, ThreadPoolExecutor(max_workers=1) as beside:
-        row_counts = beside.submit(lambda: row_quality(bronze, profile).first())
-        write_table(provider_keys(bronze, profile), f"{scratch}/keys")
-        keys = spark.read.parquet(f"{scratch}/keys")
-        key_counts = key_quality(keys).first()
+    with scratch_space(spark, "silver") as scratch:
+        write_table(counted_keys(bronze, profile), f"{scratch}/keys")
+        counted = spark.read.parquet(f"{scratch}/keys")
+        keys = counted.where(F.col("npi").isNotNull())
+        counts = counted_quality(counted).first().asDict()
         write_table(silver_providers(bronze, profile, keys), f"{folder}/{PROVIDERS_NAME}")
         taxonomies = silver_taxonomies(bronze, profile, keys)
         write_table(ordered_taxonomies(taxonomies), f"{folder}/{TAXONOMIES_NAME}")
-        counts = row_counts.result().asDict() | key_counts.asDict()
-    return {name: counts[name] for name in QUALITY_COUNTS}
+    return counts
 
 
 def build_silver(

@@ -8,6 +8,7 @@ from rosterlake import layout as L
 from rosterlake.operators import changes as C
 from rosterlake.operators import gold as G
 from rosterlake.operators import silver as S
+from rosterlake.plans import silver as silver_plan
 from tests.fixtures import bronze_frame, bronze_record, text_frame
 
 
@@ -84,7 +85,16 @@ def test_row_quality_moves_no_rows(bronze):
 def test_quality_reads_narrow_columns(bronze):
     frame = S.quality_metrics(bronze)
     assert shuffles(frame) == 1
-    assert sorted(read_columns(frame)) == [5, 7]
+    assert read_columns(frame) == [9]
+    assert "SortAggregate" not in plan(frame)
+
+
+def test_silver_scans_bronze_three_times(spark, bronze, tmp_path, monkeypatch):
+    written, write = [], silver_plan.write_table
+    monkeypatch.setattr(silver_plan, "write_table", lambda frame, path: (written.append(plan(frame)), write(frame, path)))
+    silver_plan.write_silver(spark, bronze, f"{tmp_path}/silver")
+    place = bronze.inputFiles()[0].rsplit("/", 1)[0].removeprefix("file://")
+    assert [len(re.findall(rf"FileScan parquet .*{re.escape(place)[:60]}", text)) for text in written] == [1, 1, 1]
 
 
 def test_active_filter_reaches_the_scan(silver):
