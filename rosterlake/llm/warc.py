@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from rosterlake.llm.common import stored
 from rosterlake.session import scratch_folder
 
-#: Payload bytes of a chunk; no record is held as a whole outside Spark's own row.
+#: Payload bytes of a chunk; no record is held as a whole but in the row that the scan reads.
 CHUNK_BYTES = 1 << 20
 #: Payload bytes of an archive, about.
 ARCHIVE_BYTES = 64 << 20
@@ -114,8 +114,8 @@ def write_warc(
     Payloads are UTF-8 text or binary, null is empty. Of records with equal payloads of at least
     `least_bytes` bytes, the one with the smallest id is a response and the others revisit it; of
     repeated rows the first written is. Rows with a null id come after all others. Archives appear
-    under their final names in one step, so that a task run twice leaves one of them. Payload text
-    is shuffled once, by record.
+    under their final names in one step, so that a task run twice leaves one of them. Payloads are
+    shuffled once, by record, and sorted as rows of at most `chunk_bytes` bytes.
     """
     kind = pages.schema[id_col].dataType.simpleString()
     payload = F.coalesce(F.col(payload_col).cast("binary"), F.lit(b""))
@@ -134,11 +134,14 @@ def write_warc(
     roles = digests.distinct().join(firsts, ["digest", "n_bytes"], "left").select(
         F.col("k").alias("key"), F.col("record").alias("own"), "n_bytes", "digest", "first"
     )
+    # chunks are cut before they are dealt; `row` keeps those of repeated rows apart
+    cut = chunk_table(rows.withColumn("row", F.monotonically_increasing_id()), "payload", chunk_bytes)
     # both sides dealt alike, so that the join needs no other exchange of payloads
-    left, right = rows.repartition(archives, "k"), roles.repartition(archives, "key")
+    left, right = cut.repartition(archives, "k"), roles.repartition(archives, "key")
     both = left.join(right, (F.col("k") == F.col("key")) & F.col("record").eqNullSafe(F.col("own")))
     revisits = F.col("first").isNotNull() & ~F.col("record").eqNullSafe(F.col("first"))
-    ready = both.select(
+    # of a revisit's payload nothing is written: one row without it is enough
+    ready = both.where(~revisits | (F.col("chunk") == 0)).select(
         F.col("record").cast("string").alias("record"),
         F.col("first").cast("string").alias("first"),
         revisits.alias("revisit"),
@@ -146,9 +149,12 @@ def write_warc(
         "url",
         "n_bytes",
         "digest",
+        "row",
+        "chunk",
+        (revisits | F.col("last")).alias("last"),
         F.when(revisits, F.lit(b"")).otherwise(F.col("payload")).alias("payload"),
-    ).sortWithinPartitions("digest", "record")
-    written = chunk_table(ready, "payload", chunk_bytes).mapInArrow(_writer(folder), "archive string, records long")
+    ).sortWithinPartitions("digest", "record", "row", "chunk")
+    written = ready.mapInArrow(_writer(folder), "archive string, records long")
     return stored(written, "warc-index").where(F.col("records") > 0)
 
 

@@ -9,6 +9,7 @@ from collections import Counter
 import pyarrow.fs as pafs
 import pytest
 
+from rosterlake.llm import warc
 from rosterlake.llm.queries import QUERIES
 from rosterlake.llm.warc import read_warc, write_warc
 
@@ -58,6 +59,23 @@ def test_round_trip(spark, tmp_path, least, archive):
     assert all(n.endswith(".warc.gz") for n in names) and (len(names) > 3) == (archive == 500)
 
 
+def test_payloads_are_dealt_and_sorted_as_chunks(spark, tmp_path, monkeypatch):
+    """Repeated rows of many chunks: their chunks meet in one task and must not mix."""
+    rows = [(7, f"{i % 3} " + "payload " * 40) for i in range(30)] + [(i, "shared " * 50) for i in range(20)]
+    frame = spark.createDataFrame([(p, "u", h) for p, h in rows], "page_id long, url string, html string").repartition(5)
+    plans = []
+
+    def kept(df, purpose, store=warc.stored):
+        plans.append(df._jdf.queryExecution().optimizedPlan().toString())
+        return store(df, purpose)
+
+    monkeypatch.setattr(warc, "stored", kept)
+    archives = write_warc(frame, f"file://{tmp_path}/archives", chunk_bytes=16)
+    assert Counter(map(tuple, read_warc(archives).collect())) == expected(rows)
+    above, below = plans[-1].split("RepartitionByExpression [k#", 1)
+    assert "substring" in below and "substring" not in above  # cut below the exchange, not above it
+
+
 def test_a_damaged_archive_is_refused(spark, tmp_path):
     frame = spark.createDataFrame([(1, "u", "payload")], "page_id long, url string, html string")
     archives = write_warc(frame, f"file://{tmp_path}/archives")
