@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 import numpy as np
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -52,13 +54,18 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return appended(chosen, "text", {"fp": "bigint"}, work).drop("text")
 
 
-def segments(max_bits: int) -> list[tuple[int, int, int]]:
-    """(first bit, width, radius) of each segment of a 64-bit fingerprint.
+def segments(max_bits: int, parts: int | None = None) -> list[tuple[int, int, int]]:
+    """(first bit, width, radius) of each of `parts` segments of a 64-bit fingerprint.
 
     Two fingerprints within `max_bits` agree with one segment up to its radius, because the radii
-    plus one sum to `max_bits + 1`. Radius 1 keeps the balls small and the segments wide.
+    plus one sum to `max_bits + 1`. Fewer parts are wider and have larger balls: they list fewer
+    chance matches, which grow with the square of the rows, for more probes a row. By default radii
+    are at most 1.
     """
-    radii = [1] * ((max_bits + 1) // 2) + [0] * ((max_bits + 1) % 2)
+    parts = (max_bits + 2) // 2 if parts is None else parts
+    if not 1 <= parts <= max_bits + 1:
+        raise ValueError(f"{max_bits} bits take 1 to {max_bits + 1} segments, not {parts}")
+    radii = [(max_bits + 1) // parts - 1 + (i < (max_bits + 1) % parts) for i in range(parts)]
     # a segment without a ball can be narrower: it is probed once
     widths, left = [], 64
     for i in range(len(radii)):
@@ -69,11 +76,16 @@ def segments(max_bits: int) -> list[tuple[int, int, int]]:
     return list(zip(firsts, widths, radii, strict=True))
 
 
-def _listed(distinct: DataFrame, max_bits: int, *columns: str) -> DataFrame:
+def ball(width: int, radius: int) -> list[int]:
+    """The differences of up to `radius` bits, but for none, that values of `width` bits can have."""
+    return [sum(1 << i for i in bits) for n in range(1, radius + 1) for bits in combinations(range(width), n)]
+
+
+def _listed(distinct: DataFrame, max_bits: int, parts: int | None, *columns: str) -> DataFrame:
     """(k, value, *columns): each fingerprint under the value of each of its segments."""
     rows = [
         F.struct(F.lit(k).alias("k"), _value(first, width).alias("value"))
-        for k, (first, width, _) in enumerate(segments(max_bits))
+        for k, (first, width, _) in enumerate(segments(max_bits, parts))
     ]
     return distinct.select(*columns, F.explode(F.array(*rows)).alias("s")).select(*columns, "s.*")
 
@@ -92,7 +104,7 @@ def star_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     Linear in the rows. In a dense group, where the number of links grows with its square, these
     few already connect most members.
     """
-    table = _listed(distinct, max_bits, "fp")
+    table = _listed(distinct, max_bits, None, "fp")
     ends = table.groupBy("k", "value").agg(F.min("fp").alias("lo"), F.max("fp").alias("hi"))
     ends = ends.where(F.col("lo") < F.col("hi"))
     near = table.join(ends, ["k", "value"])
@@ -101,28 +113,32 @@ def star_links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     )
 
 
-def near_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def near_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None) -> DataFrame:
     """(a, b): links of at most `max_bits` bits between rows (fp, grp) of different groups.
 
     Each fingerprint is listed under its segments' values and probes the small Hamming ball around
-    each of them; matches are verified over all 64 bits. Of two values that differ in a bit, the
-    one with the bit set probes for the other, so half a ball finds every pair once.
+    each of them; matches are verified over all 64 bits. Of two values that differ, the one with the
+    highest such bit set probes for the other, so half a ball finds every pair once.
+
+    For 4 bits the default, 3 segments of 22, 21 and 21 bits, takes some 25 probes a fingerprint, and
+    2 of 32 bits take some 282; chance matches a fingerprint are rows * 25 / 2^21 and
+    rows * 282 / 2^32. So 2 parts cost less from some 20 million distinct fingerprints on.
     """
     probes = []
-    for k, (first, width, radius) in enumerate(segments(max_bits)):
+    for k, (first, width, radius) in enumerate(segments(max_bits, parts)):
         value = _value(first, width)
         probes.append(F.struct(F.lit(k).alias("k"), value.alias("value"), F.lit(True).alias("same")))
-        for mask in [1 << i for i in range(width)] if radius else []:
+        for mask in ball(width, radius):
             lower = F.struct(
                 F.lit(k).alias("k"), value.bitwiseXOR(F.lit(mask)).alias("value"), F.lit(False).alias("same")
             )
-            probes.append(F.when(value.bitwiseAND(F.lit(mask)) != 0, lower))
+            probes.append(F.when(value.bitwiseAND(F.lit(1 << mask.bit_length() - 1)) != 0, lower))
     asked = distinct.select(
         F.col("fp").alias("a"),
         F.col("grp").alias("a_grp"),
         F.explode(F.array_compact(F.array(*probes))).alias("s"),
     ).select("a", "a_grp", "s.*")
-    table = _listed(distinct, max_bits, "fp", "grp").select(
+    table = _listed(distinct, max_bits, parts, "fp", "grp").select(
         "k", "value", F.col("fp").alias("b"), F.col("grp").alias("b_grp")
     )
     return (
@@ -136,7 +152,7 @@ def near_fingerprints(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFram
     )
 
 
-def fingerprint_groups(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def fingerprint_groups(distinct: DataFrame, max_bits: int = MAX_BITS, parts: int | None = None) -> DataFrame:
     """(fp, root): one row per row of the distinct column `fp`, with the root of its group.
 
     First the linear star links, then all links between different groups of these: a dense group
@@ -149,7 +165,7 @@ def fingerprint_groups(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFra
         ),
         "simhash-groups",
     )
-    links = near_fingerprints(grouped, max_bits).select(F.col("a_grp").alias("a"), F.col("b_grp").alias("b"))
+    links = near_fingerprints(grouped, max_bits, parts).select(F.col("a_grp").alias("a"), F.col("b_grp").alias("b"))
     merged = components(links)
     return grouped.join(merged, grouped["grp"] == merged["node"], "left").select(
         "fp", F.coalesce("component", "grp").alias("root")
@@ -166,25 +182,29 @@ def simhash_groups(
     text_col: str = "text",
     words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
+    parts: int | None = None,
 ) -> DataFrame:
     """(id, fingerprint, component_id): near-duplicate groups of the rows of `docs`.
 
     Rows with one fingerprint are one node, so copies are never paired; component_id is the
     smallest id reachable over links of at most `max_bits` differing bits. Null and empty texts
-    have fingerprint 0 and are linked like any other; repeated rows each get their row; an empty
+    have fingerprint 0 and are linked like any other; `parts` is the number of segments that
+    `near_fingerprints` looks up, which changes costs and no row; repeated rows each get their row; an empty
     table gives none. Rows with a null id get a null component unless their group has an id.
     """
-    known, named = _grouped(docs, id_col, text_col, words, max_bits)
+    known, named = _grouped(docs, id_col, text_col, words, max_bits, parts)
     return known.join(named, "fp").select(
         F.col("id").alias(id_col), hex_of(F.col("fp")).alias("fingerprint"), "component_id"
     )
 
 
-def _grouped(docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int) -> tuple[DataFrame, DataFrame]:
+def _grouped(
+    docs: DataFrame, id_col: str, text_col: str, words: int, max_bits: int, parts: int | None
+) -> tuple[DataFrame, DataFrame]:
     """(id, key, fp) of all rows, and (fp, root, component_id) of the distinct fingerprints."""
     known = stored(fingerprints(docs, id_col, text_col, words), "simhash")
     firsts = stored(known.groupBy("fp").agg(F.min("id").alias("first")), "simhash-distinct")
-    rooted = firsts.join(fingerprint_groups(firsts.select("fp"), max_bits), "fp")
+    rooted = firsts.join(fingerprint_groups(firsts.select("fp"), max_bits, parts), "fp")
     rooted = stored(rooted, "simhash-rooted")
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     return known, rooted.join(smallest, "root").select("fp", "root", "component_id")
@@ -196,12 +216,13 @@ def without_near_copies(
     text_col: str = "text",
     words: int = SHINGLE_WORDS,
     max_bits: int = MAX_BITS,
+    parts: int | None = None,
 ) -> DataFrame:
     """One row of `docs` of each group: that with the smallest id (nulls last, then any one text).
 
     Fingerprints and groups are narrow; the texts are shuffled once, to pick the rows that stay.
     """
-    known, named = _grouped(docs, id_col, text_col, words, max_bits)
+    known, named = _grouped(docs, id_col, text_col, words, max_bits, parts)
     order = F.struct(F.col("id").isNull(), "id", "key")
     kept = known.join(named, "fp").groupBy("root").agg(F.min(order).alias("one")).select("one.id", "one.key")
     key = fresh(docs, "text_key")

@@ -7,7 +7,15 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from rosterlake.llm.simhash import fingerprint_of, fingerprint_groups, segments, simhash_groups, without_near_copies
+from rosterlake.llm.simhash import (
+    ball,
+    fingerprint_groups,
+    fingerprint_of,
+    near_fingerprints,
+    segments,
+    simhash_groups,
+    without_near_copies,
+)
 
 SCHEMA = "doc_id long, text string, fp string, component_id int"
 
@@ -57,9 +65,12 @@ def test_fingerprints_equal_the_plain_definition():
         assert fingerprint_of(text) & (1 << 64) - 1 == slow_fingerprint(text)
 
 
-@pytest.mark.parametrize("max_bits", [0, 1, 2, 3, 4, 7])
-def test_segments_cover_all_bits(max_bits):
-    parts = segments(max_bits)
+@pytest.mark.parametrize(
+    ("max_bits", "count"), [(0, None), (1, None), (2, None), (3, None), (4, None), (7, None), (4, 2), (4, 5), (7, 3)]
+)
+def test_segments_cover_all_bits(max_bits, count):
+    parts = segments(max_bits, count)
+    assert count is None or len(parts) == count
     assert sum(width for _, width, _ in parts) == 64
     assert sum(radius + 1 for *_, radius in parts) == max_bits + 1
 
@@ -73,7 +84,35 @@ def test_groups_equal_brute_force(spark):
     assert {r.doc_id: r.component_id for r in found} == expected
 
 
-def test_dense_and_chained_fingerprints(spark):
+def test_wrong_numbers_of_segments_are_refused():
+    for count in (0, 6):
+        with pytest.raises(ValueError, match="1 to 5 segments"):
+            segments(4, count)
+
+
+def test_balls_hold_every_difference_once():
+    assert [len(ball(32, radius)) for radius in (0, 1, 2)] == [0, 32, 32 + 496]
+    assert sorted(ball(6, 2)) == [m for m in range(1, 64) if m.bit_count() <= 2]
+
+
+@pytest.mark.parametrize("parts", [None, 2, 5])
+def test_every_near_pair_is_found_once(spark, parts):
+    rng = random.Random(9)
+    values = {rng.getrandbits(64) for _ in range(40)}
+    for value in list(values):
+        for n in range(7):
+            values.add(value ^ sum(1 << b for b in rng.sample(range(64), n)))
+    signed = [v - (1 << 64) if v >> 63 else v for v in values]
+    frame = spark.createDataFrame([(v, i) for i, v in enumerate(signed)], "fp long, grp int")
+    found = [frozenset((r.a, r.b)) for r in near_fingerprints(frame, 4, parts).select("a", "b").distinct().collect()]
+    expected = {
+        frozenset((a, b)) for a in signed for b in signed if a < b and ((a ^ b) & (1 << 64) - 1).bit_count() <= 4
+    }
+    assert len(expected) > 200 and set(found) == expected and len(found) == len(expected)
+
+
+@pytest.mark.parametrize("parts", [None, 2])
+def test_dense_and_chained_fingerprints(spark, parts):
     rng = random.Random(3)
     values = {0, 15, 0xFF, 0xFFF, (1 << 64) - 1}
     centre = rng.getrandbits(64)
@@ -81,7 +120,7 @@ def test_dense_and_chained_fingerprints(spark):
         values.add(centre ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(4))) & (1 << 64) - 1)
     values |= {rng.getrandbits(64) for _ in range(50)}
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    found = fingerprint_groups(spark.createDataFrame([(v,) for v in signed], "fp long")).collect()
+    found = fingerprint_groups(spark.createDataFrame([(v,) for v in signed], "fp long"), parts=parts).collect()
     expected = slow_components([(v, v) for v in signed], lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 4)
     assert len(found) == len(signed)
     assert {r.fp: r.root for r in found} == expected
