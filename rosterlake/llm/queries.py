@@ -157,42 +157,67 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_periodic_runs": op13_periodic_runs,
 }
 
+#: The rows of `planned`, but for what is taken: each document's place among the words of its source.
+_PLACED = r"""
+    WITH sized AS (
+        SELECT doc_id, source, md5(doc_id::VARCHAR) AS hash,
+               coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
+        FROM documents),
+    sources AS (
+        SELECT source, sum(size)::BIGINT AS source_size,
+               (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS kind,
+               CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
+                    WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
+        FROM sized GROUP BY source),
+    filled AS (
+        SELECT *, 2 * source_size AS most, 2 * source_size / weight AS factor,
+               1.5::DOUBLE * sum(source_size) OVER ()
+                 - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
+               sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
+                     ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
+        FROM sources),
+    first_left AS (
+        SELECT remaining AS rest, weights AS shares FROM filled WHERE most * weights > remaining * weight
+        ORDER BY factor, source NULLS LAST LIMIT 1),
+    targets AS (
+        SELECT source, source_size, kind,
+               CASE WHEN most * weights <= remaining * weight THEN most::DOUBLE
+                    ELSE weight * rest / shares END AS target
+        FROM filled LEFT JOIN first_left ON true),
+    placed AS (
+        SELECT sized.*, source_size, kind, target,
+               sum(size) OVER (PARTITION BY sized.source ORDER BY hash, doc_id
+                               ROWS UNBOUNDED PRECEDING) - size AS start
+        FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+"""
+
 ORACLE: dict[str, str] = {
-    "op8_mixing": r"""
-        WITH sized AS (
-            SELECT doc_id, source, md5(doc_id::VARCHAR) AS hash,
-                   coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
-            FROM documents),
-        sources AS (
-            SELECT source, sum(size)::BIGINT AS source_size,
-                   CASE (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3
-                        WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS weight
-            FROM sized GROUP BY source),
-        filled AS (
-            SELECT *, 2 * source_size AS most, 2 * source_size / weight AS factor,
-                   1.5::DOUBLE * sum(source_size) OVER ()
-                     - coalesce(sum(2 * source_size) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
-                         ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS remaining,
-                   sum(weight) OVER (ORDER BY 2 * source_size / weight, source NULLS LAST
-                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS weights
-            FROM sources),
-        first_left AS (
-            SELECT remaining AS rest, weights AS shares FROM filled WHERE most * weights > remaining * weight
-            ORDER BY factor, source NULLS LAST LIMIT 1),
-        targets AS (
-            SELECT source, source_size,
-                   CASE WHEN most * weights <= remaining * weight THEN most::DOUBLE
-                        ELSE weight * rest / shares END AS target
-            FROM filled LEFT JOIN first_left ON true),
-        placed AS (
-            SELECT sized.*, source_size, target,
-                   sum(size) OVER (PARTITION BY sized.source ORDER BY hash, doc_id
-                                   ROWS UNBOUNDED PRECEDING) - size AS start
-            FROM sized JOIN targets ON sized.source IS NOT DISTINCT FROM targets.source)
+    "op8_mixing": _PLACED + """
         SELECT doc_id, size, source_size, target,
                (least(greatest(round(target) - start, 0), size)
                 + least(greatest(round(target) - source_size - start, 0), size))::BIGINT AS taken
         FROM placed""",
+    # the time t solves wanted = r0 * t + slope / 2 * t * t, the integral of each schedule of SCHEDULES
+    "op8_mixing_order": _PLACED + """
+        , read AS (
+            SELECT doc_id, kind, target, turn * source_size + start AS place,
+                   greatest(least(round(target) - (turn * source_size + start), size), 0)::BIGINT AS n_words
+            FROM placed, range(0, 2) AS turns(turn)),
+        shares AS (
+            SELECT doc_id, n_words, kind,
+                   (place::DOUBLE + n_words::DOUBLE / 2) / greatest(target, 1.0::DOUBLE)
+                     * CASE kind WHEN 0 THEN 3.0::DOUBLE WHEN 1 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END AS wanted
+            FROM read WHERE n_words > 0)
+        SELECT doc_id, n_words,
+               CASE kind
+                    WHEN 0 THEN CASE WHEN wanted < 3 THEN 2 * wanted / (2 + sqrt(4 + 4 * wanted)) ELSE 1 END
+                    WHEN 1 THEN CASE WHEN wanted < 1 THEN 2 * wanted / (1.5::DOUBLE + sqrt(greatest(2.25::DOUBLE - 2 * wanted, 0)))
+                                     ELSE 1 END
+                    ELSE CASE WHEN wanted < 1 THEN 2 * wanted / 4
+                              WHEN wanted < 2 THEN 0.5::DOUBLE + 2 * greatest(wanted - 1, 0) / 4 ELSE 1 END
+               END::DOUBLE AS position
+        FROM shares""",
     "op10_sharding": f"""
         WITH hashed AS (
             SELECT doc_id, coalesce(strlen(text), 0)::BIGINT AS n_bytes,
