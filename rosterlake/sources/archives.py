@@ -34,6 +34,7 @@ from rosterlake.session import split_bytes
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 BLOCK = 1 << 20
+NAMES = 10_000
 SMALLEST_PART = 4 << 20
 LANDED = "archive string, part string, bytes long, records long, header string, sha256 string"
 
@@ -117,9 +118,14 @@ def archive_files(spark: SparkSession, archives: str) -> DataFrame:
 
         def level(batches: Iterator[pd.DataFrame], kind: str | None, name: str) -> Iterator[pd.DataFrame]:
             for batch in batches:
+                found = []
                 for uri in batch["archive"]:
                     held = [name] if kind is None else [n for n, *_ in _listed(uri) if re.fullmatch(kind, n, re.DOTALL)]
-                    yield pd.DataFrame({"archive": [f"{uri.rstrip('/')}/{n}" for n in held]}, dtype=str)
+                    found += [f"{uri.rstrip('/')}/{n}" for n in held]
+                    if len(found) >= NAMES:
+                        yield pd.DataFrame({"archive": found}, dtype=str)
+                        found = []
+                yield pd.DataFrame({"archive": found}, dtype=str)
 
         def files(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for batch in batches:
@@ -364,6 +370,16 @@ class DigestingReader(io.RawIOBase):
         return self.digest.hexdigest()
 
 
+def publish(filesystem, draft: str, target: str) -> None:
+    """Gives a whole file its name, in one step; attempts of one task write the same."""
+    try:
+        filesystem.move(draft, target)
+    except OSError:  # some stores refuse to replace what another attempt published
+        if not filesystem.get_file_info(target).is_file:
+            raise
+        filesystem.delete_file(draft)
+
+
 def _land_member(
     uri: str, member: str, folder: str, part_bytes: int, first: int = 0
 ) -> Iterator[tuple]:
@@ -376,15 +392,9 @@ def _land_member(
     filesystem, base = open_filesystem(f"{folder}/{target}")
     filesystem.create_dir(base, recursive=True)
 
-    def publish(number: int, sink, draft: str, size: int, records: int) -> tuple:
+    def finish(number: int, sink, draft: str, size: int, records: int) -> tuple:
         sink.close()
-        part = f"{base}/part-{first + number:010d}.csv"
-        try:
-            filesystem.move(draft, part)
-        except OSError:  # some stores refuse to replace what another attempt published
-            if not filesystem.get_file_info(part).is_file:
-                raise
-            filesystem.delete_file(draft)
+        publish(filesystem, draft, f"{base}/part-{first + number:010d}.csv")
         return uri, f"{target}/part-{first + number:010d}.csv", size, records, _decoded(header)
 
     with _open(uri) as raw, zipfile.ZipFile(stream := DigestingReader(raw)) as opened:
@@ -404,7 +414,7 @@ def _land_member(
             if ends:
                 if waiting:
                     yield *waiting, None
-                waiting = publish(number, sink, draft, size, records)
+                waiting = finish(number, sink, draft, size, records)
                 number, size, records, sink = number + 1, 0, 0, None
         if sink is None and number == 0:  # a header without records
             draft = f"{base}/_draft-{uuid.uuid4().hex}"
@@ -413,7 +423,7 @@ def _land_member(
         if sink is not None:
             if waiting:
                 yield *waiting, None
-            waiting = publish(number, sink, draft, size, records)
+            waiting = finish(number, sink, draft, size, records)
         text.close()
         yield *waiting, stream.sha256()
 

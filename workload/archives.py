@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import sys
+import uuid
 import zipfile
 from collections.abc import Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import pandas as pd
 from pyspark import cloudpickle
@@ -12,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.session import scratch_folder
-from rosterlake.sources.archives import open_filesystem
+from rosterlake.sources.archives import open_filesystem, publish
 from workload.records import RECORD_EXPRESSIONS, directory_records
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -20,6 +23,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 MEMBER = "npidata_pfile_{month}01-{month}28"
 BLOCK = 1 << 20
 EMPTIED = 3
+FOLDERS = 1000
 
 
 def write_archives(spark: SparkSession, sf_dir: str) -> str:
@@ -78,16 +82,39 @@ def write_archives(spark: SparkSession, sf_dir: str) -> str:
 
 
 def write_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Each document as one text file, and an empty file beside that of `EMPTIED`. Returns the files' glob."""
+    """Each document as one text file, and an empty file beside that of `EMPTIED`. Returns the files' glob.
+
+    Tasks write the files themselves, into folders that each hold a share of them: the committer of
+    Spark's partitioned writer moves file by file on the driver, and one folder of all is listed by
+    one task. Texts of one document are lines of one file; a task that runs again writes the same.
+    """
     folder = scratch_folder(spark, "documents")
     documents: DataFrame = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    (
-        documents.select(F.col("text").alias("value"), "doc_id")
-        .repartition("doc_id")
-        .write.partitionBy("doc_id")
-        .text(f"{folder}/files")
+    names = documents.select(
+        F.format_string("%03d", F.pmod(F.xxhash64("doc_id"), F.lit(FOLDERS))).alias("share"),
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("__HIVE_DEFAULT_PARTITION__")).alias("doc"),
+        F.col("text").cast("binary").alias("text"),
     )
-    empty = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/files/doc_id={EMPTIED}/_0.txt")
+
+    def write(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        filesystem, base = open_filesystem(f"{folder}/files")
+        shares, files = set(), 0
+        rows = (row for batch in batches for row in zip(batch["share"], batch["doc"], batch["text"]))
+        for (share, doc), same in groupby(rows, key=itemgetter(0, 1)):
+            if share not in shares:
+                filesystem.create_dir(f"{base}/{share}", recursive=True)
+                shares.add(share)
+            target = f"{base}/{share}/doc_id={doc}"
+            with filesystem.open_output_stream(draft := f"{target}.{uuid.uuid4().hex}.draft") as sink:
+                for *_, text in same:
+                    sink.write((text or b"") + b"\n")
+            publish(filesystem, draft, f"{target}.txt")
+            files += 1
+        yield pd.DataFrame({"files": [files]})
+
+    together = names.repartition("share", "doc").sortWithinPartitions("share", "doc")
+    together.mapInPandas(write, "files long").write.parquet(f"{folder}/written")
+    empty = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{folder}/files/empty/doc_id={EMPTIED}.txt")
     files = empty.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     files.create(empty).close()
-    return f"{folder}/files/doc_id=*/*.txt"
+    return f"{folder}/files/*/*.txt"

@@ -216,7 +216,7 @@ def bronze_from_archive(spark, sf_dir):
 
 def file_hashes(spark, sf_dir):
     digests = file_digests(spark, once(write_documents, spark, sf_dir))
-    number = F.regexp_extract("path", r"doc_id=(\d+)/", 1)
+    number = F.regexp_extract("path", r"doc_id=(\d+)\.", 1)
     return digests.select(number.cast("long").alias("doc_id"), "sha256")
 
 
