@@ -1,6 +1,8 @@
 """Inputs that the queries derive from the tables: the same rows, moved as narrow as they can be."""
 
 import hashlib
+import os
+import zipfile
 from datetime import datetime
 from pathlib import Path
 
@@ -39,3 +41,20 @@ def test_documents_are_files_without_a_folder_each(spark, tables):
     files = local(once(archives.write_documents, spark, tables)).parents[1]
     assert not [p for p in files.rglob("doc_id=*") if p.is_dir()]
     assert not [p for p in files.rglob("*") if p.name.endswith(".draft")]
+
+
+def test_archives_hold_their_records_in_order_and_nothing_else_is_written(spark, tables):
+    zips = local(once(archives.write_archives, spark, tables))
+    counts = 0
+    for path in zips.iterdir():
+        with zipfile.ZipFile(path) as archive:
+            (member,) = [n for n in archive.namelist() if n.endswith("28.csv")]
+            lines = archive.read(member).decode().split('"US"')[1:]
+        counts += len(lines)
+    assert counts == 300
+    written = [p for p in zips.parent.rglob("*") if p.is_file() and not p.name.startswith(".")]
+    assert not [p for p in written if p.suffix == ".csv"] and os.listdir(zips.parent / "drafts") == []
+
+
+def test_records_without_a_date_reach_bronze(spark, tables):
+    assert registry.bronze_from_archive(spark, tables).count() == registry.bronze_state_filter(spark, tables).count() > 0

@@ -15,69 +15,63 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rosterlake.session import scratch_folder
-from rosterlake.sources.archives import open_filesystem, publish
-from workload.records import RECORD_EXPRESSIONS, directory_records
+from rosterlake.sources.archives import listing_tasks, open_filesystem, publish
+from workload.records import POSITION, RECORD_EXPRESSIONS, customer_orders, record_rows
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 MEMBER = "npidata_pfile_{month}01-{month}28"
-BLOCK = 1 << 20
+CSV_OPTIONS = {
+    "escape": '"',
+    "quoteAll": "true",
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+ARCHIVE_TASKS = 256  # more than archives, so that few share a task and none needs to spill
 EMPTIED = 3
 FOLDERS = 1000
 
 
 def write_archives(spark: SparkSession, sf_dir: str) -> str:
-    """One ZIP per release and month of orders, with the records as CSV. Returns the folder."""
+    """One ZIP per release and month of orders, with the records as CSV. Returns the folder.
+
+    Orders, far narrower than their records, are dealt to archives and sorted; each task spells out
+    the records' lines and streams them into its archives. What is written is the ZIP files alone.
+    """
     folder = scratch_folder(spark, "archives")
-    records = directory_records(spark, sf_dir).select(
-        *[F.col(f"`{name}`") for name in RECORD_EXPRESSIONS], "_source_row", "release", "month"
+    dealt = (
+        customer_orders(spark, sf_dir)
+        .repartition(max(ARCHIVE_TASKS, listing_tasks(spark)), "release", "month")
+        .sortWithinPartitions("release", "month", POSITION)
     )
-    (
-        records.repartition("release", "month")
-        .sortWithinPartitions("release", "month", "_source_row")
-        .drop("_source_row")
-        .write.partitionBy("release", "month")
-        .option("header", True)
-        .option("escape", '"')
-        .option("quoteAll", True)
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(f"{folder}/csv")
+    line = F.to_csv(F.struct(*[F.col(f"`{name}`") for name in RECORD_EXPRESSIONS]), CSV_OPTIONS)
+    lines = record_rows(dealt).select(
+        "release", F.coalesce("month", F.lit("")).alias("month"), line.cast("binary").alias("line")
     )
+    header = (",".join(f'"{name}"' for name in RECORD_EXPRESSIONS) + "\n").encode()
 
-    def zip_month(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        from pyarrow import fs
-
+    def zip_months(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         filesystem, base = open_filesystem(folder)
-        filesystem.create_dir(f"{base}/zips", recursive=True)
-        for batch in batches:
-            for name, month in zip(batch["release"], batch["month"]):
-                source = fs.FileSelector(f"{base}/csv/release={name}/month={month}")
-                listed = filesystem.get_file_info(source)
-                parts = sorted(f.path for f in listed if f.path.endswith(".csv"))
-                target = f"{base}/zips/extract_{name}_{month}.zip"
-                member_name = MEMBER.format(month=month)
-                with (
-                    filesystem.open_output_stream(target) as sink,
-                    zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive,
-                ):
-                    archive.writestr(f"{member_name}_fileheader.csv", "header only\n")
-                    archive.writestr(f"docs/readme_{name}.txt", "reference file\n")
-                    with archive.open(f"{member_name}.csv", "w", force_zip64=True) as member:
-                        for number, part in enumerate(parts):
-                            with filesystem.open_input_file(part) as stream:
-                                header, _, body = stream.read(BLOCK).partition(b"\n")
-                                if number == 0:
-                                    member.write(header + b"\n")
-                                member.write(body)
-                                while block := stream.read(BLOCK):
-                                    member.write(block)
-                yield pd.DataFrame({"archive": [target]})
-
-    months = records.select("release", "month").distinct()
-    months.repartition("release", "month").mapInPandas(zip_month, "archive string").write.parquet(
-        f"{folder}/written"
-    )
+        for drafts in ("drafts", "zips"):
+            filesystem.create_dir(f"{base}/{drafts}", recursive=True)
+        runs = ((key, run["line"]) for batch in batches for key, run in batch.groupby(["release", "month"]))
+        for (name, month), same in groupby(runs, key=itemgetter(0)):
+            target, draft = f"{base}/zips/extract_{name}_{month}.zip", f"{base}/drafts/{uuid.uuid4().hex}"
+            member_name = MEMBER.format(month=month)
+            with (
+                filesystem.open_output_stream(draft) as sink,
+                zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED, compresslevel=1) as archive,
+            ):
+                archive.writestr(f"{member_name}_fileheader.csv", "header only\n")
+                archive.writestr(f"docs/readme_{name}.txt", "reference file\n")
+                with archive.open(f"{member_name}.csv", "w", force_zip64=True) as member:
+                    member.write(header)
+                    for _, run in same:
+                        member.write(b"\n".join(run) + b"\n")
+            publish(filesystem, draft, target)
+            yield pd.DataFrame({"archive": [target]})
+
+    lines.mapInPandas(zip_months, "archive string").write.parquet(f"{folder}/written")
     return f"{folder}/zips"
 
 

@@ -87,18 +87,36 @@ RELEASE_EXPRESSION = (
 MONTH_EXPRESSION = f"concat({_YEAR}, {_MONTH})"
 
 
-def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All records with position and `release`, as expressions over the given tables."""
+POSITION = "o_orderkey"
+
+
+def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The columns that records are made of, with `release` and `month`: a tenth of a record's bytes.
+
+    What moves or sorts records does so with these rows; `record_rows` spells them out afterwards.
+    """
     orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
     customer = spark.read.parquet(f"{sf_dir}/customer.parquet")
-    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).select(
+    return orders.join(customer, F.col("o_custkey") == F.col("c_custkey")).withColumns(
+        {"release": F.expr(RELEASE_EXPRESSION), "month": F.expr(MONTH_EXPRESSION)}
+    )
+
+
+def record_rows(rows: DataFrame) -> DataFrame:
+    """The records of `customer_orders` rows, with position."""
+    return rows.select(
         *[F.expr(text).alias(name) for name, text in RECORD_EXPRESSIONS.items()],
-        F.col("o_orderkey").alias("_source_row"),
-        F.expr(RELEASE_EXPRESSION).alias("release"),
-        F.expr(MONTH_EXPRESSION).alias("month"),
+        F.col(POSITION).alias("_source_row"),
+        "release",
+        "month",
     )
 
 
+def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records with position and `release`, as expressions over the given tables."""
+    return record_rows(customer_orders(spark, sf_dir))
+
+
 def write_records(spark: SparkSession, sf_dir: str) -> str:
     """The records as a Parquet table with one partition per release. Returns its path."""
     path = scratch_folder(spark, "records")
