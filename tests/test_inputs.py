@@ -7,9 +7,10 @@ from datetime import datetime
 from pathlib import Path
 
 import pytest
-from workload import archives, registry
+from workload import archives, records, registry
 from workload.records import once
 
+from rosterlake.session import remove_folder
 
 
 def local(path):
@@ -30,7 +31,11 @@ def tables(spark, tmp_path_factory):
     spark.createDataFrame(customers, names).write.parquet(f"{folder}/customer.parquet")
     texts = [(i, f"text {i}\nof é") for i in range(40)] + [(7, "text 7\nof é"), (50, None), (51, "")]
     spark.createDataFrame(texts, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
-    return str(folder)
+    yield str(folder)
+    for key in [key for key in records._written if key[2] == str(folder)]:
+        path = records._written.pop(key)
+        if key[0] == "write_silver_tables":
+            remove_folder(spark, path)
 
 
 def test_documents_are_files_without_a_folder_each(spark, tables):
@@ -58,3 +63,19 @@ def test_archives_hold_their_records_in_order_and_nothing_else_is_written(spark,
 
 def test_records_without_a_date_reach_bronze(spark, tables):
     assert registry.bronze_from_archive(spark, tables).count() == registry.bronze_state_filter(spark, tables).count() > 0
+
+
+def test_records_are_dealt_before_they_are_spelled_out(spark, tables):
+    frame = records.dealt_records(spark, tables)
+    plan = frame._jdf.queryExecution().optimizedPlan().toString().strip().splitlines()
+    (dealt,) = [i for i, line in enumerate(plan) if "RepartitionByExpression" in line]
+    (spelled,) = [i for i, line in enumerate(plan) if "Main Street" in line]
+    assert spelled < dealt
+    assert frame.count() == 300 and frame.exceptAll(records.derived_records(spark, tables)).isEmpty()
+
+
+def test_a_comparison_writes_the_two_snapshots_it_reads(spark, tables):
+    before = {key[3:] for key in records._written if key[0] == "write_silver_tables" and key[2] == tables}
+    registry.not_observed(spark, tables).collect()
+    after = {key[3:] for key in records._written if key[0] == "write_silver_tables" and key[2] == tables}
+    assert after - before == {("older",), ("newer",)}

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from rosterlake import layout as L
 from rosterlake.session import scratch_folder
+from rosterlake.sources.archives import listing_tasks
 
 _ID = "cast(1000000000 + o_custkey AS string)"
 _MONTH = "lpad(cast(month(o_orderdate) AS string), 2, '0')"
@@ -88,6 +89,7 @@ MONTH_EXPRESSION = f"concat({_YEAR}, {_MONTH})"
 
 
 POSITION = "o_orderkey"
+TASK_ROWS = 500_000
 
 
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,10 +119,16 @@ def derived_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return record_rows(customer_orders(spark, sf_dir))
 
 
+def dealt_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records in tasks of like size, sorted by release: rows are dealt and sorted before they are spelled out."""
+    tasks = max(listing_tasks(spark), spark.read.parquet(f"{sf_dir}/orders.parquet").count() // TASK_ROWS)
+    return record_rows(customer_orders(spark, sf_dir).repartition(tasks, POSITION).sortWithinPartitions("release"))
+
+
 def write_records(spark: SparkSession, sf_dir: str) -> str:
     """The records as a Parquet table with one partition per release. Returns its path."""
     path = scratch_folder(spark, "records")
-    derived_records(spark, sf_dir).repartition("_source_row").write.partitionBy("release").parquet(path)
+    dealt_records(spark, sf_dir).write.partitionBy("release").parquet(path)
     return path
 
 
@@ -128,12 +136,12 @@ _written: dict[tuple, str] = {}
 _writing = threading.RLock()
 
 
-def once(write: Callable[[SparkSession, str], str], spark: SparkSession, sf_dir: str) -> str:
-    """What `write` returns; it runs once per application and data folder."""
-    key = (write.__name__, spark.sparkContext.applicationId, sf_dir)
+def once(write: Callable[..., str], spark: SparkSession, sf_dir: str, *more: str) -> str:
+    """What `write` returns; it runs once per application, data folder and further arguments."""
+    key = (write.__name__, spark.sparkContext.applicationId, sf_dir, *more)
     with _writing:
         if key not in _written:
-            _written[key] = write(spark, sf_dir)
+            _written[key] = write(spark, sf_dir, *more)
         return _written[key]
 
 

@@ -111,21 +111,19 @@ def key_violations(spark, sf_dir):
 # --- Gold ---------------------------------------------------------------------------------
 
 
-def write_silver_tables(spark, sf_dir) -> str:
-    """Silver tables of all records and of each release, as the pipeline stores them."""
+def write_silver_tables(spark, sf_dir, name) -> str:
+    """Silver tables of all records or of one release, as the pipeline stores them."""
     folder = scratch_folder(spark, "silver")
     records = directory_records(spark, sf_dir)
-    for name in ("all", "older", "newer"):
-        rows = records if name == "all" else release(records, name)
-        write_silver(spark, rows, f"{folder}/{name}")
+    write_silver(spark, records if name == "all" else release(records, name), folder)
     return folder
 
 
 def _silver(spark, sf_dir, name="all"):
-    folder = once(write_silver_tables, spark, sf_dir)
+    folder = once(write_silver_tables, spark, sf_dir, name)
     return (
-        spark.read.parquet(f"{folder}/{name}/{L.PROVIDERS_NAME}"),
-        spark.read.parquet(f"{folder}/{name}/{L.TAXONOMIES_NAME}"),
+        spark.read.parquet(f"{folder}/{L.PROVIDERS_NAME}"),
+        spark.read.parquet(f"{folder}/{L.TAXONOMIES_NAME}"),
     )
 
 
@@ -185,9 +183,9 @@ def change_measures_long(spark, sf_dir):
 
 def change_report(spark, sf_dir):
     """The written JSON report, with its time's format checked."""
-    folder, tables = scratch_folder(spark, "changes"), once(write_silver_tables, spark, sf_dir)
+    folder = scratch_folder(spark, "changes")
     paths = [
-        f"{tables}/{name}/{table}"
+        f"{once(write_silver_tables, spark, sf_dir, name)}/{table}"
         for table in (L.PROVIDERS_NAME, L.TAXONOMIES_NAME)
         for name in ("older", "newer")
     ]
